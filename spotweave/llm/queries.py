@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import fingerprints, mixing, quality, secrets, sharding
-from spotweave.llm.common import documents, text_or_empty
+from spotweave.llm import fingerprints, mixing, packing, quality, secrets, sharding, tokens
+from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,26 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences of at most 4096."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack_documents(spark, docs, tokenizer_path("word_bpe_49k.json"))
+
+
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, through a cache that this query starts empty."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = tokens.count_tokens(spark, docs, tokenizer_path("byte_bpe_50k.json"), scratch_path(spark, "token-cache"))
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical digests of all documents and their edited texts."""
     found = fingerprints.edited_pairs(spark, documents(spark, sf_dir).select("doc_id", "text"))
@@ -62,6 +82,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
     return {
         "op2_secrets": op2_secrets,
+        "op4_packing": op4_packing,
+        "op7_tokens": op7_tokens,
         "op5_fingerprints": op5_fingerprints,
         "op6_mixing": op6_mixing,
         "op8_sharding": op8_sharding,
