@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import fingerprints, mixing, packing, quality, secrets, sharding, tokens
+from spotweave.llm import fingerprints, language, mixing, packing, quality, secrets, sharding, tokens
 from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
@@ -68,6 +68,14 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from those that aren't held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", language.held_out())
+    models = language.train(spark, docs.filter(~F.col("held_out")))
+    found = language.identify(spark, docs.select("doc_id", "text", "held_out"), models)
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), "lang_rejected", "lang_bits")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by the base rules and the log-likelihood ratio; trusted are those labelled good and not toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -87,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_fingerprints": op5_fingerprints,
         "op6_mixing": op6_mixing,
         "op8_sharding": op8_sharding,
+        "op9_language": op9_language,
         "op10_quality": op10_quality,
     }
 
