@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import fingerprints, language, mixing, packing, quality, secrets, sharding, tokens
+from spotweave.llm import fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, tokens
 from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
@@ -32,6 +32,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: five words, similarity 0.85 or more."""
+    return neardup.near_duplicates(spark, documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token sequences of at most 4096."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
     return {
         "op2_secrets": op2_secrets,
+        "op3_neardup": op3_neardup,
         "op4_packing": op4_packing,
         "op7_tokens": op7_tokens,
         "op5_fingerprints": op5_fingerprints,
