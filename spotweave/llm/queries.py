@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, tokens
+from spotweave.llm import fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, suffix_dedup, tokens
 from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removal of repeated strings of 400 bytes from all documents."""
+    found = suffix_dedup.repeated_spans(spark, documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents; a source is an owner, a source and language a repository."""
     found = secrets.scan(spark, documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).drop("text")
@@ -94,6 +100,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_secrets": op2_secrets,
         "op3_neardup": op3_neardup,
         "op4_packing": op4_packing,

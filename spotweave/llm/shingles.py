@@ -18,10 +18,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def byte_values(fold: bool) -> np.ndarray:
+def byte_values(fold: bool, seed: int = 0) -> np.ndarray:
     """A random number for each byte; if folded, capitals have those of small letters."""
     with np.errstate(over="ignore"):
-        table = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
+        table = mix((np.arange(256, dtype=np.uint64) + np.uint64(1 + 256 * seed)) * _ODD)
     if fold:
         table[65:91] = table[97:123]
     return table
@@ -32,8 +32,8 @@ class Prefixes:
 
     base = 0xD6E8FEB86659FD93
 
-    def __init__(self, fold: bool) -> None:
-        self.values = byte_values(fold)
+    def __init__(self, fold: bool, seed: int = 0) -> None:
+        self.values = byte_values(fold, seed)
         self.power = self.inverse = np.ones(1, dtype=np.uint64)
 
     def sums(self, data: np.ndarray) -> np.ndarray:
