@@ -1,27 +1,73 @@
-"""A training-data pipeline over ``documents``: each stage calls one operator of ``spotweave.llm``."""
+"""A training-data pipeline over ``documents``: each stage calls one operator of ``spotweave.llm``.
+
+Quality rules drop documents; near-duplicates leave one document of a group; secrets are replaced
+by a mark in the text; sources are mixed to target weights, which repeats or leaves out
+documents; what remains is packed into token sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spotweave.llm import quality
-from spotweave.llm.common import documents
+from spotweave.llm import mixing, neardup, packing, quality, secrets
+from spotweave.llm.common import documents, stored
+from spotweave.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; the target is the documents labelled good and not toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     trusted = labels.filter("quality = 1 and toxic = 0").select("doc_id")
     return quality.quality(spark, docs, trusted).filter("kept").select(docs.columns)
 
 
-STAGES = [("quality rules", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group (five words, similarity 0.8 or more): the one with the smallest id.
+
+    A row whose id is null stays; of rows with the same id one stays.
+    """
+    found = neardup.near_duplicates(spark, docs.select("doc_id", "text"), percent=80)
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").limit(1).count()
+    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets replaced by marks, ``n_chars`` of the new text."""
+    found = secrets.scan(spark, docs).withColumn("text", secrets.redact(F.col("text"), F.col("secret_spans")))
+    found = found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that a source's share follows the square root of its size."""
+    return mixing.mix(spark, docs).select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences of at most 4096."""
+    return packing.pack_documents(spark, docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("near-dedup", near_duplicate_stage),
+    ("secret scans", secrets_stage),
+    ("source mixing", mixing_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: SQL has no tokenizer and no xxhash; the pipeline is tested stage by stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after another."""
+    """The stages one after another, each stored as Parquet and read again."""
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stored(spark, docs, f"pipeline-{k}")
     return docs

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import SPACES, scratch_path, text_or_empty
+from spotweave.llm.common import SPACES, scratch_path, stored, text_or_empty
 
 #: Symbols that count as such.
 SYMBOLS = r"[#*$%&|<>]"
@@ -146,10 +146,12 @@ def quality(
     keyed = docs.withColumns({"_k1": F.xxhash64(name, text), "_k2": F.xxhash64(text, name)})
     grams = gram_rows(keyed.select("_k1", "_k2", text.alias("_text")), ["_k1", "_k2"], "_text", buckets)
     scores = grams.join(F.broadcast(ratios), "bucket").groupBy("_k1", "_k2").agg(F.avg("ratio").alias("llr_score"))
+    judged = base_rules(keyed.select("_k1", "_k2", text.alias("_raw")), "_raw").drop("_raw").join(scores, ["_k1", "_k2"], "left")
+    judged = judged.withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0)))
+    # stored, for a filter on the verdict would else be pushed into the statistics and evaluate them again and again
+    judged = stored(spark, judged.dropDuplicates(["_k1", "_k2"]), "quality-verdicts")
     return (
-        base_rules(keyed, text_col)
-        .join(scores, ["_k1", "_k2"], "left")
+        keyed.join(judged, ["_k1", "_k2"])
         .drop("_k1", "_k2")
-        .withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0)))
         .withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
     )
