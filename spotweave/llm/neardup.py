@@ -9,9 +9,10 @@ symbols with probability 3e-6, less above it.
 
 Equal shingle sets are one representative. In each key's group every member is first compared
 with one leader, the member with most company over all its keys (near copies share more with
-their original than with each other); full sets confirm the links. Then all pairs in a group
-that are still in different components are compared, so no link between components is lost
-and no group of copies is expanded into all its pairs.
+their original than with each other); full sets confirm the links. Then pairs in a group that
+are still in different components are compared: those around the same leader in blocks of
+full sets, from which only links that join components come out, the others pair by pair. So no link
+between components is lost, and no group of copies is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -143,6 +144,100 @@ def confirm(spark: SparkSession, pairs: DataFrame, texts: DataFrame, percent: in
     return stored(spark, both.select("a", "b", "left", "right").mapInArrow(_alike(percent), "a long, b long"), "neardup-links")
 
 
+#: Sets compared with each other at once.
+BLOCK = 400
+
+
+def block_similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Matrix of whether sets are similar enough, by products of their incidence on shared hashes."""
+    sizes = [np.array([len(s) for s in part], dtype=np.int64) for part in (left, right)]
+    flat = np.concatenate([*left, *right])
+    kinds, back, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(left) + len(right)), np.concatenate(sizes))
+    often = counts > 1
+    column = (np.cumsum(often) - 1)[back]
+    use = often[back]
+    row, column, width = row[use], column[use], int(often.sum())
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((len(left), len(right)))
+    for at in range(0, width, 8192):
+        a, b = np.searchsorted(column, [at, at + 8192])
+        part = np.zeros((len(left) + len(right), min(8192, width - at)), dtype=np.float32)
+        part[row[a:b], column[a:b] - at] = 1
+        both += part[: len(left)] @ part[len(left) :].T
+    return 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
+
+
+def _spanning(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Links of a pair of blocks that join components; rows of (id, component, in the first block, in the second, set)."""
+    left, right = [r for r in rows if r[2]], [r for r in rows if r[3]]
+    if not left or not right or len({r[1] for r in rows}) < 2:
+        return
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    like = block_similar(*([np.frombuffer(r[4], np.uint64) for r in part] for part in (left, right)), percent)
+    for i, j in zip(*np.nonzero(like), strict=True):
+        x, y = find(left[i][1]), find(right[j][1])
+        if x != y:
+            root[x] = y
+            yield left[i][0], right[j][0]
+
+
+def _blocks(percent: int):
+    def blocks(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def groups() -> Iterator[list[tuple]]:
+            held, name = [], None
+            for batch in batches:
+                cols = [batch.column(c).to_pylist() for c in ("ref", "low", "high", "id", "component", "block", "shingles")]
+                for ref, low, high, *rest in zip(*cols, strict=True):
+                    if (ref, low, high) != name:
+                        if held:
+                            yield held
+                        held, name = [], (ref, low, high)
+                    held.append((rest[0], rest[1], rest[2] == low, rest[2] == high, rest[3]))
+            if held:
+                yield held
+
+        found: list[tuple[int, int]] = []
+        for rows in groups():
+            found += _spanning(rows, percent)
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
+
+    return blocks
+
+
+def _block_links(spark: SparkSession, members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links between components among the members (``id``, ``ref``, ``component``) of one ``ref``.
+
+    The members of a ref are cut into blocks of about BLOCK; every pair of blocks is a group of
+    its own, so no task gets a whole ref. Only links that join components leave a task.
+    """
+    refs = members.groupBy("ref").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
+    refs = refs.filter("x <> y").select("ref", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("parts"))
+    rows = stored(spark, members.join(refs, "ref"), "neardup-blocks")
+    full = texts.join(rows.select("id").distinct(), "id").mapInArrow(_sets(width), "id long, shingles binary")
+    cut = rows.join(full, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cut = cut.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
+    cut = cut.select("ref", "low", "high", "id", "component", "block", "shingles")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group = ["ref", "low", "high"]
+    return stored(spark, cut.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_blocks(percent), "a long, b long"), "neardup-links")
+
+
 def near_duplicates(
     spark: SparkSession,
     docs: DataFrame,
@@ -182,15 +277,20 @@ def near_duplicates(
     label = components(spark, links)
     known = grouped.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    open_ = stored(spark, known.join(mixed, "key", "left_semi").select("key", "id", "n", "component"), "neardup-open")
-    p, q = open_.alias("p"), open_.alias("q")
+    open_ = known.join(mixed, "key", "left_semi").join(leaders.withColumn("lead", F.col("lead").dropFields("n")), "key")
+    open_ = stored(spark, open_.select("key", "id", "n", "component", "lead"), "neardup-open")
+    # around one leader, in blocks; what meets in a key but has different leaders, pair by pair
+    members = open_.groupBy("id").agg(F.max("lead")["id"].alias("ref"), F.first("component").alias("component"))
+    members = stored(spark, members, "neardup-members")
+    blocks = _block_links(spark, members, known_texts, percent, width)
+    placed = open_.join(members.select("id", "ref"), "id")
+    p, q = placed.alias("p"), placed.alias("q")
     cross = (F.col("p.key") == F.col("q.key")) & (F.col("p.component") < F.col("q.component")) & close(F.col("p.n"), F.col("q.n"))
-    second = p.join(q, cross).select(F.greatest("p.id", "q.id").alias("a"), F.least("p.id", "q.id").alias("b")).distinct()
+    second = p.join(q, cross & (F.col("p.ref") != F.col("q.ref"))).select(F.greatest("p.id", "q.id").alias("a"), F.least("p.id", "q.id").alias("b")).distinct()
     second = stored(spark, within_distance(second.join(first, ["a", "b"], "left_anti"), sets), "neardup-pairs")
-    if second.limit(1).count():
-        more = confirm(spark, second, known_texts, percent, width)
-        links = links.union(more)
-        label = components(spark, links)
+    more = confirm(spark, second, known_texts, percent, width)
+    links = links.union(blocks).union(more)
+    label = components(spark, links)
     # ids with several texts join their sets
     own = real.select("id", "d1", "d2", "n_shingles").distinct()
     twins = own.groupBy("id").agg(F.count("*").alias("k")).filter("k > 1")
