@@ -8,6 +8,7 @@ encoded whole.
 
 from __future__ import annotations
 
+import array
 import re
 from collections.abc import Iterator
 
@@ -15,7 +16,9 @@ from collections.abc import Iterator
 _ODD = re.compile("[\x1c-\x1f᠎​﻿]")
 _RUNS = re.compile(r"\s*\S+|\s+")
 #: Runs kept in a task.
-KEPT = 300_000
+KEPT = 600_000
+#: Punctuation that ends a word; what stands before it, if letters, is encoded apart.
+_TAIL = ".,!?;:#$%&*"
 
 
 class Encoder:
@@ -33,12 +36,57 @@ class Encoder:
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.spaces = spaces
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        import numpy as np
+
+        vocabulary = self.tokenizer.get_vocab()
+        #: Of each id, whether it ends a word, for tokenizers that mark that.
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for x, i in vocabulary.items() if x.endswith("</w>")]] = True
 
     def _raw(self, texts: list[str]) -> Iterator[bytes]:
+        for x in self.encode(texts, add_special_tokens=False):
+            yield array.array("I", x.ids).tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Add runs to those that are known."""
+        if self.spaces or not self.ends.any():
+            for i in range(0, len(new), 20_000):
+                part = new[i : i + 20_000]
+                self.known.update(zip(part, self._raw(part), strict=True))
+            return
+        # a word of letters and its punctuation are one token sequence each, and capitals A-Z are lowered
+        whole, rest = {}, []
+        for w in new:
+            core = w.rstrip(_TAIL)
+            if core.isalpha() and max(core) < "\u0250":
+                whole[w] = (core.lower() if core.isascii() else core, w[len(core) :])
+            else:
+                rest.append(w)
+        if len(self.parts) > KEPT:
+            self.parts.clear()
+        self._learn_parts({x for pair in whole.values() for x in pair if x}.difference(self.parts))
+        self.parts[""] = b""
+        parts = self.parts
+        self.known.update((w, parts[a] + parts[b]) for w, (a, b) in whole.items())
+        self.known.update(zip(rest, self._raw(rest), strict=True))
+
+    def _learn_parts(self, new: set[str]) -> None:
+        """Encode single words many at a time: each ends with the one id that ends a word."""
         import numpy as np
 
-        for x in self.encode(texts, add_special_tokens=False):
-            yield np.array(x.ids, dtype="<u4").tobytes()
+        order = list(new)
+        lists = [order[i : i + 500] for i in range(0, len(order), 500)]
+        for words, x in zip(lists, self.encode([" ".join(p) for p in lists], add_special_tokens=False), strict=True):
+            ids = np.array(x.ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(words):
+                self.parts.update(zip(words, self._raw(words), strict=True))
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, stop in zip(words, stops.tolist(), strict=True):
+                self.parts[w] = raw[4 * at : 4 * stop]
+                at = stop
 
     def runs(self, text: str) -> list[str]:
         """The runs of a text."""
@@ -60,10 +108,7 @@ class Encoder:
             if len(self.known) + len(new) > KEPT:
                 self.known.clear()
                 new = set().union(*cut)
-            order = list(new)
-            for i in range(0, len(order), 20_000):
-                part = order[i : i + 20_000]
-                self.known.update(zip(part, self._raw(part), strict=True))
+            self._learn(list(new))
             get = self.known.__getitem__
             for runs in cut:
                 yield list(map(get, runs))
