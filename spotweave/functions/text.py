@@ -36,7 +36,7 @@ def thousands(col: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """Percent with two decimals; 0.0 of nothing."""
     share = F.try_divide(part.cast("double") * 100, whole.cast("double"))
-    return F.coalesce(F.format_string("%.2f", F.round(share, 2)), F.lit("0.0"))
+    return F.when(share.isNull(), "0.0").otherwise(F.format_string("%.2f", F.round(share, 2)))
 
 
 def si_number(col: Column) -> Column:

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spotweave.config import ProteinSpec, RunSpec
+from spotweave.functions import reads as R
 from spotweave.functions import sequence
 from spotweave.operators import mapping
+from spotweave.storage import shared_dir
 
 #: Fixed value: groups with fewer distinct identifiers aren't collapsed.
 LEAST_UMIS = 5
@@ -83,6 +85,7 @@ def umi_collapse(spark: SparkSession, ranked: DataFrame, length: int, most: int
 
     Roots are found by pointer jumping, each round stored: the depth of a tree is halved.
     """
+    ranked = _stored(spark, ranked)  # read three times from here on
     state = umi_parents(ranked, length).withColumn("root", F.coalesce("parent", "rank"))
     state = _stored(spark, state.select(*GROUP, "umi", "umi_code", "rank", "root", "n"))
     for _ in range(most):
@@ -98,8 +101,6 @@ def umi_collapse(spark: SparkSession, ranked: DataFrame, length: int, most: int
 
 
 def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
-    from spotweave.storage import shared_dir
-
     path = f"{shared_dir(spark)}/umi-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -126,8 +127,6 @@ def duplication(collapsed: DataFrame) -> DataFrame:
 
 def protein_quality(hits: DataFrame, mapped: DataFrame, spec: ProteinSpec) -> DataFrame:
     """One row: quality percentages of protein barcodes of passing pairs, over the bases of mapped pairs."""
-    from spotweave.functions import reads as R
-
     cut = F.substring("qual2", spec.start + 1, spec.length)
     row = mapped.agg(
         F.count_if(F.col("x").isNotNull()).alias("mapped"),

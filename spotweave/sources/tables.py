@@ -21,7 +21,7 @@ def read_mask_text(spark: SparkSession, path: str, src: int = 0) -> DataFrame:
 def read_mask_binary(spark: SparkSession, path: str, src: int = 0) -> DataFrame:
     """Masks of 16-byte records: code (64 bits), x, y (32 bits), little-endian."""
     raw = spark.sparkContext.binaryRecords(path, 16).map(lambda b: (bytearray(b),)).toDF("r binary")
-    number = lambda a, n: F.conv(F.hex(F.concat(*[F.substring("r", a + n - k, 1) for k in range(n)])), 16, 10).cast("decimal(20,0)").cast("long")
+    number = lambda a, n: F.conv(F.hex(F.concat(*[F.substring("r", a + n - 1 - k, 1) for k in range(n)])), 16, 10).cast("decimal(20,0)").cast("long")
     return raw.select(number(1, 8).alias("bc"), number(9, 4).alias("x"), number(13, 4).alias("y"), F.lit(src).alias("src"), F.monotonically_increasing_id().alias("rec_no"))
 
 
