@@ -5,8 +5,12 @@ The SQL runs unchanged in Spark and DuckDB.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from spotweave.storage import shared_dir
+
 #: View to SQL over the base tables (the last one over ``read_pairs``).
 SQL = {
     "chip_mask": """
@@ -69,10 +73,28 @@ NEEDS = {"protein_read_pairs": ["read_pairs"]}
 TABLES = ("orders", "lineitem", "events", "supplier")
 
 
+#: Where each view of a session has been stored.
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture as a DataFrame over the tables in ``sf_dir``."""
+    """A fixture over the tables in ``sf_dir``, derived once in a session and stored as Parquet.
+
+    Runs read sequences from files too; derived anew, the view's nested expressions would be
+    copied into every filter above them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = f"{shared_dir(spark)}/fixture-{name}-{uuid.uuid4().hex}"
+        derived(spark, sf_dir, name).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fixture as a query over the tables in ``sf_dir``."""
     parts = {x: spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in TABLES if f"FROM {x}" in SQL[name]}
-    parts |= {x: view(spark, sf_dir, x) for x in NEEDS.get(name, [])}
+    parts |= {x: derived(spark, sf_dir, x) for x in NEEDS.get(name, [])}
     text = SQL[name]
     for x in parts:
         text = text.replace(f"FROM {x}", f"FROM {{{x}}}")
