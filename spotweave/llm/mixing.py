@@ -85,7 +85,7 @@ def mix(
     """Documents repeated to target weights: the columns of ``docs`` and ``mix_copy`` (from 0), ``mix_copies``, ``mix_key``.
 
     Rows with equal ``key`` draw the same number. A null group is a group of its own and a null
-    key a key of its own. ``mix_key`` (long, hashed from seed, key and copy) is a uniform random order:
+    key a key of its own. ``mix_key`` (md5 of seed, key and copy) is a uniform random order:
     rows are dealt to partitions by it and sorted by it within. An empty table stays empty.
     The table of rates is broadcast only if it has at most ``max_groups`` rows.
     """
@@ -100,7 +100,7 @@ def mix(
         .drop("_mix_cdf", "_mix_group", "_mix_u")
         .filter(F.col("mix_copies") > 0)
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
-        .withColumn("mix_key", F.xxhash64(F.lit(seed), *keys, F.col("mix_copy")))
+        .withColumn("mix_key", F.md5(F.concat_ws("\x1f", F.lit(seed), *keys, F.col("mix_copy").cast("string"))))
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return copied.repartition(n, "mix_key").sortWithinPartitions("mix_key")
