@@ -25,8 +25,8 @@ from spotweave.llm.shingles import Prefixes, mix
 WINDOW, REACH, GRAM = 400, 200, 16
 #: Bytes of text handled at once.
 CHUNK = 2_000_000
-#: Different surroundings of an anchor beyond which its windows are compared one by one, each by its own key.
-MOST = 2_000
+#: Different surroundings of an anchor (16 MB of text) beyond which they aren't sorted in one task: each of their windows is compared by a key of its own.
+MOST = 20_000
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
