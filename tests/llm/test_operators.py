@@ -266,6 +266,10 @@ def test_language(spark):
     assert all(found[i]["lang_pred"] == lang for i, _, lang in rows[40:])
     assert [found[i]["lang_pred"] for i in (100, 101, 102)] == ["und"] * 3 and found[103]["lang_pred"] == "fr"
     assert all(0 <= r["lang_score"] <= 1 for r in found.values())
+    empty = train.limit(0)
+    nothing = language.train(spark, empty)
+    assert language.identify(spark, train, nothing).filter("lang_pred <> 'und'").count() == 0
+    assert language.identify(spark, empty, models).count() == 0
 
 
 def test_quality(spark, docs, none):
