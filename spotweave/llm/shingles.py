@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of text handled at once; a longer text is handled by itself.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
