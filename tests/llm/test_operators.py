@@ -272,6 +272,24 @@ def test_language(spark):
     assert language.identify(spark, empty, models).count() == 0
 
 
+def test_language_keeps_every_letter(spark):
+    letters = "абвгдежзийклмнопрстуфхцчшщъыьэюяё äßéêàüöñ 漢字仮名ひらがな 한국 αβγδ ابتپ कखग 𐐨𐐩 𠀀𠀁"
+    seen = {language.symbols(c).tobytes() for c in letters if c != " "}
+    assert len(seen) == len(set(letters) - {" "})
+    assert language.symbols("नि").tolist() == [0, 0x928, 0x93F, 0]  # a mark is no boundary
+    assert language.symbols("e\u0301").tolist() == language.symbols("é").tolist()
+    assert language.symbols("𠀀").tolist() == [0, 0xD840, 0xDC00, 0]
+    assert len(language.symbols("❤\ufe0f")) == 0
+    rng = np.random.default_rng(4)
+    # letters of the two languages lie five code points apart
+    sets = {"ru": "абвгд", "uk": "ежзий", "zh": "".join(chr(0x4E00 + k) for k in range(5)), "ja": "".join(chr(0x4E05 + k) for k in range(5)), "hi": "कखगघङ", "mr": "चछजझञ"}
+    make = lambda own: " ".join("".join(rng.choice(list(own), 5)) for _ in range(20))
+    rows = [(i, make(own), lang) for i, (lang, own) in enumerate(list(sets.items()) * 10)]
+    models = language.train(spark, spark.createDataFrame(rows[:42], "doc_id long, text string, lang string"))
+    found = language.identify(spark, spark.createDataFrame(rows[42:], "doc_id long, text string, lang string"), models).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {i: lang for i, _, lang in rows[42:]}
+
+
 def test_quality(spark, docs, none):
     trusted = docs.filter("doc_id < 30").select("doc_id")
     got = quality.quality(spark, docs, trusted).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
