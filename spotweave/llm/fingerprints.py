@@ -1,6 +1,6 @@
 """Canonical exact digests of documents.
 
-A text is composed (Unicode canonical composition), lower-cased and its whitespace folded; two
+A text is decomposed (Unicode canonical decomposition, NFD), lower-cased and its whitespace folded; two
 64-bit xxhashes of the outcome name a bucket, and bytes are compared inside each bucket, so that
 texts share a fingerprint exactly if they have the same canonical form.
 """
@@ -18,65 +18,98 @@ from pyspark.sql import functions as F
 from spotweave.llm.common import stored, text_or_empty
 
 
-@functools.cache
-def _composition() -> tuple[dict[str, str], dict[str, str]]:
-    """From Unicode data: singletons to their composed form, and decomposed clusters to theirs."""
-    single, clusters = {}, {}
-    for point in range(0x80, sys.maxunicode + 1):
-        c = chr(point)
-        if 0xAC00 <= point <= 0xD7A3 or 0xD800 <= point <= 0xDFFF:
-            continue
-        full = unicodedata.normalize("NFD", c)
-        if full == c:
-            continue
-        whole = unicodedata.normalize("NFC", c)
-        if len(full) == 1:
-            single[c] = full
+#: Code points further apart than this are kept in tables of their own.
+_GAP = 1024
+
+
+def _tables(values: dict[int, object]) -> list[tuple[int, list]]:
+    """Dense tables (first code point, values with None between) of what single code points map to."""
+    out: list[tuple[int, list]] = []
+    for p in sorted(values):
+        if out and p - (out[-1][0] + len(out[-1][1])) < _GAP:
+            first, held = out[-1]
+            held.extend([None] * (p - first - len(held)))
+            held.append(values[p])
         else:
-            clusters[full] = whole
-            # a composed letter with one more mark
-            parts = unicodedata.decomposition(c).split()
-            if len(parts) == 2 and not parts[0].startswith("<"):
-                clusters["".join(chr(int(p, 16)) for p in parts)] = whole
-            if whole != c:
-                clusters[c] = whole
-    return single, clusters
-
-
-def _class(chars: str) -> str:
-    """A regular expression class of the characters, in ranges."""
-    points, out = sorted(map(ord, set(chars))), []
-    for p in points:
+            out.append((p, [values[p]]))
+    return out
+
+
+@functools.cache
+def _decomposition() -> list[tuple[int, list]]:
+    """From Unicode data: full canonical decompositions, Hangul syllables too."""
+    points = (p for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF)
+    return _tables({p: full for p in points if (full := unicodedata.normalize("NFD", chr(p))) != chr(p)})
+
+
+@functools.cache
+def _classes() -> list[tuple[int, list]]:
+    """From Unicode data: combining classes other than 0."""
+    return _tables({p: k for p in range(0x80, sys.maxunicode + 1) if (k := unicodedata.combining(chr(p)))})
+
+
+def _looked_up(char: Column, tables: list[tuple[int, list]], kind: str) -> Column:
+    """What the first code point of ``char`` maps to, or null; a table is an array, so a look-up takes constant time."""
+    point, out = F.ascii(char), F.lit(None).cast(kind)
+    for first, held in tables:
+        table = F.from_json(F.lit(json.dumps(held)), f"array<{kind}>")
+        out = F.when((point >= first) & (point < first + len(held)), F.get(table, point - first)).otherwise(out)
+    return out
+
+
+def _class(points: list[int]) -> str:
+    """The inside of a regular expression class of the code points, in ranges."""
+    out: list[list[int]] = []
+    for p in sorted(points):
         if out and out[-1][1] == p - 1:
             out[-1][1] = p
         else:
             out.append([p, p])
-    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out) + "]"
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out)
+
+
+def _held(value: Column, use) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
-def composed(text: Column) -> Column:
-    """Canonical composition, for every cluster of Unicode data made of a letter and its marks in canonical order, and singletons.
+def _sorted_marks(run: Column) -> Column:
+    """Neighbouring characters of combining classes other than 0, in the order of the classes; equal classes keep theirs."""
+    chars = F.regexp_extract_all(run, F.lit("(?s)."), F.lit(0))
+    keyed = F.transform(chars, lambda c, i: F.struct(_looked_up(c, _classes(), "int").alias("k"), i.alias("i"), c.alias("c")))
+    return F.array_join(F.transform(F.array_sort(keyed), lambda x: x["c"]), "")
 
-    Marks out of canonical order and Hangul letters are left as they are. Texts without any mark
-    or singleton, nearly all, pass untouched.
+
+def decomposed(text: Column) -> Column:
+    """Canonical decomposition (NFD): each code point fully decomposed, then each run of marks ordered by combining class.
+
+    Texts without a code point that decomposes or a mark, and pieces without any, pass untouched.
     """
-    single, clusters = _composition()
-    # one entry for each code point or cluster in Unicode data that composes
-    table = F.from_json(F.lit(json.dumps(clusters)), "map<string,string>")
-    singles = "".join(single)
-    step = F.when(text.rlike(_class(singles)), F.translate(text, singles, "".join(single.values()))).otherwise(text)
-    runs = F.regexp_extract_all(step, F.lit(r"(?s)\P{M}\p{M}*|\p{M}+"), F.lit(0))
-    whole = F.transform(runs, lambda c: F.when(F.length(c) > 1, F.coalesce(F.try_element_at(table, c), c)).otherwise(c))
-    return F.when(step.rlike(r"\p{M}"), F.array_join(whole, "")).otherwise(step)
+    # nothing below U+00C0 decomposes
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x{C0}-\x{10FFFF}]|[^\x{C0}-\x{10FFFF}]+"), F.lit(0))
+    whole = F.array_join(F.transform(pieces, lambda c: F.coalesce(_looked_up(c, _decomposition(), "string"), c)), "")
+    step = F.when(text.rlike(r"[\x{C0}-\x{10FFFF}]"), whole).otherwise(text)
+
+    # marks newer than the Unicode data of the JVM are unassigned to it
+    mark, marks = r"[\p{M}\p{Cn}]", _class([first + k for first, held in _classes() for k, x in enumerate(held) if x])
+
+    def ordered(t: Column) -> Column:
+        runs = F.regexp_extract_all(t, F.lit(rf"{mark}+|[^\p{{M}}\p{{Cn}}]+"), F.lit(0))
+        inner = lambda r: F.regexp_extract_all(r, F.lit(f"[{marks}]+|[^{marks}]+"), F.lit(0))
+        part = lambda m: F.when((F.length(m) > 1) & _looked_up(m, _classes(), "int").isNotNull(), _sorted_marks(m)).otherwise(m)
+        fixed = F.transform(runs, lambda r: F.when(r.rlike(f"^{mark}{{2}}"), F.array_join(F.transform(inner(r), part), "")).otherwise(r))
+        return F.when(t.rlike(f"{mark}{{2}}"), F.array_join(fixed, "")).otherwise(t)
+
+    return _held(step, ordered)
 
 
 def canonical(text: Column) -> Column:
-    """Composed, lower-cased, each run of whitespace one space, none at the ends.
+    """Decomposed, lower-cased, each run of whitespace one space, none at the ends.
 
-    What is rare is asked for first: nothing composes below U+0300, and most texts have no
+    What is rare is asked for first: nothing decomposes below U+00C0, and most texts have no
     whitespace but single spaces and line breaks.
     """
-    plain = F.lower(F.when(text.rlike(r"[\x{300}-\x{10FFFF}]"), composed(text)).otherwise(text))
+    plain = F.lower(F.when(text.rlike(r"[\x{C0}-\x{10FFFF}]"), decomposed(text)).otherwise(text))
     for c in "\n\t\r":
         plain = F.replace(plain, F.lit(c), F.lit(" "))
     odd = r"[\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"

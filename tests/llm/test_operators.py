@@ -207,6 +207,22 @@ def test_canonical_forms(spark):
     assert found[4] == found[5]
 
 
+def test_decomposition_equals_unicodedata(spark):
+    from unicodedata import combining, normalize
+
+    points = [chr(p) for p in range(1, 0x110000) if not 0xD800 <= p <= 0xDFFF]
+    texts = ["x".join(points[k : k + 4096]) for k in range(0, len(points), 4096)]
+    marks = [c for c in points if combining(c)] + list("\u093e\u200d\u1161\u11a8")
+    rng = np.random.default_rng(6)
+    texts += ["".join(b + "".join(rng.choice(marks, 5)) for b in rng.choice(points, 50)) for _ in range(200)]
+    texts += ["".join(rng.choice(marks, 300)), "", "\u0301", "a\u0301\u0323 \u1ea1\u0301 \u0928\u093c\u093e \u0958 한국 🎼"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fingerprints.decomposed(F.col("t")).alias("d")).collect()
+    assert all(r["d"] == normalize("NFD", texts[r["i"]]) for r in rows)
+    pairs = [("\u0928\u093c\u093e", "\u0929\u093e"), ("a\u0323\u0301", "\u1ea1\u0301"), ("\u0958", "\u0915\u093c"), ("한", "\u1112\u1161\u11ab"), ("a\u0301\u0323", "a\u0323\u0301")]
+    found = fingerprints.fingerprints(spark, spark.createDataFrame([(k, t) for k, p in enumerate(pairs) for t in p], "doc_id int, text string"))
+    assert found.groupBy("doc_id").agg(F.countDistinct("fingerprint").alias("n")).filter("n > 1").count() == 0
+
+
 def test_bucket_clash_is_told_by_bytes(spark):
     rows = spark.createDataFrame([("h", "a"), ("h", "b"), ("h", "b"), ("i", "c")], "_hash string, _canon string")
     clash = fingerprints.collisions(spark, rows)
