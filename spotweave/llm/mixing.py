@@ -3,7 +3,8 @@
 Each group (a source) has a mean repetition rate: its target share of the output over its share
 of the input. Every document draws its number of copies from the Poisson law with that mean by
 inverting the distribution at a uniform number hashed from the seed and its key, so the draw is
-independent of partitioning and of all other documents. Copies are exploded and shuffled
+independent of partitioning and of all other documents. A mean above ``LARGE`` is split into equal
+parts, each with a draw of its own: a sum of Poisson draws is a Poisson draw. Copies are exploded and shuffled
 globally by a hashed key.
 """
 
@@ -16,6 +17,8 @@ from spotweave.llm.common import unit_hash
 
 #: Where the null group stands in weights and rates.
 NULL_GROUP = "\x00null"
+#: Largest mean of a single draw (exp(-mean) is 0 beyond 745), and of the parts of a larger one.
+LARGE, PART = 500, 256
 
 
 def rates(
@@ -49,7 +52,7 @@ def rates(
 
 
 def poisson_cdf(rate: Column) -> Column:
-    """Array of P(X <= k), k = 0, 1, ..., for a Poisson law with mean ``rate`` below 500.
+    """Array of P(X <= k), k = 0, 1, ..., for a Poisson law with mean ``rate`` of at most ``LARGE``.
 
     It ends where the tail is below the 52 bits of a draw.
     """
@@ -90,14 +93,19 @@ def mix(
     The table of rates is broadcast only if it has at most ``max_groups`` rows.
     """
     table = rates(docs, by, weights, temperature, size)
-    table = table.withColumns({"_mix_group": F.col("group"), "_mix_cdf": poisson_cdf(F.col("rate"))}).select("_mix_group", "_mix_cdf")
+    parts = F.when(F.col("rate") <= LARGE, 1).otherwise(F.ceil(F.col("rate") / PART)).cast("int")
+    table = table.withColumns({"_mix_group": F.col("group"), "_mix_parts": parts})
+    table = table.withColumn("_mix_cdf", poisson_cdf(F.col("rate") / F.col("_mix_parts"))).select("_mix_group", "_mix_parts", "_mix_cdf")
     few = docs.agg(F.approx_count_distinct(by)).first()[0] <= max_groups
     named = docs.withColumn("_mix_group", F.coalesce(F.col(by).cast("string"), F.lit(NULL_GROUP)))
     keys = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_GROUP)) for k in key]
     drawn = named.join(F.broadcast(table) if few else table, "_mix_group").withColumn("_mix_u", unit_hash(seed, *keys))
+    further = F.transform(F.sequence(F.lit(2), F.col("_mix_parts")), lambda j: unit_hash(f"{seed}/part", *keys, j.cast("string")))
+    drawn = drawn.withColumn("_mix_more", F.when(F.col("_mix_parts") > 1, further))
+    more = F.aggregate(F.col("_mix_more"), F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("_mix_cdf", lambda c: c <= u)))
     copied = (
-        drawn.withColumn("mix_copies", F.expr("size(filter(_mix_cdf, c -> c <= _mix_u))").cast("long"))
-        .drop("_mix_cdf", "_mix_group", "_mix_u")
+        drawn.withColumn("mix_copies", F.expr("size(filter(_mix_cdf, c -> c <= _mix_u))").cast("long") + F.coalesce(more, F.lit(0).cast("long")))
+        .drop("_mix_cdf", "_mix_group", "_mix_u", "_mix_parts", "_mix_more")
         .filter(F.col("mix_copies") > 0)
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
         .withColumn("mix_key", F.md5(F.concat_ws("\x1f", F.lit(seed), *keys, F.col("mix_copy").cast("string"))))

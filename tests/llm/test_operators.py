@@ -240,6 +240,16 @@ def test_mixing(spark, docs, none):
     assert copies.filter("n <> k").count() == 0
 
 
+def test_mixing_large_rates(spark):
+    few = spark.range(60).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"))
+    for rate in (499.0, 501.0, 1324.0, 5000.0):
+        held = mixing.mix(spark, few, size=rate).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("mix_copies").alias("k")).collect()
+        n = np.array([r["n"] for r in held])
+        assert len(n) == 60 and all(r["n"] == r["k"] for r in held)
+        assert abs(n.mean() - rate) < 5 * (rate / 60) ** 0.5
+        assert 0.5 < n.var() / rate < 1.8
+
+
 def test_tokens(spark, docs, none):
     from tokenizers import Tokenizer
 
