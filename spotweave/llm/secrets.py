@@ -23,8 +23,8 @@ BASE = [
 _QUICK = {"assign": BASE[0][1], "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 #: Whether a text can hold a match at all.
 _GATE = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": "AKIA", "hex": r"[0-9a-f]{16}"}
-#: Further candidates: runs of 20 to 200 characters with a digit, a capital and a small letter.
-WIDE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9A-Z+/_=-]*[a-z])(?=[0-9a-z+/_=-]*[A-Z])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])"
+#: Further candidates: runs of 20 characters or more with a digit, a capital and a small letter.
+WIDE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9A-Z+/_=-]*[a-z])(?=[0-9a-z+/_=-]*[A-Z])[A-Za-z0-9+/_=-]{20,}+"
 #: Order of kinds at equal starts.
 KINDS = ["assign", "access", "hex", "live"]
 
@@ -54,17 +54,17 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int, gate:
     return F.when(text.rlike(gate), kept).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>"))
 
 
-def _overlaps(spans: Column, x: Column) -> Column:
-    return F.exists(spans, lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+def _contained(spans: Column, x: Column) -> Column:
+    return F.exists(spans, lambda y: (y["start"] <= x["start"]) & (x["end"] <= y["end"]))
 
 
 def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_base`` and ``_wide``: arrays of spans; wide ones don't overlap base ones."""
+    """``docs`` with ``_base`` and ``_wide``: arrays of spans; a wide one isn't within a single base one."""
     text = text_or_empty(text_col)
     base = [_spans(text, k, _QUICK[k], g, n, _GATE[k]) for k, _, g, n in BASE]
     step = docs.withColumn("_base", F.array_sort(F.concat(*base)))
     wide = _spans(text, "live", WIDE, 0, 20, r"[A-Za-z0-9+/_=-]{20}")
-    return step.withColumn("_wide", F.filter(wide, lambda x: ~_overlaps(F.col("_base"), x)))
+    return step.withColumn("_wide", F.filter(wide, lambda x: ~_contained(F.col("_base"), x)))
 
 
 def scan(

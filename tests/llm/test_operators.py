@@ -115,6 +115,14 @@ def test_secret_owners(spark):
     assert [r["out"] for r in found] == ["key <SECRET> end", f"key {copied} end", f"key {copied} end"]
 
 
+def test_secrets_long_and_around_base(spark):
+    long, around = "Zk3" + "aB9xY7" * 400, "Qm5cD8wV2LLxx" + "0123456789abcdef" + "TTyyQm5cD8wV2"
+    rows = [(1, f"key {long} end", "en", "a", 0), (2, f"key {around} end", "en", "a", 0), (3, "token=abcDEF123456789012345678 end", "en", "a", 0)]
+    found = secrets.scan(spark, spark.createDataFrame(rows, SCHEMA)).withColumn("out", secrets.redact(F.col("text"), F.col("secret_spans"))).orderBy("doc_id").collect()
+    assert [r["out"] for r in found] == ["key <SECRET> end", "key <SECRET> end", "<SECRET> end"]
+    assert [[s["rank"] for s in r["secret_spans"]] for r in found] == [[3], [3, 2], [0, 2]]
+
+
 def test_near_duplicates(spark, docs, none):
     got = Counter(map(tuple, neardup.near_duplicates(spark, docs).collect()))
     sets = []
