@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.llm import mixing, neardup, packing, quality, secrets
-from spotweave.llm.common import documents, stored
+from spotweave.llm.common import documents, stored, text_or_empty
 from spotweave.llm.queries import tokenizer_path
 
 
@@ -25,13 +25,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five words, similarity 0.8 or more): the one with the smallest id.
 
-    A row whose id is null stays; of rows with the same id one stays.
+    A row whose id is null stays. If an id is repeated, texts are grouped and not ids: different texts
+    of one id stay, and of rows with the same id and text one does.
     """
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").limit(1).count():
+        return _near_duplicate_texts(spark, docs)
     found = neardup.near_duplicates(spark, docs.select("doc_id", "text"), percent=80)
     gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+def _near_duplicate_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``near_duplicate_stage`` where ids are repeated: each id and text is a document of its own.
+
+    A group keeps the smallest id and, of its texts, the one with the smallest digest. A null text is an empty one.
+    """
+    named = docs.withColumn("_digest", F.sha2(text_or_empty(), 256))
+    rows = named.filter("doc_id is not null").groupBy("doc_id", "_digest").agg(F.first(text_or_empty()).alias("text"))
+    rows = stored(spark, rows.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = neardup.near_duplicates(spark, rows.select("_row", "text"), percent=80, id_col="_row")
+    placed = rows.drop("text").join(found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
+    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_digest")).alias("k")).select("k.doc_id", "k._digest")
+    kept = named.filter("doc_id is not null").join(first, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "_digest"])
+    return kept.select(docs.columns).union(docs.filter("doc_id is null"))
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +75,7 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: SQL has no tokenizer and no xxhash; the pipeline is tested stage by stage against brute force.
+#: SQL has no tokenizer and no xxhash; the pipeline is tested stage by stage, near-dedup with null and repeated ids against brute force.
 ORACLE_SQL = None
 
 

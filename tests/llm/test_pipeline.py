@@ -4,6 +4,50 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 TABLES = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def odd_ids():
+    """Null ids, an id with two texts, repeated rows, and near copies within and across ids."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(120))
+    near = text(1).replace("w1x60", "changed")
+    rows = [(None, text(0)), (None, text(0)), (None, text(8)), (None, None), (1, text(1)), (2, text(2)), (2, text(3)), (3, text(4)), (3, text(4))]
+    rows += [(4, near), (5, text(5)), (5, text(5).upper()), (6, text(3)), (7, None), (7, None), (8, None), (9, text(6)), (9, near)]
+    return [(i, t, "en", "a", len(t or "")) for i, t in rows]
+
+
+def near_duplicate_brute(rows):
+    """Ids and lower-cased texts that stay."""
+    def shingles(t):
+        w = (t or "").lower().split()
+        return frozenset(zip(*[w[k:] for k in range(5)]))
+
+    named = sorted({(i, t or "") for i, t in rows if i is not None})
+    groups = []
+    for row in named:
+        own = shingles(row[1])
+        met = [g for g in groups if any(own and 100 * len(own & s) >= 80 * len(own | s) for s in map(shingles, (r[1] for r in g)))]
+        groups = [g for g in groups if g not in met] + [[row] + [r for g in met for r in g]]
+    kept = [min(g, key=lambda r: r[0]) for g in groups]
+    return sorted([(i, t.lower()) for i, t in kept] + [(-1, (t or "").lower()) for i, t in rows if i is None])
+
+
+def test_near_duplicate_stage_with_odd_ids(spark):
+    every = odd_ids()
+    for rows in (every, [r for k, r in enumerate(every) if r[0] is None or r[0] not in {x[0] for x in every[:k]}]):
+        got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, SCHEMA), TABLES).collect()
+        want = near_duplicate_brute([r[:2] for r in rows])
+        assert sorted((-1 if r["doc_id"] is None else r["doc_id"], (r["text"] or "").lower()) for r in got) == want
+
+
+def test_row_stages_with_odd_ids(spark):
+    docs = spark.createDataFrame(odd_ids(), SCHEMA)
+    assert sorted(map(str, corpus_pipeline.secrets_stage(spark, docs, TABLES).collect())) == sorted(map(str, docs.collect()))
+    mixed = corpus_pipeline.mixing_stage(spark, docs, TABLES)
+    assert mixed.columns == docs.columns and mixed.exceptAll(docs.union(docs).union(docs).union(docs).union(docs).union(docs)).count() == 0
+    packed = corpus_pipeline.packing_stage(spark, docs, TABLES)
+    assert packed.filter("doc_id is null").count() == 4
+    assert packed.count() == docs.count()
 
 
 def test_stages(spark, tmp_path):
