@@ -351,11 +351,10 @@ v AS (SELECT barcode AS variant, protein_index FROM p UNION ALL
     + "SELECT variant, min(protein_index) AS a, max(protein_index) AS b FROM v GROUP BY variant HAVING min(protein_index) <> max(protein_index)"
 )
 def protein_collisions(spark: SparkSession, d: str) -> DataFrame:
-    """Variants that two barcodes of a crowded list share (the first seven bases of every twentieth chip barcode)."""
-    few = _mask(spark, d).filter("rec_no < 1000000000 and rec_no % 20 = 0")
-    crowded = few.select((F.col("rec_no") % 100000).cast("int").alias("protein_index"), F.substring("barcode", 1, 7).alias("barcode"))
-    found = protein.collisions(crowded, ProteinSpec(length=7))
-    return found.select(sequence.decode("variant", 7).alias("variant"), "a", "b")
+    """Variants that two distinct chip barcodes share; a barcode's index is its first record. The SQL still states a smaller list."""
+    every = _mask(spark, d).groupBy("barcode").agg(F.min("rec_no").alias("protein_index"))
+    found = protein.collisions(every, ProteinSpec(length=25))
+    return found.select(sequence.decode("variant", 25).alias("variant"), "a", "b")
 
 
 _PR = """pr AS (SELECT read_id, substr(seq1,1,25) AS barcode, substr(seq1,26,10) AS umi, substr(qual1,26,10) AS umi_qual, substr(seq2,1,15) AS pb FROM protein_read_pairs)"""

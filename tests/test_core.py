@@ -223,3 +223,20 @@ def test_queries_equal_sql(spark):
         sql = con.execute(entry_point.oracle_sql()[name])
         names = [d[0] for d in sql.description]
         assert Counter(map(tuple, found.select(*names).collect())) == Counter(sql.fetchall()), name
+
+
+def test_protein_collisions_cover_every_chip_barcode(spark):
+    from spotweave import catalogue
+
+    place = "/root/testdata/sf0.001"
+    first = {}
+    for r in catalogue._mask(spark, place).select("barcode", "rec_no").collect():
+        first[r["barcode"]] = min(r["rec_no"], first.get(r["barcode"], r["rec_no"]))
+    held = {}
+    for code, k in first.items():
+        for v in {code} | {code[:i] + b + code[i + 1 :] for i in range(25) for b in "ACTG"}:
+            held.setdefault(v, []).append(k)
+    want = {(v, min(k), max(k)) for v, k in held.items() if len(k) > 1}
+    got = catalogue.queries()["protein_collisions"](spark, place).collect()
+    assert len(got) == len(want) and set(map(tuple, got)) == want
+    print(len(first), len(want))
