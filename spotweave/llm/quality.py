@@ -7,13 +7,15 @@ cancels out; one fixed threshold decides every document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import SPACES, scratch_path, stored, text_or_empty
+from spotweave.llm.common import SPACES, stored, text_or_empty
 
 #: Symbols that count as such.
 SYMBOLS = r"[#*$%&|<>]"
+#: Steps in a unit of the log ratio.
+SCALE = 1 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -109,6 +111,7 @@ def log_ratios(
     )
     flagged = flagged.select(F.col("_trusted").isNotNull().cast("int").alias("t"), "_text")
     counts = gram_rows(flagged, ["t"], "_text", buckets).groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target"))
+    counts = stored(spark, counts, "quality-counts")  # from here on a row for each bucket, whatever the input
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     full = every.join(counts, "bucket", "left").fillna(0, ["raw", "target"])
     sums = full.agg(F.sum("raw").alias("all_raw"), F.sum("target").alias("all_target"))
@@ -139,13 +142,16 @@ def quality(
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr_score", "kept"]
     docs = docs.drop(*made)
     model = log_ratios(spark, docs, trusted, buckets, trusted_limit, text_col=text_col, id_col=id_col)
-    path = scratch_path(spark, "quality-ratios")
-    model.coalesce(1).write.parquet(path)  # as many rows as buckets
-    ratios = spark.read.parquet(path).select("bucket", F.when(F.sum("target").over(Window.partitionBy()) > 0, F.col("ratio")).otherwise(0.0).alias("ratio"))
+    model = stored(spark, model, "quality-ratios")  # as many rows as buckets
+    some = model.agg((F.coalesce(F.sum("target"), F.lit(0)) > 0).alias("some"))
+    # fixed point: a sum of longs is the same in whatever order rows arrive
+    points = F.when(F.col("some"), F.round(F.col("ratio") * SCALE)).otherwise(0).cast("long")
+    ratios = model.join(F.broadcast(some)).select("bucket", points.alias("points"))
     text, name = text_or_empty(text_col), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00null"))
     keyed = docs.withColumns({"_k1": F.xxhash64(name, text), "_k2": F.xxhash64(text, name)})
     grams = gram_rows(keyed.select("_k1", "_k2", text.alias("_text")), ["_k1", "_k2"], "_text", buckets)
-    scores = grams.join(F.broadcast(ratios), "bucket").groupBy("_k1", "_k2").agg(F.avg("ratio").alias("llr_score"))
+    mean = F.sum("points") / (F.count("*") * F.lit(float(SCALE)))
+    scores = grams.join(F.broadcast(ratios), "bucket").groupBy("_k1", "_k2").agg(mean.alias("llr_score"))
     judged = base_rules(keyed.select("_k1", "_k2", text.alias("_raw")), "_raw").drop("_raw").join(scores, ["_k1", "_k2"], "left")
     judged = judged.withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0)))
     # stored, for a filter on the verdict would else be pushed into the statistics and evaluate them again and again
