@@ -2,8 +2,9 @@
 
 Fixed patterns give the base spans. A wider pattern gives further candidates, which count only
 by who holds them: the hash of every candidate value is aggregated over the whole corpus by
-distinct repositories and owners. A value that several owners hold is a widely copied example;
-one that a single owner holds and that looks random is a live-looking credential of its own.
+distinct repositories and owners. A value that several owners hold, or many repositories of one
+owner, is a widely copied example; one that a single owner holds in few repositories and that
+looks random is a live-looking credential of its own.
 """
 
 from __future__ import annotations
@@ -29,6 +30,31 @@ WIDE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9A-Z+/_=-]*[a-z])(?=[
 KINDS = ["assign", "access", "hex", "live"]
 
 
+#: Matches whose places are counted from one start.
+_STRETCH = 256
+
+
+def _held(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: inside a lambda any other expression is computed for every element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _stretches(array: Column) -> Column:
+    """Numbers of the stretches of an array that isn't empty."""
+    return F.sequence(F.lit(0), F.floor((F.size(array) - 1) / _STRETCH).cast("int"))
+
+
+def _running(values: Column, join) -> Column:
+    """Running sums or maxima (``join`` of two whole numbers from 0 up) of an array: of whole stretches first, then inside each."""
+    zero, stretch = F.lit(0), lambda i: F.floor(i / _STRETCH).cast("int")
+    whole = F.transform(_stretches(values), lambda b: F.aggregate(F.slice(values, b * _STRETCH + 1, _STRETCH), zero, join))
+    bases = F.aggregate(whole, F.array(zero), lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, -1), x))))
+    within = lambda base: F.transform(
+        values, lambda _, i: F.aggregate(F.slice(values, stretch(i) * _STRETCH + 1, i % _STRETCH + 1), F.get(base, stretch(i)), join)
+    )
+    return F.when(F.size(values) > 0, _held(bases, within)).otherwise(F.array().cast("array<int>"))
+
+
 def _spans(text: Column, kind: str, pattern: str, group: int, least: int, gate: str) -> Column:
     """Array of (start, rank, end, value) of the leftmost non-overlapping matches; code points, end exclusive.
 
@@ -36,20 +62,19 @@ def _spans(text: Column, kind: str, pattern: str, group: int, least: int, gate:
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    lengths = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
+    gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
     sizes = F.transform(found, lambda m: F.length(m))
-    starts = F.transform(
-        sizes,
-        lambda m, i: F.aggregate(F.slice(lengths, 1, i + 1), F.lit(0), lambda s, x: s + x)
-        + F.aggregate(F.slice(sizes, 1, i), F.lit(0), lambda s, x: s + x),
-    )
-    spans = F.zip_with(
-        F.arrays_zip(starts.alias("s"), sizes.alias("n")),
-        values,
-        lambda z, v: F.struct(
-            z["s"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (z["s"] + z["n"]).alias("end"), v.alias("value")
-        ),
-    )
+
+    def placed(z: Column) -> Column:
+        steps = F.transform(F.arrays_zip(z["gaps"].alias("g"), z["sizes"].alias("n")), lambda x: x["g"] + x["n"])
+        steps = F.filter(steps, lambda x: x.isNotNull())  # one more piece than matches
+        return F.zip_with(
+            F.arrays_zip(_held(steps, lambda x: _running(x, lambda s, y: s + y)).alias("e"), z["sizes"].alias("n")),
+            z["values"],
+            lambda y, v: F.struct((y["e"] - y["n"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), y["e"].alias("end"), v.alias("value")),
+        )
+
+    spans = _held(F.struct(gaps.alias("gaps"), sizes.alias("sizes"), values.alias("values")), placed)
     kept = F.filter(spans, lambda x: F.length(x["value"]) >= least)
     return F.when(text.rlike(gate), kept).otherwise(F.array().cast("array<struct<start:int,rank:int,end:int,value:string>>"))
 
@@ -64,7 +89,9 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     base = [_spans(text, k, _QUICK[k], g, n, _GATE[k]) for k, _, g, n in BASE]
     step = docs.withColumn("_base", F.array_sort(F.concat(*base)))
     wide = _spans(text, "live", WIDE, 0, 20, r"[A-Za-z0-9+/_=-]{20}")
-    return step.withColumn("_wide", F.filter(wide, lambda x: ~_contained(F.col("_base"), x)))
+    # ``_base`` is bound once, for a lambda would compute an expression anew for every candidate
+    outside = _held(F.struct(F.col("_base").alias("base"), wide.alias("wide")), lambda z: F.filter(z["wide"], lambda x: ~_contained(z["base"], x)))
+    return step.withColumn("_wide", outside)
 
 
 def scan(
@@ -73,14 +100,15 @@ def scan(
     repository: Column | None = None,
     owner: Column | None = None,
     widely: int = 2,
+    spread: int = 3,
     text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with ``secret_spans`` and counts.
 
     ``secret_spans``: array of (start, rank, end, owners, repositories, live), in order of start and
     kind (rank in ``KINDS``). All base spans are there; a wide candidate only if fewer than
-    ``widely`` owners hold its value. ``live`` says the same of any span. ``repository`` is by default
-    source and language, ``owner`` the source; null is one repository or owner.
+    ``widely`` owners hold its value, in fewer than ``spread`` repositories. ``live`` says the same of
+    any span. ``repository`` is by default source and language, ``owner`` the source; null is one repository or owner.
 
     A null or empty text has no spans. Each input row gives one row, repeated ones too; columns
     named ``secret_spans`` are replaced. An empty table gives an empty table.
@@ -101,7 +129,7 @@ def scan(
         F.count("*").alias("owners"), F.sum("r").alias("repositories")
     )
     distinct = one.select("_k1", "_k2", "s", "_v").distinct()  # equal texts have equal spans
-    judged = distinct.join(owned, "_v").withColumn("live", F.col("owners") < widely)
+    judged = distinct.join(owned, "_v").withColumn("live", (F.col("owners") < widely) & (F.col("repositories") < spread))
     judged = judged.filter((F.col("s.rank") < len(BASE)) | F.col("live"))
     spans = judged.groupBy("_k1", "_k2").agg(
         F.array_sort(
@@ -123,26 +151,49 @@ def joined(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each maximal run of spans replaced by ``<SECRET>``, or ``<SECRET_EXAMPLE>`` if every span of the run is widely copied."""
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("from"), F.lit(0).alias("to"), F.lit(False).alias("live"), F.lit("").alias("done"))
-    mark = lambda live: F.when(live, F.lit("<SECRET>")).otherwise(F.lit("<SECRET_EXAMPLE>"))
-
-    def closed(acc: Column) -> Column:
-        return F.when(acc["to"] > acc["from"], F.concat(acc["done"], mark(acc["live"]))).otherwise(acc["done"])
+    """The text with each maximal run of spans replaced by ``<SECRET>``, or ``<SECRET_EXAMPLE>`` if every span of the run is widely copied.
 
-    def step(acc: Column, s: Column) -> Column:
-        more = (s["start"] < acc["to"])
-        grown = F.struct(
-            acc["at"].alias("at"), acc["from"].alias("from"), F.greatest(acc["to"], s["end"]).alias("to"), (acc["live"] | s["live"]).alias("live"), acc["done"].alias("done")
-        )
-        fresh = F.struct(
-            s["start"].alias("at"),
-            s["start"].alias("from"),
-            s["end"].alias("to"),
-            s["live"].alias("live"),
-            F.concat(closed(acc), F.substr(text, acc["to"] + 1, s["start"] - acc["to"])).alias("done"),
+    Spans that overlap are one run. A null text, and one without spans, stays as it is. Work is
+    linear in text and spans: pieces are cut out of one stretch of runs at a time.
+    """
+    mark = lambda r: F.when(r["live"], F.lit("<SECRET>")).otherwise(F.lit("<SECRET_EXAMPLE>"))
+
+    def runs(z: Column) -> Column:
+        first = F.transform(z["spans"], lambda s, i: F.when((i == 0) | (s["start"] >= F.get(z["to"], i - 1)), i))
+        return _held(
+            F.array_compact(first),
+            lambda firsts: F.transform(
+                firsts,
+                lambda i, k: _held(
+                    F.coalesce(F.get(firsts, k + 1), F.size(z["spans"])),
+                    lambda end: F.struct(
+                        F.get(z["spans"], i)["start"].alias("at"),
+                        F.get(z["to"], end - 1).alias("to"),
+                        F.exists(F.slice(z["spans"], i + 1, end - i), lambda s: s["live"]).alias("live"),
+                    ),
+                ),
+            ),
         )
-        return F.when(more, grown).otherwise(fresh)
 
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(closed(acc), F.substr(text, acc["to"] + 1, F.length(text))))
+    def cut(z: Column) -> Column:
+        at = lambda i: F.coalesce(F.get(z["runs"], i)["at"], F.length(z["text"]))
+
+        def stretch(b: Column) -> Column:
+            start = b * _STRETCH
+            piece = F.struct(at(start).alias("from"), F.substr(z["text"], at(start) + 1, at(start + _STRETCH) - at(start)).alias("t"))
+            return _held(
+                piece,
+                lambda p: F.array_join(
+                    F.transform(
+                        F.slice(z["runs"], start + 1, _STRETCH),
+                        lambda r, i: F.concat(mark(r), F.substr(p["t"], r["to"] - p["from"] + 1, at(start + i + 1) - r["to"])),
+                    ),
+                    "",
+                ),
+            )
+
+        return F.concat(F.left(z["text"], at(F.lit(0))), F.array_join(F.transform(_stretches(z["runs"]), stretch), ""))
+
+    ended = F.struct(spans.alias("spans"), _held(F.transform(spans, lambda s: s["end"]), lambda x: _running(x, lambda a, b: F.greatest(a, b))).alias("to"))
+    whole = _held(F.struct(text.alias("text"), _held(ended, runs).alias("runs")), cut)
     return F.when(F.size(spans) > 0, whole).otherwise(text)
