@@ -59,7 +59,8 @@ class Encoder:
         whole, rest = {}, []
         for w in new:
             core = w.rstrip(_TAIL)
-            if core.isalpha() and max(core) < "\u0250":
+            # a letter whose small form is several code points brings marks, which stay with what follows
+            if core.isalpha() and max(core) < "\u0250" and len(core.lower()) == len(core):
                 whole[w] = (core.lower() if core.isascii() else core, w[len(core) :])
             else:
                 rest.append(w)
