@@ -2,7 +2,7 @@
 
 Pieces of at most ``capacity`` tokens are counted by length. Patterns of a few documents that
 fill a sequence are enumerated on a grid of lengths; non-negative least squares fit their
-repeat counts to the histogram; the counts are rounded down and laid out with exact lengths; and
+repeat counts to the histogram; the counts are rounded and laid out with exact lengths; and
 what is left is packed by best fit into the room that remains, or new sequences. All of that
 works on the histogram, which has ``capacity`` cells at most; pieces then find their place by
 their rank among the pieces of equal length.
@@ -22,6 +22,10 @@ from spotweave.llm.common import stored, text_or_empty
 from spotweave.llm.tokenizing import Encoder
 
 
+#: Room that a sequence laid out by a pattern may leave.
+WASTE = 16
+
+
 @dataclass
 class Run:
     """``times`` sequences with the same contents: (length, copies) one after another."""
@@ -31,50 +35,73 @@ class Run:
     items: list[tuple[int, int]] = field(default_factory=list)
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 400) -> np.ndarray:
-    """Non-negative x that makes |a x - b| least, by an active set (Lawson and Hanson)."""
-    n = a.shape[1]
-    gram, rhs = a.T @ a, a.T @ b
-    x, active = np.zeros(n), np.zeros(n, dtype=bool)
-    tolerance = 1e-9 * max(1.0, float(np.abs(rhs).max(initial=0)))
-    for _ in range(rounds):
-        slope = rhs - gram @ x
-        slope[active] = -np.inf
-        j = int(slope.argmax())
-        if slope[j] <= tolerance:
+def best_pattern(value: np.ndarray, filled: np.ndarray, most: int) -> tuple[float, tuple[int, ...]]:
+    """Of all patterns of up to ``most`` classes in ``filled`` that sum to the last class exactly, the one with the greatest sum of ``value``.
+
+    All are enumerated by dynamic programming over the number of pieces and their sum.
+    """
+    classes = len(value) - 1
+    worth = np.where(filled, value, -np.inf)
+    worth[0] = -np.inf
+    back = np.subtract.outer(np.arange(classes + 1), np.arange(classes + 1))  # the sum before a piece of that class
+    best, picks = np.full(classes + 1, -np.inf), []
+    best[0] = 0
+    found, at = (-np.inf, ()), 0
+    for m in range(1, most + 1):
+        step = np.where(back >= 0, best[back], -np.inf) + worth
+        pick = step.argmax(axis=1)
+        best = step[np.arange(classes + 1), pick]
+        picks.append(pick)
+        if best[classes] > found[0]:
+            found, at = (float(best[classes]), ()), m
+    pattern, rest = [], classes
+    for m in range(at - 1, -1, -1):
+        pattern.append(int(picks[m][rest]))
+        rest -= pattern[-1]
+    return found[0], tuple(sorted(pattern, reverse=True))
+
+
+def fitted(want: np.ndarray, most: int) -> list[tuple[tuple[int, ...], float]]:
+    """Patterns and their repeat counts, not negative, whose classes are nearest to the histogram ``want`` by weighted least squares.
+
+    An active set method (Lawson and Hanson): the pattern on which the misfit falls fastest joins,
+    the active counts are solved for, and those that would be negative leave. It ends when no pattern
+    lowers the misfit; each class has a weight of one over its count.
+    """
+    weight = 1 / np.sqrt(np.maximum(want, 1))
+    target, filled = want * weight, want > 0
+    found: list[tuple[int, ...]] = []
+    a, x = np.zeros((len(want), 0)), np.zeros(0)
+    while True:
+        gain, pattern = best_pattern((target - a @ x) * weight, filled, most)
+        if gain <= 1e-6 or pattern in found:
             break
-        active[j] = True
-        while True:
-            at = np.flatnonzero(active)
-            z = np.linalg.lstsq(gram[np.ix_(at, at)], rhs[at], rcond=None)[0]
-            if (z > 0).all():
-                x[:] = 0
-                x[at] = z
-                break
+        found.append(pattern)
+        column = np.bincount(pattern, minlength=len(want)) * weight
+        a, x = np.column_stack([a, column]), np.append(x, 0.0)
+        while len(x):
+            z = np.linalg.solve(a.T @ a + 1e-9 * np.eye(len(x)), a.T @ target)
             low = z <= 0
-            step = np.min(x[at][low] / np.maximum(x[at][low] - z[low], 1e-300))
-            x[at] += step * (z - x[at])
-            gone = at[(x[at] <= 1e-12) & low]
-            active[gone] = False
-            x[gone] = 0
-            if not len(gone):
+            if not low.any():
+                x = z
                 break
-    return x
-
+            step = float(np.min(x[low] / np.maximum(x[low] - z[low], 1e-300)))
+            x = x + step * (z - x)
+            stay = ~(low & (x <= 1e-9))
+            if stay.all():
+                stay[np.flatnonzero(low)[x[low].argmin()]] = False
+            a, x, found = a[:, stay], x[stay], [p for p, s in zip(found, stay, strict=True) if s]
+        if pattern not in found:  # within rounding the misfit is least
+            break
+    return list(zip(found, x.tolist(), strict=True))
 
-def patterns(classes: int, filled: np.ndarray) -> list[tuple[int, ...]]:
-    """One to three classes, largest first, that sum to ``classes`` exactly, all of them in ``filled``."""
-    have = set(np.flatnonzero(filled).tolist())
-    out = [(classes,)] if classes in have else []
-    out += [(i, classes - i) for i in range((classes + 1) // 2, classes) if i in have and classes - i in have]
-    for i in sorted(have):
-        rest = classes - i
-        out += [(i, j, rest - j) for j in range((rest + 1) // 2, min(i, rest - 1) + 1) if j in have and rest - j in have and rest - j <= j]
-    return out
 
+def plan(counts: np.ndarray, capacity: int, classes: int = 128, most: int = 6) -> list[Run]:
+    """Sequences for ``counts[length]`` pieces of each length up to ``capacity``.
 
-def plan(counts: np.ndarray, capacity: int, classes: int = 128) -> list[Run]:
-    """Sequences for ``counts[length]`` pieces of each length up to ``capacity``."""
+    Counts of patterns are rounded down, and what that leaves is given once more to each, the
+    largest remainders first, as far as there are pieces.
+    """
     left = counts.astype(np.int64).copy()
     unit = -(-capacity // classes)
     classes = capacity // unit
@@ -82,36 +109,39 @@ def plan(counts: np.ndarray, capacity: int, classes: int = 128) -> list[Run]:
     in_class = np.zeros(classes + 1, dtype=np.int64)
     np.add.at(in_class, np.minimum(-(-np.arange(capacity + 1) // unit), classes), left)
     in_class[0] = 0
-    found = patterns(classes, in_class > 0)
-    if found:
-        a = np.zeros((classes + 1, len(found)))
-        for k, p in enumerate(found):
-            for c in p:
-                a[c, k] += 1
-        weight = 1 / np.sqrt(np.maximum(in_class, 1))
-        fit = nnls(a * weight[:, None], in_class * weight)
-        for k in np.argsort(-fit):
-            if (times := int(fit[k])) > 0:
-                runs += _laid_out(found[k], times, left, unit, capacity)
+    fit = fitted(in_class, most) if in_class.any() else []
+    for pattern, times in sorted(fit, key=lambda f: -f[1]):
+        if int(times):
+            runs += _laid_out(pattern, int(times), left, unit, capacity)
+    for pattern, _ in sorted(fit, key=lambda f: int(f[1]) - f[1]):
+        runs += _laid_out(pattern, 1, left, unit, capacity)
     _best_fit(runs, left, capacity)
     return runs
 
 
 def _laid_out(pattern: tuple[int, ...], times: int, left: np.ndarray, unit: int, capacity: int) -> list[Run]:
-    """Runs of a pattern with exact lengths, longest first, as far as there are pieces."""
+    """Runs of a pattern, largest class first, as far as there are pieces.
+
+    Each piece is the longest of its class, the last one the longest that the room holds. It ends
+    too where more than ``WASTE`` tokens of room would be left, for best fit does better then.
+    """
     out = []
     while times > 0:
         want: dict[int, int] = {}
-        for c in pattern:
-            low, high = (c - 1) * unit + 1, min(c * unit, capacity)
+        room = capacity
+        for k, c in enumerate(pattern):
+            low, high = (c - 1) * unit + 1, room if k + 1 == len(pattern) else min(c * unit, capacity)
             of = next((x for x in range(high, low - 1, -1) if left[x] > want.get(x, 0)), 0)
             if not of:
                 return out
             want[of] = want.get(of, 0) + 1
+            room -= of
+        if room > WASTE:
+            return out
         n = min(times, *(int(left[x]) // k for x, k in want.items()))
         for x, k in want.items():
             left[x] -= n * k
-        out.append(Run(n, capacity - sum(x * k for x, k in want.items()), sorted(want.items(), reverse=True)))
+        out.append(Run(n, room, sorted(want.items(), reverse=True)))
         times -= n
     return out
 
