@@ -14,7 +14,7 @@ from spotweave.llm.common import documents, scratch_path, text_or_empty
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removal of repeated strings of 400 bytes from all documents."""
     found = suffix_dedup.repeated_spans(spark, documents(spark, sf_dir).select("doc_id", "text"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "has_repeats")
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

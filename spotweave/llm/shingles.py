@@ -38,17 +38,22 @@ class Prefixes:
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         """Prefix sums; the hash of [s, e) is (sums[e] - sums[s]) * inverse[s]."""
-        if len(self.power) <= len(data):
+        return self.sums_of(self.values[data])
+
+    def sums_of(self, values: np.ndarray) -> np.ndarray:
+        """Prefix sums of a sequence of 64-bit values."""
+        if len(self.power) <= len(values):
             self.power, self.inverse = (
-                np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(max(CHUNK, len(data)), b, np.uint64)]))
+                np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(max(CHUNK, len(values)), b, np.uint64)]))
                 for b in (np.uint64(self.base), np.uint64(pow(self.base, -1, 1 << 64)))
             )
-        out = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(self.values[data] * self.power[: len(data)], out=out[1:])
+        out = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * self.power[: len(values)], out=out[1:])
         return out
 
 
-def _batch(texts: list[bytes], width: int, prefixes: Prefixes) -> Iterator[np.ndarray]:
+def word_hashes(texts: list[bytes], prefixes: Prefixes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each word of all texts, one after another, and where each text's words begin (and the last end)."""
     data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     gap = ((data >= 9) & (data <= 13)) | (data == 32)
     edge = np.flatnonzero(np.diff(np.concatenate([[True], gap]).view(np.int8)))
@@ -57,7 +62,11 @@ def _batch(texts: list[bytes], width: int, prefixes: Prefixes) -> Iterator[np.nd
     inverse = prefixes.inverse
     words = mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * _ODD)
     firsts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    bounds = np.searchsorted(start, firsts)
+    return words, np.searchsorted(start, firsts)
+
+
+def _batch(texts: list[bytes], width: int, prefixes: Prefixes) -> Iterator[np.ndarray]:
+    words, bounds = word_hashes(texts, prefixes)
     rolled = np.zeros(max(len(words) - width + 1, 0), dtype=np.uint64)
     for k in range(width):
         rolled = rolled * _ODD + words[k : k + len(rolled)]

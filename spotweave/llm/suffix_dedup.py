@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from spotweave.llm.common import stored, text_or_empty
 from spotweave.llm.deepshallow import agreements, merged, shallow_groups
-from spotweave.llm.shingles import Prefixes, mix
+from spotweave.llm.shingles import Prefixes, mix, word_hashes
 
 WINDOW, REACH, GRAM = 400, 200, 16
 #: Bytes of text handled at once.
@@ -38,27 +38,34 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
-def anchors(texts: list[bytes], first: Prefixes, second: Prefixes) -> tuple[np.ndarray, ...]:
-    """Of texts of at least WINDOW bytes: text number, anchor, first and last window, digest and digest of the surroundings."""
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    ends = np.cumsum([len(t) for t in texts])
-    starts = ends - [len(t) for t in texts]
-    a, b = first.sums(data), second.sums(data)
-    n = len(data) - GRAM + 1
-    key = mix((a[GRAM:] - a[:-GRAM]) * first.inverse[:n]) & np.uint64(0xFFFFFFFF00000000)
+def anchors(
+    a: np.ndarray, b: np.ndarray, first: Prefixes, second: Prefixes, starts: np.ndarray, ends: np.ndarray, window: int, reach: int, gram: int
+) -> tuple[np.ndarray, ...]:
+    """Anchors of sequences that lie one after another, from prefix sums by two hashes.
+
+    For each anchor: number of the sequence, anchor, first and last window (places in the sequence),
+    digest of the symbols after the anchor and digest of the surroundings. Sequences of fewer
+    than ``window`` symbols have none.
+    """
+    size = len(a) - 1
+    n = size - gram + 1
+    if size < window:
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(6))
+    key = mix((a[gram:] - a[:-gram]) * first.inverse[:n]) & np.uint64(0xFFFFFFFF00000000)
     key |= np.arange(n, dtype=np.uint64)
-    best = (_sliding_min(key, REACH) & np.uint64(0xFFFFFFFF)).astype(np.int64)[: len(data) - WINDOW + 1]
-    valid = np.zeros(len(best) + 1, dtype=np.int8)
-    np.add.at(valid, starts, 1)
-    np.add.at(valid, np.minimum(ends - WINDOW + 1, len(best)), -1)
+    best = (_sliding_min(key, reach) & np.uint64(0xFFFFFFFF)).astype(np.int64)[: size - window + 1]
+    valid = np.zeros(len(best) + 1, dtype=np.int64)
+    long = ends - starts >= window
+    np.add.at(valid, starts[long], 1)
+    np.add.at(valid, ends[long] - window + 1, -1)
     inside = np.cumsum(valid[:-1]) > 0
     change = np.flatnonzero(np.concatenate([[True], (best[1:] != best[:-1]) | (inside[1:] != inside[:-1])]))
     stop = np.concatenate([change[1:], [len(best)]]) - 1
     real = inside[change]
     low, high = change[real], stop[real]
     at = best[low]
-    digest = mix((a[at + WINDOW - REACH] - a[at]) * first.inverse[at])
-    around = (b[high + WINDOW] - b[low]) * second.inverse[low]
+    digest = mix((a[at + window - reach] - a[at]) * first.inverse[at])
+    around = (b[high + window] - b[low]) * second.inverse[low]
     around = mix(around ^ mix(((at - low) << 20 | (high - low)).astype(np.uint64)))
     row = np.searchsorted(ends, at, side="right")
     base = starts[row]
@@ -83,8 +90,11 @@ def _anchors(batches: Iterator) -> Iterator:
                     size += len(raw[at])
                 at += 1
             if rows:
+                data = np.frombuffer(b"".join([raw[r] for r in rows]), dtype=np.uint8)
+                ends = np.cumsum([len(raw[r]) for r in rows])
+                starts = ends - [len(raw[r]) for r in rows]
                 with np.errstate(over="ignore"):
-                    row, *cols = anchors([raw[r] for r in rows], first, second)
+                    row, *cols = anchors(first.sums(data), second.sums(data), first, second, starts, ends, WINDOW, REACH, GRAM)
                 of = pa.array(np.array(rows)[row])
                 kinds = [pa.int32()] * 3 + [pa.int64()] * 2
                 yield pa.RecordBatch.from_arrays(
@@ -181,6 +191,104 @@ def _removed(batches: Iterator) -> Iterator:
         )
 
 
+#: Words of a passage, and how far into it its anchor may lie.
+PASSAGE, PASSAGE_REACH = 50, 25
+
+
+def _in_batches(raw: list[bytes]) -> Iterator[range]:
+    """Stretches of texts of about a million bytes, so that a task's memory doesn't grow with its batch."""
+    at = 0
+    while at < len(raw):
+        end, size = at, 0
+        while end < len(raw) and (end == at or size + len(raw[end]) <= CHUNK // 2):
+            size += len(raw[end])
+            end += 1
+        yield range(at, end)
+        at = end
+
+
+def _passage_anchors(batches: Iterator) -> Iterator:
+    """Anchors of passages, in words."""
+    import pyarrow as pa
+
+    spell, first, second = Prefixes(False), Prefixes(False, 1), Prefixes(False, 2)
+    for batch in batches:
+        raw = batch.column("raw").to_pylist()
+        for rows in _in_batches(raw):
+            with np.errstate(over="ignore"):
+                words, bounds = word_hashes([raw[r] for r in rows], spell)
+                row, _, low, high, digest, around = anchors(
+                    first.sums_of(words), second.sums_of(words), first, second, bounds[:-1], bounds[1:], PASSAGE, PASSAGE_REACH, 3
+                )
+            of = pa.array(row + rows.start)
+            cols = [pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(digest, pa.int64()), pa.array(around, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("k1").take(of), batch.column("k2").take(of), *cols], names=["k1", "k2", "low", "high", "digest", "around"])
+
+
+def _passage_windows(batches: Iterator) -> Iterator:
+    """Two hashes of each window of ``list``."""
+    import pyarrow as pa
+
+    spell, first, second = Prefixes(False), Prefixes(False, 3), Prefixes(False, 4)
+    for batch in batches:
+        for k1, k2, raw, found in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "raw", "list")), strict=True):
+            with np.errstate(over="ignore"):
+                words, _ = word_hashes([raw], spell)
+                at = np.unique(np.concatenate([np.arange(x["low"], x["high"] + 1) for x in found]))
+                cols = [mix((s[at + PASSAGE] - s[at]) * p.inverse[at]).view(np.int64) for s, p in ((first.sums_of(words), first), (second.sums_of(words), second))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*cols, np.full(len(at), k1), np.full(len(at), k2))], names=["w1", "w2", "k1", "k2"])
+
+
+def _several(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur in several texts, with ``n`` rows."""
+    text = F.struct("k1", "k2")
+    found = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(text).alias("x"), F.max(text).alias("y"))
+    return found.filter("x <> y").select(*keys, "n")
+
+
+def shared_passages(spark: SparkSession, texts: DataFrame) -> DataFrame:
+    """``k1``, ``k2`` of the distinct texts that share PASSAGE words in a row with another document.
+
+    Anchors as for bytes, in words. Texts that share an anchor with equal surroundings share a
+    passage; for all others that meet at an anchor, windows are compared one by one.
+    """
+    copied = texts.filter("copies > 1").select("k1", "k2", F.regexp_count(F.col("raw").cast("string"), F.lit(r"[^\x20\x09-\x0D]+")).alias("n"))
+    copied = copied.filter(F.col("n") >= PASSAGE).select("k1", "k2")
+    marks = texts.select("k1", "k2", "raw").mapInArrow(_passage_anchors, "k1 long, k2 long, low int, high int, digest long, around long")
+    marks = stored(spark, marks, "passage-anchors")
+    total = marks.count()
+    shared = stored(spark, _several(marks, ["digest"]), "passage-digests")
+    heavy = shared.filter(F.col("n") * HEAVY > total)
+    met = stored(spark, meet(marks, shared.drop("n"), ["digest"], heavy), "passage-met")
+    alike = _several(met, ["digest", "around"])
+    alike = stored(spark, alike, "passage-alike")
+    sure = meet(met, alike.drop("n"), ["digest", "around"], alike.filter(F.col("n") * HEAVY > total)).select("k1", "k2").distinct()
+    sure = stored(spark, sure, "passage-sure")
+    unsure = met.join(sure, ["k1", "k2"], "left_anti").select("digest").distinct()
+    lists = meet(met, unsure, ["digest"], heavy).groupBy("k1", "k2").agg(F.collect_list(F.struct("low", "high")).alias("list"))
+    windows = texts.join(lists, ["k1", "k2"]).select("k1", "k2", "raw", "list").mapInArrow(_passage_windows, "w1 long, w2 long, k1 long, k2 long")
+    windows = stored(spark, windows, "passage-windows")
+    same = _several(windows, ["w1", "w2"])
+    same = stored(spark, same, "passage-same")
+    found = meet(windows, same.drop("n"), ["w1", "w2"], same.filter(F.col("n") * HEAVY > total)).select("k1", "k2")
+    return copied.union(sure).union(found).distinct()
+
+
+#: A digest, or one kind of surroundings, that has more than one in this many of all anchors is heavy: at most as many can be.
+HEAVY = 1000
+
+
+def meet(left: DataFrame, right: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
+    """Inner join in which no task gets all rows of a frequent key.
+
+    ``heavy``: the frequent keys, at most HEAVY rows; what ``right`` has for them (a bounded number of
+    rows for each key) is broadcast, everything else is joined by key.
+    """
+    few = F.broadcast(heavy.select(*keys))
+    hot = left.join(F.broadcast(right.join(few, keys, "left_semi")), keys)
+    return hot.unionByName(left.join(few, keys, "left_anti").join(right.join(few, keys, "left_anti"), keys))
+
+
 def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``spans``.
 
@@ -189,10 +297,13 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text")
     nothing; a text that occurs twice loses all of itself. Repeated rows give a row each; columns of
     these names are replaced; an empty table gives an empty table.
 
+    ``has_repeats`` says whether a passage of PASSAGE words or more (or all of the text) is also in
+    another document, however many bytes it has (``passages``).
+
     Equal texts are one row (and a count) from the start, in a table bucketed by the hash of the
-    text, so texts are exchanged once. Joins meet them by that hash.
+    text, so texts are exchanged once. Joins meet them by that hash. The table is dropped in the end.
     """
-    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
+    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "has_repeats"]
     text = text_or_empty(text_col)
     keyed = docs.drop(*made).withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("spotweave"), text)})
     raw = keyed.select("k1", "k2", text.cast("binary").alias("raw"))
@@ -200,12 +311,20 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text")
     table = f"suffix_texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     single.write.bucketBy(buckets, "k1", "k2").option("compression", "zstd").format("parquet").saveAsTable(table)
-    texts = spark.table(table)
+    try:
+        result = _removals(spark, spark.table(table), buckets)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    return keyed.drop(text_col).join(result, ["k1", "k2"]).drop("k1", "k2")
+
 
+def _removals(spark: SparkSession, texts: DataFrame, buckets: int) -> DataFrame:
+    """The result for each distinct text (``k1``, ``k2``, ``raw``, ``copies``), stored."""
     marks = stored(spark, texts.filter(F.octet_length("raw") >= WINDOW).select("k1", "k2", "raw").mapInArrow(_anchors, ANCHORS), "suffix-anchors")
+    total = marks.count()
     shared = marks.groupBy("digest").agg(F.count("*").alias("n"), F.min("around").alias("x"), F.max("around").alias("y"))
-    shared = shared.filter("n > 1").select("digest", (F.col("x") != F.col("y")).alias("mixed"))
-    twice = stored(spark, marks.join(shared, "digest"), "suffix-shared")
+    shared = stored(spark, shared.filter("n > 1").select("digest", "n", (F.col("x") != F.col("y")).alias("mixed")), "suffix-digests")
+    twice = stored(spark, meet(marks, shared.drop("n"), ["digest"], shared.filter(F.col("n") * HEAVY > total)), "suffix-shared")
     mixed = twice.filter("mixed")
 
     # one of each kind of surroundings; equal ones are counted in each task before they meet
@@ -234,8 +353,10 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text")
     ranges = stored(spark, ranges, "suffix-ranges")
 
     whole = twice.filter("not mixed").select("k1", "k2", F.col("low").alias("s"), (F.col("high") + WINDOW).alias("e"))
-    part = mixed.join(ranges, ["digest", "around"]).select("k1", "k2", (F.col("at") - F.col("b")).alias("s"), (F.col("at") - F.col("a") + WINDOW).alias("e"))
+    part = meet(mixed, ranges, ["digest", "around"], kinds.filter(F.col("copies") * HEAVY > total))
+    part = part.select("k1", "k2", (F.col("at") - F.col("b")).alias("s"), (F.col("at") - F.col("a") + WINDOW).alias("e"))
     found = whole.union(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("s", "e")).alias("found"))
     result = texts.join(found, ["k1", "k2"], "left").select("k1", "k2", "raw", "copies", "found").mapInArrow(_removed, RESULT)
     result = stored(spark, result, "suffix-result")
-    return keyed.drop(text_col).join(result, ["k1", "k2"]).drop("k1", "k2")
+    passage = shared_passages(spark, texts).withColumn("has_repeats", F.lit(True))
+    return stored(spark, result.join(passage, ["k1", "k2"], "left").fillna(False, ["has_repeats"]), "suffix-result")

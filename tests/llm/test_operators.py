@@ -69,6 +69,27 @@ def test_suffix_dedup(spark, docs, none):
     assert suffix_dedup.repeated_spans(spark, none).count() == 0
 
 
+def test_shared_passages(spark, docs):
+    rng = np.random.default_rng(8)
+    rows = [[t or ""] for _, t, *_ in corpus()]
+    # passages of 49 to 60 words between others, some of few bytes, and one that repeats inside its document only
+    for n in (49, 50, 51, 60):
+        passage = " ".join(rng.choice(list("abcdefgh"), n))
+        rows += [[" ".join(f"p{n}{side}{k}{j}" for j in range(30)) + "\n" + passage + " " + " ".join(f"q{n}{side}{j}" for j in range(30))] for k, side in enumerate("xy")]
+    inside = " ".join(f"in{j}" for j in range(60))
+    rows.append([inside + " middle " + inside])
+    held = {}
+    for k, (t,) in enumerate(rows):
+        w = words(t)
+        for i in range(len(w) - 49):
+            held.setdefault(tuple(w[i : i + 50]), set()).add(k)
+    want = {k for v in held.values() if len(v) > 1 for k in v}
+    df = spark.createDataFrame([(k, t) for k, (t,) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"] for r in suffix_dedup.repeated_spans(spark, df).filter("has_repeats").collect()}
+    assert got == want and 0 < len(want) < len(rows)
+    assert spark.catalog.listTables() == []  # no stored table stays
+
+
 def test_suffix_dedup_crowds(spark, docs, monkeypatch):
     one = suffix_dedup.repeated_spans(spark, docs).select("doc_id", "kept_sha256").collect()
     monkeypatch.setattr(suffix_dedup, "MOST", 1)
@@ -183,6 +204,39 @@ def test_packing(spark, docs, none):
     assert packing.pack_documents(spark, none, path).count() == 0
 
 
+def test_encoder_small_letters():
+    from tokenizers import Tokenizer
+
+    from spotweave.llm.tokenizing import _TAIL, Encoder
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    texts = [f"{chr(p)}{t} a{chr(p)}{t}{t} {chr(p)}b{t}" for p in range(33, 0x250) for t in _TAIL]
+    for text, ids, want in zip(texts, Encoder(path, False).batch(texts), plain.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(b"".join(ids), "<u4").tolist() == want.ids, text
+
+
+def test_packing_meets_the_bound():
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    import pyarrow.parquet as pq
+
+    from spotweave.llm.tokenizing import Encoder
+
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()]
+    sizes = np.array([sum(map(len, ids)) // 4 + 1 for ids in Encoder(path, False).batch(texts)])
+    lengths = np.concatenate([np.repeat(4096, (sizes // 4096).sum()), sizes[sizes % 4096 > 0] % 4096])
+    counts = np.bincount(lengths, minlength=4097)
+    by_patterns = []
+    rest = packing._best_fit
+    try:
+        packing._best_fit = lambda runs, left, capacity: (by_patterns.append(counts.sum() - left.sum()), rest(runs, left, capacity))
+        runs = packing.plan(counts, 4096)
+    finally:
+        packing._best_fit = rest
+    assert sum(r.times for r in runs) == -(-int(sizes.sum()) // 4096)
+    assert 2 * by_patterns[0] > counts.sum()
+
+
 def test_encoder_equals_library():
     from tokenizers import Tokenizer
 
@@ -339,6 +393,69 @@ def test_quality(spark, docs, none):
     assert quality.quality(spark, none, trusted).count() == 0
 
 
+def test_quality_scores(spark, docs):
+    import xxhash
+
+    def spark_hash(*parts):
+        seed = 42
+        for p in parts:
+            seed = xxhash.xxh64(p.encode() if isinstance(p, str) else int(p).to_bytes(4, "little"), seed=seed).intdigest()
+        return (seed - (1 << 64) if seed >> 63 else seed) % 10_000
+
+    def grams(t):
+        w = words(t)
+        return [spark_hash(x) for x in w] + [spark_hash(2, x[-2:]) for x in w] + [spark_hash(*p) for p in zip(w, w[1:])]
+
+    trusted = spark.createDataFrame([(i,) for i in range(0, 70, 2)], "doc_id long")
+    raw, target = Counter(), Counter()
+    for i, t, *_ in corpus():
+        raw.update(grams(t))
+        if i is not None and i % 2 == 0 and i < 70:
+            target.update(grams(t))
+    n_raw, n_target = sum(raw.values()) + 10_000, sum(target.values()) + 10_000
+    ratio = {b: round(float(np.log((target[b] + 1) / n_target / ((raw[b] + 1) / n_raw))) * quality.SCALE) for b in range(10_000)}
+    want = {}
+    for i, t, *_ in corpus():
+        g = grams(t)
+        want[(i, t)] = sum(ratio[x] for x in g) / (len(g) * quality.SCALE) if g else 0.0
+    got = quality.quality(spark, docs, trusted, threshold=-0.05).select("doc_id", "text", "llr_score", "base_failed", "kept").collect()
+    assert len(got) == len(corpus())
+    for r in got:
+        assert abs(r["llr_score"] - want[(r["doc_id"], r["text"])]) < 2e-6
+        assert r["kept"] == (not r["base_failed"] and r["llr_score"] >= -0.05)
+    again = quality.quality(spark, docs.repartition(7), trusted, threshold=-0.05).select("doc_id", "text", "llr_score", "base_failed", "kept").collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+
+
+def test_wide_hypergeometric():
+    rng = np.random.default_rng(4)
+    for good, bad, draws in ((30, 70, 20), (1000, 50, 30), (10**6, 3 * 10**6, 10**5)):
+        x = np.array([sharding._wide_hypergeometric(rng, good, bad, draws) for _ in range(4000)])
+        y = rng.hypergeometric(good, bad, draws, 4000)
+        assert abs(x.mean() - y.mean()) < 6 * (y.std() + 0.01) / 4000**0.5 * 1.5 and 0.85 < x.var() / y.var() < 1.18
+    counts = sharding.even_sizes(2 * 10**11, 50)
+    sizes = sharding.even_sizes(2 * 10**11, 24)
+    matrix = sharding.communication_matrix(counts, sizes, 5)
+    assert matrix.sum(axis=0).tolist() == sizes and matrix.sum(axis=1).tolist() == counts
+    share = 4 * 10**9 / 24
+    assert 0.7 < matrix[:40].std() / (share * (23 / 24)) ** 0.5 < 1.3
+
+
+def test_secrets_of_many_matches(spark):
+    text = "x token=abcdefABCDEF12345 é " * 3000
+    found = secrets.scan(spark, spark.createDataFrame([(1, text, "en", "a", 0)], SCHEMA))
+    got = found.select("secret_spans", secrets.redact(F.col("text"), F.col("secret_spans")).alias("out")).first()
+    assert [(s["start"], s["end"]) for s in got["secret_spans"]] == [(m.start(), m.end()) for m in re.finditer("token=[A-Za-z0-9]+", text)]
+    assert got["out"] == re.sub("token=[A-Za-z0-9]+", "<SECRET>", text)
+
+
+def test_secret_repositories(spark):
+    value = "Zk3" + "aB9xY7" * 4
+    rows = [(i, f"key {value} end", lang, "a", 0) for i, lang in enumerate(("en", "fr", "de"))]
+    spans = lambda part: [len(r["secret_spans"]) for r in secrets.scan(spark, spark.createDataFrame(part, SCHEMA)).collect()]
+    assert spans(rows[:2]) == [1, 1] and spans(rows) == [0, 0, 0]
+
+
 def test_queries_over_tables(spark):
     n = spark.read.parquet(f"{TABLES}/documents.parquet").count()
     for name in ("op2_secrets", "op8_sharding", "op10_quality", "op9_language"):
