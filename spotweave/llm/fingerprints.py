@@ -123,29 +123,37 @@ def wide_hash(canon: Column) -> Column:
     return F.concat(*[F.lower(F.lpad(F.hex(p), 16, "0")) for p in parts])
 
 
-def collisions(spark: SparkSession, hashed: DataFrame) -> DataFrame:
+def buckets(spark: SparkSession, hashed: DataFrame) -> DataFrame:
     """Buckets (``_hash``) with more than one canonical text: ``_hash``, ``_canon``, ``_nth`` from 0.
 
-    Hash and text together are made distinct, comparing the bytes of texts in one bucket; each
-    task first keeps one of its equal texts, so a bucket of copies is one row for each task.
+    Hash and text together are made distinct, which compares the bytes of texts in one bucket;
+    each task first keeps one of its equal texts, so a bucket of copies is one row for each task.
     """
-    texts = hashed.select("_hash", "_canon").distinct()
-    clash = stored(spark, texts.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_hash"), "fingerprint-clashes")
-    if clash.limit(1).count() == 0:
-        return spark.createDataFrame([], "_hash string, _canon string, _nth int")
-    met = texts.join(clash, "_hash", "left_semi")
+    texts = stored(spark, hashed.select("_hash", "_canon").distinct(), "fingerprint-texts")
+    clash = texts.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_hash")
+    met = texts.join(clash, "_hash")
     return stored(spark, met.withColumn("_nth", F.row_number().over(Window.partitionBy("_hash").orderBy("_canon")) - 1), "fingerprint-clashes")
 
 
-def fingerprint_of(rows: DataFrame, canon: Column, clash: DataFrame, out: str) -> DataFrame:
-    """``rows`` with the fingerprint of ``canon``: its hash, and its number where its bucket clashes."""
-    held = rows.withColumn("_canon", canon).withColumn("_hash", wide_hash(F.col("_canon")))
+#: Hashes (32 characters each) up to which the buckets that hold several rows are broadcast.
+FEW = 200_000
+
+
+def collisions(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """``buckets`` of ``rows`` (``_hash``, ``_text``, not canonical): first hashes alone are counted, then bytes are compared where a hash occurs again."""
+    again = stored(spark, rows.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_hash"), "fingerprint-again")
+    met = rows.join(F.broadcast(again) if again.count() <= FEW else again, "_hash", "left_semi")
+    return buckets(spark, met.select("_hash", canonical(F.col("_text")).alias("_canon")))
+
+
+def fingerprint_of(rows: DataFrame, hash_col: str, text: Column, clash: DataFrame, out: str) -> DataFrame:
+    """``rows`` with the fingerprint of a text whose hash is ``hash_col``: the hash, and its number where the bucket clashes."""
     if clash.limit(1).count() == 0:
-        return held.withColumn(out, F.concat("_hash", F.lit("-0"))).drop("_hash", "_canon")
+        return rows.withColumn(out, F.concat(hash_col, F.lit("-0")))
     right = clash.select(F.col("_hash").alias("_h"), F.col("_canon").alias("_c"), "_nth")
-    met = held.join(right, (F.col("_hash") == F.col("_h")) & (F.col("_canon") == F.col("_c")), "left")
+    met = rows.withColumn("_own", canonical(text)).join(right, (F.col(hash_col) == F.col("_h")) & (F.col("_own") == F.col("_c")), "left")
     nth = F.coalesce(F.col("_nth").cast("string"), F.lit("0"))
-    return met.withColumn(out, F.concat("_hash", F.lit("-"), nth)).drop("_h", "_c", "_nth", "_hash", "_canon")
+    return met.withColumn(out, F.concat(hash_col, F.lit("-"), nth)).drop("_h", "_c", "_nth", "_own")
 
 
 def fingerprints(spark: SparkSession, docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -154,36 +162,47 @@ def fingerprints(spark: SparkSession, docs: DataFrame, text_col: str = "text") -
     Null is the empty text. Each row gives a row, repeated ones too; a column ``fingerprint`` is
     replaced. An empty table gives an empty table.
     """
-    docs, canon = docs.drop("fingerprint"), canonical(text_or_empty(text_col))
-    clash = collisions(spark, docs.select(canon.alias("_canon")).withColumn("_hash", wide_hash(F.col("_canon"))))
-    return fingerprint_of(docs, canon, clash, "fingerprint")
+    rest = [c for c in docs.columns if c != "fingerprint"]
+    own = docs.select(F.struct(*rest).alias("_row"), text_or_empty(text_col).alias("_text"))
+    hashed = own.withColumn("_canon", canonical(F.col("_text"))).withColumn("_hash", wide_hash(F.col("_canon"))).drop("_canon")
+    hashed = stored(spark, hashed, "fingerprint-rows")
+    clash = collisions(spark, hashed)
+    return fingerprint_of(hashed, "_hash", F.col("_text"), clash, "fingerprint").select("_row.*", "fingerprint")
+
 
+#: Equal parts into which the span of ids is cut, and rows that a range of them should hold.
+CELLS, RANGE = 1 << 16, 5_000
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, also: list[str], span: int = 1024) -> DataFrame:
-    """``docs`` with ``_next``: the text of the row with the next lower id; after the last, the first.
 
-    For each column of ``also``, ``_next_<name>`` is that row's.
+def with_next(rows: DataFrame, also: list[str]) -> DataFrame:
+    """``rows`` (``_id``, ``_text``) with ``_next``: the text of the row with the next lower id; after the last, the first.
 
-    Ids are cut into ranges of ``span`` numbers; within a range a window gives the next row, and
-    the last row of a range gets the first text of the next range that has rows. Only the
-    table of ranges (one row for each that has rows, without texts) is ordered as a whole.
-    Rows with equal ids follow each other by text, greatest first; null ids come last. Null
-    texts are empty.
+    For each column of ``also``, ``_next_<name>`` is that row's. The span of ids is cut into
+    CELLS parts, counted, and neighbouring parts are joined to ranges of about RANGE rows
+    (a part is never cut; the table of parts has CELLS + 1 rows at most). The first row of a range is
+    also dealt, as a guest, to the range before it, so texts move once and a window over each
+    range finds what follows. Rows with equal ids follow each other by text, greatest first;
+    null ids come last.
     """
-    low = F.lit(-(1 << 62))
-    ranged = docs.withColumn("_range", F.coalesce(F.floor(F.col(id_col) / F.lit(span)).cast("long"), low))
-    text = text_or_empty(text_col)
-    inner = Window.partitionBy("_range").orderBy(F.col(id_col).desc_nulls_last(), text.desc())
-    heads = ranged.groupBy("_range").agg(F.max(F.struct(F.col(id_col).alias("i"), text.alias("t"), *also)).alias("_head"))
-    whole = Window.orderBy(F.col("_range").desc())
-    after = ranged.select("_range").distinct().select("_range", F.lead("_range").over(whole).alias("_after"), F.max("_range").over(Window.partitionBy()).alias("_top"))
-    after = after.select("_range", F.coalesce("_after", "_top").alias("_after"))
-    following = after.join(heads.withColumnRenamed("_range", "_after"), "_after").select("_range", "_head")
-    leads = {"_next": F.lead(text).over(inner)} | {f"_next_{c}": F.lead(c).over(inner) for c in also}
-    last = F.col("_next").isNull()
-    joined = ranged.withColumns(leads).join(following, "_range")
-    joined = joined.withColumns({f"_next_{c}": F.when(last, F.col(f"_head.{c}")).otherwise(F.col(f"_next_{c}")) for c in also})
-    return joined.withColumn("_next", F.when(last, F.col("_head.t")).otherwise(F.col("_next"))).drop("_range", "_head")
+    ends = rows.agg(F.min("_id").alias("low"), F.max("_id").alias("high")).first()
+    low = ends["low"] or 0
+    width = max(1, -(-((ends["high"] or 0) - low + 1) // CELLS))
+    cell = F.coalesce(F.floor((F.col("_id").cast("double") - F.lit(float(low))) / F.lit(float(width))).cast("long"), F.lit(-1))
+    named = rows.withColumn("_cell", cell)
+    parts = named.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_id").alias("top"))
+    falling = Window.orderBy(F.col("_cell").desc())
+    parts = parts.withColumn("_range", F.floor((F.sum("n").over(falling) - F.col("n")) / RANGE).cast("long"))
+    heads = parts.groupBy("_range").agg(F.max_by("top", "_cell").alias("_head"))
+    last = F.max("_range").over(Window.partitionBy())
+    heads = heads.select("_range", "_head", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), last).alias("_before"))
+    placed = named.join(F.broadcast(parts.join(heads, "_range").select("_cell", "_range", "_head", "_before")), "_cell")
+    own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("guest"))
+    guest = F.struct(F.col("_before").alias("r"), F.lit(True).alias("guest"))
+    dealt = placed.withColumn("_to", F.explode(F.when(F.col("_id").eqNullSafe(F.col("_head")), F.array(own, guest)).otherwise(F.array(own))))
+    dealt = dealt.select(*rows.columns, "_to.r", "_to.guest")
+    order = Window.partitionBy("r").orderBy("guest", F.col("_id").desc_nulls_last(), F.col("_text").desc())
+    leads = {"_next": F.lead("_text").over(order)} | {f"_next_{c}": F.lead(c).over(order) for c in also}
+    return dealt.withColumns(leads).filter("not guest").drop("r", "guest")
 
 
 def edited_pairs(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,23 +212,33 @@ def edited_pairs(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", t
     first ones of the next document (``with_next``). ``n_chars``, ``edited_sha256``,
     ``fingerprint``, ``edited_fingerprint``; ``near_edited`` and ``near_next`` (double): 1 if the
     fingerprint is that of the edited text, of the next document, else 0. Columns of these names
-    are replaced.
+    are replaced; other columns, whatever their names, pass through. Ids are numbers or null.
+    An empty table gives an empty table.
     """
     made = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    docs = docs.drop(*made)
-    text, half = text_or_empty(text_col), F.floor(F.length(text_or_empty(text_col)) / 2).cast("int")
-    # documents alone fill the buckets; an edited text that falls into one is told from it by its bytes
-    bucket = docs.select(canonical(text).alias("_canon")).withColumn("_hash", wide_hash(F.col("_canon")))
-    clash = collisions(spark, bucket)
-    first = fingerprint_of(docs, canonical(text), clash, "fingerprint")
-    pairs = with_next(first, id_col, text_col, ["fingerprint"])
-    edited = F.concat(F.left(text, F.length(text) - half), F.left(F.col("_next"), half))
-    pairs = pairs.withColumns({"n_chars": F.length(text).cast("long"), "_edited": edited}).drop("_next", text_col)
-    pairs = fingerprint_of(pairs, canonical(F.col("_edited")), clash, "edited_fingerprint")
-    return pairs.withColumns(
-        {
-            "edited_sha256": F.sha2(F.col("_edited"), 256),
-            "near_edited": (F.col("fingerprint") == F.col("edited_fingerprint")).cast("double"),
-            "near_next": (F.col("fingerprint") == F.col("_next_fingerprint")).cast("double"),
-        }
-    ).drop("_edited", "_next_fingerprint")
+    rest = [c for c in docs.columns if c not in (*made, text_col)]
+    rows = docs.select(F.struct(*rest).alias("_row"), F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    rows = rows.withColumn("_canon", canonical(F.col("_text"))).withColumn("_hash", wide_hash(F.col("_canon"))).drop("_canon")
+    half = F.floor(F.length("_text") / 2).cast("int")
+    edited = F.concat(F.left(F.col("_text"), F.length("_text") - half), F.left(F.col("_next"), half))
+    pairs = with_next(rows, ["_hash"]).withColumn("_edited", edited).drop("_next")
+    pairs = pairs.withColumn("_canon", canonical(F.col("_edited"))).withColumn("_edited_hash", wide_hash(F.col("_canon"))).drop("_canon")
+    pairs = stored(spark, pairs, "fingerprint-pairs")
+    both = pairs.select("_hash", "_text").union(pairs.select("_edited_hash", "_edited"))
+    clash = collisions(spark, both)
+    named = fingerprint_of(pairs, "_hash", F.col("_text"), clash, "fingerprint")
+    named = fingerprint_of(named, "_edited_hash", F.col("_edited"), clash, "edited_fingerprint")
+    if clash.limit(1).count():
+        # the next document's number in its bucket: it is found again among the fingerprints
+        named = with_next(named, ["fingerprint"]).withColumnRenamed("_next_fingerprint", "_following")
+    else:
+        named = named.withColumn("_following", F.concat("_next__hash", F.lit("-0")))
+    return named.select(
+        "_row.*",
+        F.length("_text").cast("long").alias("n_chars"),
+        F.sha2("_edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        (F.col("fingerprint") == F.col("edited_fingerprint")).cast("double").alias("near_edited"),
+        (F.col("fingerprint") == F.col("_following")).cast("double").alias("near_next"),
+    )

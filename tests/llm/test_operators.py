@@ -262,6 +262,45 @@ def test_fingerprints(spark, docs, none):
     assert fingerprints.edited_pairs(spark, none).count() == 0
 
 
+def test_fingerprints_are_classes_of_canonical_texts(spark, docs, monkeypatch):
+    from unicodedata import normalize
+
+    def canon(t):
+        return re.sub(r"[\s\x1c-\x1f]+", " ", normalize("NFD", t).lower()).strip(" ")
+
+    rows = sorted(((i, t or "") for i, t, *_ in corpus()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]), reverse=True)
+    want = Counter()
+    for k, (i, t) in enumerate(rows):
+        follows, half = rows[(k + 1) % len(rows)][1], len(t) // 2
+        edited = t[: len(t) - half] + follows[:half]
+        want[(i, canon(t), canon(edited), float(canon(t) == canon(edited)), float(canon(t) == canon(follows)))] += 1
+    names = {}
+    for few in (1 << 20, 0):  # whether buckets are broadcast makes no difference
+        monkeypatch.setattr(fingerprints, "FEW", few)
+        for span in (5_000, 7):  # nor into how many ranges ids are cut
+            monkeypatch.setattr(fingerprints, "RANGE", span)
+            got = fingerprints.edited_pairs(spark, docs).select("doc_id", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next").collect()
+            shas = {hashlib.sha256((t[: len(t) - len(t) // 2] + rows[(k + 1) % len(rows)][1][: len(t) // 2]).encode()).hexdigest(): canon(t[: len(t) - len(t) // 2] + rows[(k + 1) % len(rows)][1][: len(t) // 2]) for k, (_, t) in enumerate(rows)}
+            for r in got:
+                names.setdefault(shas[r["edited_sha256"]], set()).add(r["edited_fingerprint"])
+            assert all(len(v) == 1 for v in names.values())
+            assert len({x for v in names.values() for x in v}) == len(names)
+            assert Counter((r["doc_id"], r["near_edited"], r["near_next"]) for r in got) == Counter((i, a, b) for i, _, _, a, b in want.elements())
+
+
+def test_edited_texts_that_share_a_hash_are_told_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "wide_hash", lambda canon: F.lit("h"))
+    rows = spark.createDataFrame([(1, "aaaa"), (2, "bb"), (3, "aaaa"), (4, "aaaa"), (5, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in fingerprints.edited_pairs(spark, rows).collect()}
+    canon = {1: ("aaaa", "aa"), 2: ("bb", "ba"), 3: ("aaaa", "aabb"), 4: ("aaaa", "aaaa"), 5: ("", "")}
+    for i in canon:
+        for j in canon:
+            assert (got[i]["fingerprint"] == got[j]["edited_fingerprint"]) == (canon[i][0] == canon[j][1])
+            assert (got[i]["edited_fingerprint"] == got[j]["edited_fingerprint"]) == (canon[i][1] == canon[j][1])
+    assert [got[i]["near_next"] for i in range(1, 6)] == [0, 0, 0, 1, 0]
+    assert [got[i]["near_edited"] for i in range(1, 6)] == [0, 0, 0, 1, 1]
+
+
 def test_canonical_forms(spark):
     rows = [(1, "École  du\nNord "), (2, "école du nord"), (3, "ecole du nord"), (4, None), (5, " ")]
     found = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprints(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
@@ -287,7 +326,7 @@ def test_decomposition_equals_unicodedata(spark):
 
 def test_bucket_clash_is_told_by_bytes(spark):
     rows = spark.createDataFrame([("h", "a"), ("h", "b"), ("h", "b"), ("i", "c")], "_hash string, _canon string")
-    clash = fingerprints.collisions(spark, rows)
+    clash = fingerprints.buckets(spark, rows)
     assert sorted((r["_canon"], r["_nth"]) for r in clash.collect()) == [("a", 0), ("b", 1)]
 
 
