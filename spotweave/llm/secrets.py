@@ -9,6 +9,9 @@ looks random is a live-looking credential of its own.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,7 @@ _QUICK = {"assign": BASE[0][1], "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f
 _GATE = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": "AKIA", "hex": r"[0-9a-f]{16}"}
 #: Further candidates: runs of 20 characters or more with a digit, a capital and a small letter.
 WIDE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9A-Z+/_=-]*[a-z])(?=[0-9a-z+/_=-]*[A-Z])[A-Za-z0-9+/_=-]{20,}+"
+_WIDE_GATE = r"[A-Za-z0-9+/_=-]{20}"
 #: Order of kinds at equal starts.
 KINDS = ["assign", "access", "hex", "live"]
 
@@ -88,7 +92,7 @@ def candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = text_or_empty(text_col)
     base = [_spans(text, k, _QUICK[k], g, n, _GATE[k]) for k, _, g, n in BASE]
     step = docs.withColumn("_base", F.array_sort(F.concat(*base)))
-    wide = _spans(text, "live", WIDE, 0, 20, r"[A-Za-z0-9+/_=-]{20}")
+    wide = _spans(text, "live", WIDE, 0, 20, _WIDE_GATE)
     # ``_base`` is bound once, for a lambda would compute an expression anew for every candidate
     outside = _held(F.struct(F.col("_base").alias("base"), wide.alias("wide")), lambda z: F.filter(z["wide"], lambda x: ~_contained(z["base"], x)))
     return step.withColumn("_wide", outside)
@@ -119,7 +123,9 @@ def scan(
     repository = F.coalesce(repository.cast("string"), missing) if repository is not None else F.concat_ws("/", named("source"), named("lang"))
     keyed = docs.drop("secret_spans").withColumns({"_owner": owner, "_repo": repository})
     keyed = keyed.withColumns({"_k1": F.xxhash64(text_or_empty(text_col)), "_k2": F.xxhash64(F.lit(7), text_or_empty(text_col))})
-    found = candidates(keyed.select(text_col, "_owner", "_repo", "_k1", "_k2"), text_col).drop(text_col)
+    # asked for first: a filter on the spans would find them a second time
+    gates = reduce(or_, [text_or_empty(text_col).rlike(g) for g in (*_GATE.values(), _WIDE_GATE)])
+    found = candidates(keyed.select(text_col, "_owner", "_repo", "_k1", "_k2").filter(gates), text_col).drop(text_col)
     found = stored(spark, found.filter((F.size("_base") > 0) | (F.size("_wide") > 0)), "secret-candidates")
 
     one = found.select("_owner", "_repo", "_k1", "_k2", F.explode(F.concat("_base", "_wide")).alias("s"))
