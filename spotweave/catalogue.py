@@ -345,13 +345,13 @@ def protein_expand(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    _with(["chip_mask"], "p AS (SELECT CAST(rec_no % 100000 AS INT) AS protein_index, substr(barcode,1,7) AS barcode FROM chip_mask WHERE rec_no < 1000000000 AND rec_no % 20 = 0)", """
+    _with(["chip_mask"], "p AS (SELECT barcode, min(rec_no) AS protein_index FROM chip_mask GROUP BY barcode)", """
 v AS (SELECT barcode AS variant, protein_index FROM p UNION ALL
- SELECT concat(substr(barcode,1,i-1), b, substr(barcode,i+1,7)), protein_index FROM p, (SELECT CAST(unnest(generate_series(1, 7)) AS INT) AS i) s, (SELECT unnest(['A','C','T','G']) AS b) q WHERE substr(barcode,i,1) <> b)""")
+ SELECT concat(substr(barcode,1,i-1), b, substr(barcode,i+1,25)), protein_index FROM p, (SELECT CAST(unnest(generate_series(1, 25)) AS INT) AS i) s, (SELECT unnest(['A','C','T','G']) AS b) q WHERE substr(barcode,i,1) <> b)""")
     + "SELECT variant, min(protein_index) AS a, max(protein_index) AS b FROM v GROUP BY variant HAVING min(protein_index) <> max(protein_index)"
 )
 def protein_collisions(spark: SparkSession, d: str) -> DataFrame:
-    """Variants that two distinct chip barcodes share; a barcode's index is its first record. The SQL still states a smaller list."""
+    """Variants that two distinct chip barcodes share; a barcode's index is its first record."""
     every = _mask(spark, d).groupBy("barcode").agg(F.min("rec_no").alias("protein_index"))
     found = protein.collisions(every, ProteinSpec(length=25))
     return found.select(sequence.decode("variant", 25).alias("variant"), "a", "b")
@@ -518,7 +518,20 @@ def text_functions(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query()
+_OVERLAP = """p AS (SELECT read_id, seq1 AS a, qual1 AS p, concat(substr(seq1,11,40), substr(seq2,1,10)) AS b, reverse(substr(qual2,1,50)) AS q FROM read_pairs),
+o AS (SELECT *, unnest(generate_series(30, 50)) AS o FROM p),
+d AS (SELECT *, list_filter(generate_series(1, o), lambda i: substr(a,50-o+i,1) <> substr(b,i,1)) AS d FROM o),
+f AS (SELECT read_id, min(o) AS o FROM d WHERE len(d) < 3 AND len(list_filter(d, lambda i: NOT (substr(p,50-o+i,1) >= '?' AND substr(q,i,1) <= '0' OR substr(p,50-o+i,1) <= '0' AND substr(q,i,1) >= '?'))) = 0 GROUP BY read_id),
+k AS (SELECT d.* FROM d JOIN f ON d.read_id = f.read_id AND d.o = f.o),
+t AS (SELECT *, list_transform(generate_series(1, o), lambda i: CASE WHEN substr(p,50-o+i,1) >= '?' AND substr(q,i,1) <= '0' THEN substr(a,50-o+i,1) ELSE substr(b,i,1) END) AS bases,
+ list_transform(generate_series(1, o), lambda i: CASE WHEN substr(a,50-o+i,1) = substr(b,i,1) THEN chr(ord(substr(p,50-o+i,1)) + ord(substr(q,i,1)) - 33)
+ WHEN substr(p,50-o+i,1) >= '?' AND substr(q,i,1) <= '0' THEN substr(p,50-o+i,1) ELSE substr(q,i,1) END) AS quals FROM k)"""
+
+
+@query(
+    _with(["read_pairs"], _OVERLAP)
+    + "SELECT read_id, CAST(o AS INT) AS overlap, CAST(len(d) AS INT) AS diff, concat(substr(a,1,50-o), array_to_string(bases,''), substr(b,o+1)) AS merged_seq, concat(substr(p,1,50-o), array_to_string(quals,''), substr(q,o+1)) AS merged_qual FROM t"
+)
 def pair_overlap_merge(spark: SparkSession, d: str) -> DataFrame:
     """Pairs whose ends overlap, merged; the second read is the fixture's first read's reversed complement, shifted and with its own qualities."""
     rc = sequence.reverse_complement(F.concat(F.substring("seq1", 11, 40), F.substring("seq2", 1, 10)))

@@ -124,13 +124,6 @@ def quality_metrics(mapped: DataFrame, spec: RunSpec) -> DataFrame:
     return row.select("reads", "mapped", *[x for k in sums for x in (k, share(F.col(k), bases[k.split("_")[0]]).alias(f"{k}_pct"))])
 
 
-def metric_rows(row: DataFrame) -> DataFrame:
-    """A one-row table of numbers as ``metric``, ``value``."""
-    names = row.columns
-    pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in names])
-    return row.select(F.explode(pairs).alias("m")).select("m.*")
-
-
 def overlap_merge(pairs: DataFrame, least: int = 30) -> DataFrame:
     """Pairs whose ends overlap, merged: ``merged_seq``, ``merged_qual``, ``overlap``, ``diff``.
 

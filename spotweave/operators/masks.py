@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from spotweave.functions import sequence
 
+#: Fixed value: distance of two spots.
+PITCH = 500
+
 
 def coded(mask: DataFrame, length: int = 25, start: int = 0) -> DataFrame:
     """A mask with ``bc``, the code of its barcode."""
@@ -89,6 +92,13 @@ def cells(mask: DataFrame, segment: int = 1) -> DataFrame:
     )
 
 
+def cell_header(mask: DataFrame, length: int = 25, pitch: int = PITCH) -> DataFrame:
+    """One row beside ``cells``: ``row_offset``, ``col_offset``, ``barcode_length``, ``pitch``."""
+    return slide_range(mask).select(
+        F.col("row_start").cast("int").alias("row_offset"), F.col("col_start").cast("int").alias("col_offset"), F.lit(length).alias("barcode_length"), F.lit(pitch).alias("pitch")
+    )
+
+
 def from_cells(table: DataFrame, row_offset: int = 0, col_offset: int = 0) -> DataFrame:
     """Mask rows ``bc``, ``x``, ``y`` of the cells that aren't empty."""
     return table.filter("bc <> 0").select("bc", (F.col("col") + col_offset).cast("long").alias("x"), (F.col("row") + row_offset).cast("long").alias("y"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spotweave.config import ProteinSpec, RunSpec
+from spotweave.config import FixedSpec, ProteinSpec, RunSpec
 from spotweave.functions import reads as R
 from spotweave.functions import sequence
 from spotweave.operators import mapping
-from spotweave.storage import shared_dir
+from spotweave.storage import scratch
 
 #: Fixed value: groups with fewer distinct identifiers aren't collapsed.
 LEAST_UMIS = 5
@@ -40,9 +41,14 @@ def checked(proteins: DataFrame, spec: ProteinSpec) -> DataFrame:
     return expand(proteins, spec)
 
 
+def without_fixed(spec: RunSpec) -> RunSpec:
+    """The run of protein mode, where fixed sequences drop no pairs unless ``fixed_in_protein`` asks for it."""
+    return spec if spec.fixed_in_protein else replace(spec, fixed=FixedSpec())
+
+
 def protein_reads(pairs: DataFrame, mask: DataFrame, proteins: DataFrame, spec: RunSpec) -> DataFrame:
     """Mapped pairs whose identifier passes and whose second read names a protein: ``read_id``, ``x``, ``y``, ``protein_index``, ``umi``."""
-    mapped = mapping.map_pairs(pairs, mask, spec).filter("passed")
+    mapped = mapping.map_pairs(pairs, mask, without_fixed(spec)).filter("passed")
     p = spec.protein
     coded = mapped.withColumn("variant", sequence.encode(F.substring("seq2", p.start + 1, p.length))).filter(
         F.length("seq2") >= p.start + p.length
@@ -80,28 +86,32 @@ def umi_parents(ranked: DataFrame, length: int) -> DataFrame:
     return ranked.join(met, [*GROUP, "umi_code"], "left")
 
 
-def umi_collapse(spark: SparkSession, ranked: DataFrame, length: int, most: int = 40) -> DataFrame:
+def umi_collapse(spark: SparkSession, ranked: DataFrame, length: int) -> DataFrame:
     """Survivors with the reads of all identifiers that merge into them: ``x``, ``y``, ``protein_index``, ``umi``, ``umi_code``, ``n``.
 
-    Roots are found by pointer jumping, each round stored: the depth of a tree is halved.
+    Roots are found by pointer jumping over the identifiers that have a parent: the depth of a tree
+    is halved in each round, and identifiers that have reached their root leave the loop.
     """
-    ranked = _stored(spark, ranked)  # read three times from here on
-    state = umi_parents(ranked, length).withColumn("root", F.coalesce("parent", "rank"))
-    state = _stored(spark, state.select(*GROUP, "umi", "umi_code", "rank", "root", "n"))
-    for _ in range(most):
-        up = state.select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("next"))
-        jumped = state.join(up, [*GROUP, "root"]).select(*GROUP, "umi", "umi_code", "rank", F.col("next").alias("root"), "n", (F.col("next") != F.col("root")).alias("moved"))
-        jumped = _stored(spark, jumped)
-        state = jumped.drop("moved")
-        if jumped.filter("moved").limit(1).count() == 0:
-            break
-    sums = state.groupBy(*GROUP, "root").agg(F.sum("n").alias("n"))
-    roots = state.filter("rank = root").select(*GROUP, "root", "umi", "umi_code")
-    return roots.join(sums, [*GROUP, "root"]).drop("root")
+    ranked = _stored(spark, umi_parents(ranked, length))
+    edges = ranked.filter("parent is not null").select(*GROUP, "rank", F.col("parent").alias("root"))
+    moving, settled = _stored(spark, edges), []
+    while moving.limit(1).count():  # ends, for a parent's rank is below its child's
+        step = moving.join(moving.select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("next")), [*GROUP, "root"], "left")
+        final = F.when(F.col("next").isNull(), F.col("root"))
+        if settled:
+            done = reduce(DataFrame.unionByName, settled).select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("known"))
+            step, final = step.join(done, [*GROUP, "root"], "left"), F.coalesce(F.col("known"), final)
+        step = _stored(spark, step.select(*GROUP, "rank", "next", final.alias("final")))
+        settled.append(step.filter("final is not null").select(*GROUP, "rank", F.col("final").alias("root")))
+        moving = step.filter("final is null").select(*GROUP, "rank", F.col("next").alias("root"))
+    roots = reduce(DataFrame.unionByName, settled) if settled else edges
+    placed = ranked.join(roots, [*GROUP, "rank"], "left").withColumn("root", F.coalesce("root", "rank"))
+    own = F.col("rank") == F.col("root")
+    return placed.groupBy(*GROUP, "root").agg(F.max(F.when(own, F.col("umi"))).alias("umi"), F.max(F.when(own, F.col("umi_code"))).alias("umi_code"), F.sum("n").alias("n")).drop("root")
 
 
 def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path = f"{shared_dir(spark)}/umi-{uuid.uuid4().hex}"
+    path = scratch(spark, "umi")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -125,6 +135,13 @@ def duplication(collapsed: DataFrame) -> DataFrame:
     return row.withColumn("duplication_pct", rate)
 
 
+def protein_metrics(hits: DataFrame, mapped: DataFrame) -> DataFrame:
+    """One row: ``mapped``, ``umi_failed``, ``protein`` (pairs with a protein) and its percent of mapped pairs whose identifier passes."""
+    row = mapped.agg(F.count_if(F.col("x").isNotNull()).alias("mapped"), F.count_if(F.col("umi_fail").isNotNull()).alias("umi_failed"))
+    row = row.crossJoin(hits.agg(F.count("*").alias("protein")))  # one row each
+    return row.withColumn("protein_pct", mapping.share(F.col("protein"), F.col("mapped") - F.col("umi_failed")))
+
+
 def protein_quality(hits: DataFrame, mapped: DataFrame, spec: ProteinSpec) -> DataFrame:
     """One row: quality percentages of protein barcodes of passing pairs, over the bases of mapped pairs."""
     cut = F.substring("qual2", spec.start + 1, spec.length)

@@ -42,18 +42,22 @@ def exact(codes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return hits.select("barcode", F.lit("exact").alias("match_kind"), "bc", "x", "y")
 
 
-def nearest(codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int) -> tuple[DataFrame, DataFrame]:
+#: Mask rows from which the neighbours of a barcode are fewer than the mask rows that share a piece with it.
+LARGE_MASK = 50_000_000
+
+
+def nearest(codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int, plan: str) -> tuple[DataFrame, DataFrame]:
     """Of barcodes without an exact match: the unique nearest, and the ambiguous ones.
 
     Distances rise one at a time; a distance with several hits ends the search as ambiguous.
-    One substitution is tried by joining all neighbours of the barcodes; beyond that barcodes
-    and dictionary are cut into distance + 1 pieces, one of which must agree, and the codes of
-    those that share a piece are compared.
+    One substitution is tried by joining all neighbours of the barcodes, and so are more with the
+    plan ``neighbours``; with ``pieces`` barcodes and dictionary are cut into distance + 1 pieces,
+    one of which must agree, and the codes of those that share a piece are compared.
     """
     left, found, unclear = codes, None, None
     for d in range(1, mismatch + 1):
-        if d == 1:
-            tries = left.select("barcode", F.explode(sequence.neighbours("code", length, 1)).alias("near"))
+        if d == 1 or plan == "neighbours":
+            tries = left.select("barcode", F.explode(sequence.neighbours("code", length, d)).alias("near"))
             hits = tries.join(dictionary, tries.near == dictionary.bc).select("barcode", "bc", "x", "y")
         else:
             hits = _pigeonhole(left, dictionary, length, d)
@@ -92,9 +96,12 @@ def wildcard(codes: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFr
     return one, any_.filter("n > 1").select("barcode", F.lit("n").alias("at"))
 
 
-def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec) -> DataFrame:
+def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec, plan: str | None = None) -> DataFrame:
     """A row for each of the distinct barcodes that has a match or is ambiguous.
 
+    ``plan``: how two substitutions or more are tried (``nearest``); by default by the size of the
+    dictionary. Both give the same rows.
+
     ``barcode``, ``match_kind`` (exact, mis1, mis2, mis3, n, ambiguous), ``bc``, ``x``, ``y``; the
     last three are null for the ambiguous.
     """
@@ -104,14 +111,12 @@ def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec) -> Da
     if not spec.mismatch:
         return hit
     rest = plain.join(dictionary.select("bc"), plain.code == F.col("bc"), "left_anti")
-    near, unclear = nearest(rest, dictionary, spec.length, spec.mismatch)
+    if plan is None and spec.mismatch > 1:
+        # three substitutions have 65,000 neighbours, so they take pieces at any size
+        plan = "neighbours" if spec.mismatch == 2 and dictionary.count() >= LARGE_MASK else "pieces"
+    near, unclear = nearest(rest, dictionary, spec.length, spec.mismatch, plan or "pieces")
     wild, several = wildcard(usable.filter(sequence.n_count("barcode") == 1), dictionary)
     no = F.lit(None).cast("long")
     lost = unclear.unionByName(several).select("barcode", F.lit("ambiguous").alias("match_kind"), no.alias("bc"), no.alias("x"), no.alias("y"))
     return hit.unionByName(near).unionByName(wild).unionByName(lost)
 
-
-def min_record(mask: DataFrame) -> DataFrame:
-    """The first record of each barcode in input order."""
-    order = Window.partitionBy("bc").orderBy("src", "rec_no")
-    return mask.withColumn("k", F.row_number().over(order)).filter("k = 1").drop("k")

@@ -32,23 +32,29 @@ def mask_records(mask: DataFrame) -> DataFrame:
 
 
 def write_mask_binary(mask: DataFrame, folder: str) -> None:
-    """16-byte records, one file for each partition, written through Hadoop's sequence of bytes.
+    """16-byte records, one file for each partition, in a folder of any store that has a URI (a plain path is a local one).
 
-    The folder is one that all executors share; a file appears whole, under its partition's number.
+    Spark has no writer of bare bytes, so each task writes through the store's own file system; a
+    file appears whole under its partition's number, so a task that runs again replaces it.
     """
 
-    def write(number: int, rows) -> list[str]:
-        import os
+    def write(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+        from pyspark import TaskContext
 
-        os.makedirs(folder, exist_ok=True)
-        target = os.path.join(folder, f"part-{number:05d}.bin")
-        with open(f"{target}.tmp", "wb") as f:
-            for r in rows:
-                f.write(r["record"])
-        os.replace(f"{target}.tmp", target)
-        return [target]
+        store, at = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store.create_dir(at, recursive=True)
+        target = f"{at}/part-{TaskContext.get().partitionId():05d}.bin"
+        attempt = f"{at}/_{TaskContext.get().taskAttemptId()}.tmp"
+        with store.open_output_stream(attempt) as out:
+            for batch in batches:
+                for record in batch.column("record"):
+                    out.write(record.as_buffer())
+        store.move(attempt, target)
+        yield pa.RecordBatch.from_pydict({"file": [target]})
 
-    mask_records(mask).rdd.mapPartitionsWithIndex(write).count()
+    mask_records(mask).mapInArrow(write, "file string").count()
 
 
 def write_mask_text(mask: DataFrame, path: str, length: int = 25) -> None:
@@ -92,9 +98,21 @@ def write_gem_raw(raw: DataFrame, path: str, length: int = 10) -> None:
     raw.select("y", "x", "protein_index", sequence.decode("umi_code", length).alias("umi"), "n").write.csv(path, sep="\t")
 
 
+def metric_lines(row: DataFrame) -> DataFrame:
+    """A one-row table of counters as ``metric``, ``value``, ``pct``: percentages (``<metric>_pct``) stand beside their counter."""
+    names = [c for c in row.columns if not c.endswith("_pct")]
+    pct = lambda n: F.col(f"{n}_pct") if f"{n}_pct" in row.columns else F.lit(None)
+    lines = [F.struct(F.lit(n).alias("metric"), F.col(n).cast("long").alias("value"), pct(n).cast("double").alias("pct")) for n in names]
+    return row.select(F.explode(F.array(*lines)).alias("m")).select("m.*")
+
+
 def write_metrics(rows: DataFrame, path: str) -> None:
-    """``metric:`` and value, tab-separated."""
-    rows.select(F.concat_ws("\t", F.concat("metric", F.lit(":")), F.col("value").cast("string")).alias("value")).write.text(path)
+    """``metric:``, value and, where there is one, percent with two decimals, tab-separated."""
+    parts = [F.concat("metric", F.lit(":")), F.col("value").cast("string")]
+    if "pct" in rows.columns:
+        parts.append(F.format_string("%.2f%%", F.col("pct")))
+        parts[-1] = F.when(F.col("pct").isNotNull(), parts[-1])
+    rows.select(F.concat_ws("\t", *parts).alias("value")).write.text(path)
 
 
 def merge_report(stats: DataFrame, files: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or a temporary folder where the session names none (a local session, as in tests)."""
+    """``spark.checkpoint.dir``; a temporary folder where a local session (as in tests) names none.
+
+    On a cluster the setting must be there, for executors don't see the driver's folders.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = os.path.join(tempfile.gettempdir(), "checkpoints", f"spotweave-{os.getpid()}")
         os.makedirs(found, exist_ok=True)
     return found.rstrip("/")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
