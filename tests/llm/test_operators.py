@@ -399,6 +399,41 @@ def test_language(spark):
     assert language.identify(spark, empty, models).count() == 0
 
 
+def test_language_of_held_out_documents(spark):
+    found = queries.op9_language(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = found.filter("held_out and lang is not null and lang_pred <> 'und'").collect()
+    assert len(rows) > 200
+    assert sum(r["lang_pred"] == r["lang"] for r in rows) >= 0.99 * len(rows)
+    assert np.mean([r["score"] for r in rows]) > 0.95
+
+
+def test_language_against_direct_sums(spark):
+    rows = [("a", "abca abd"), ("a", "bcab"), ("b", "abab dab é"), ("b", "cde")]
+    models = language.train(spark, spark.createDataFrame(rows, "lang string, text string"))
+    levels = {}
+    for lang in ("a", "b"):
+        four = Counter(g for x, t in rows if x == lang for g in language.grams(language.symbols(t)).tolist())
+        levels[lang] = {4: four}
+        for k in (3, 2, 1):
+            levels[lang][k] = Counter(g & ((1 << 16 * k) - 1) for g in levels[lang][k + 1])
+
+    def chance(lang, gram, k):
+        if k == 0:
+            return 1 / (1 << 16)
+        part = gram & ((1 << 16 * k) - 1)
+        same = {g: n for g, n in levels[lang][k].items() if g >> 16 == part >> 16}
+        lower = chance(lang, gram, k - 1)
+        if not same:
+            return lower
+        return max(same.get(part, 0) - 0.75, 0) / sum(same.values()) + 0.75 * len(same) / sum(same.values()) * lower
+
+    codes = language.grams(language.symbols("abca é zab dé cab"))
+    want = np.array([[np.log2(chance(x, int(g), 4)) for x in ("a", "b")] for g in codes])
+    assert np.allclose(models.scores(codes), want, atol=1e-4)
+    bits, n = models.entropies([language.symbols("abca é zab dé cab"), language.symbols("a")])
+    assert np.allclose(bits[0], -want.mean(axis=0), atol=1e-4) and n.tolist() == [len(codes), 2]
+
+
 def test_language_keeps_every_letter(spark):
     letters = "абвгдежзийклмнопрстуфхцчшщъыьэюяё äßéêàüöñ 漢字仮名ひらがな 한국 αβγδ ابتپ कखग 𐐨𐐩 𠀀𠀁"
     seen = {language.symbols(c).tobytes() for c in letters if c != " "}
