@@ -37,8 +37,8 @@ def _tables(values: dict[int, object]) -> list[tuple[int, list]]:
 
 @functools.cache
 def _decomposition() -> list[tuple[int, list]]:
-    """From Unicode data: full canonical decompositions, Hangul syllables too."""
-    points = (p for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF)
+    """From Unicode data: full canonical decompositions; Hangul syllables follow a rule instead (``_jamo``)."""
+    points = (p for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF and not 0xAC00 <= p <= 0xD7A3)
     return _tables({p: full for p in points if (full := unicodedata.normalize("NFD", chr(p))) != chr(p)})
 
 
@@ -57,6 +57,19 @@ def _looked_up(char: Column, tables: list[tuple[int, list]], kind: str) -> Colum
     return out
 
 
+def _jamo(char: Column) -> Column:
+    """Leading consonant, vowel and, if there is one, trailing consonant of a Hangul syllable; null for others.
+
+    Syllables are numbered by 19 leading, 21 vowels, 28 trailing (the first one is none).
+    """
+    number = F.ascii(char) - 0xAC00
+    letters = lambda first, n: F.array(*[F.lit(chr(first + k)) for k in range(n)])
+    trailing = F.concat(F.array(F.lit("")), letters(0x11A8, 27))
+    pick = lambda a, k: F.get(a, F.floor(k).cast("int"))
+    parts = F.concat(pick(letters(0x1100, 19), number / 588), pick(letters(0x1161, 21), (number % 588) / 28), pick(trailing, number % 28))
+    return F.when((number >= 0) & (number < 11172), parts)
+
+
 def _class(points: list[int]) -> str:
     """The inside of a regular expression class of the code points, in ranges."""
     out: list[list[int]] = []
@@ -87,7 +100,7 @@ def decomposed(text: Column) -> Column:
     """
     # nothing below U+00C0 decomposes
     pieces = F.regexp_extract_all(text, F.lit(r"[\x{C0}-\x{10FFFF}]|[^\x{C0}-\x{10FFFF}]+"), F.lit(0))
-    whole = F.array_join(F.transform(pieces, lambda c: F.coalesce(_looked_up(c, _decomposition(), "string"), c)), "")
+    whole = F.array_join(F.transform(pieces, lambda c: F.coalesce(_looked_up(c, _decomposition(), "string"), _jamo(c), c)), "")
     step = F.when(text.rlike(r"[\x{C0}-\x{10FFFF}]"), whole).otherwise(text)
 
     # marks newer than the Unicode data of the JVM are unassigned to it
