@@ -146,6 +146,8 @@ def confirm(spark: SparkSession, pairs: DataFrame, texts: DataFrame, percent: in
 
 #: Sets compared with each other at once.
 BLOCK = 400
+#: Members of a key that are met in one task.
+CROWD = 1000
 
 
 def block_similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
@@ -222,15 +224,22 @@ def _blocks(percent: int):
 def _block_links(spark: SparkSession, members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links between components among the members (``id``, ``ref``, ``component``) of one ``ref``.
 
-    The members of a ref are cut into blocks of about BLOCK; every pair of blocks is a group of
-    its own, so no task gets a whole ref. Only links that join components leave a task.
+    The members of a ref are cut into blocks of about BLOCK, those of the ref's largest component
+    (which are linked already) apart from the others; every pair of blocks with others in it is a
+    group of its own, so no task gets a whole ref, and the members of the largest component
+    are never compared with each other. Only links that join components leave a task.
     """
-    refs = members.groupBy("ref").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-    refs = refs.filter("x <> y").select("ref", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("parts"))
+    sizes = members.groupBy("ref", "component").agg(F.count("*").alias("n"))
+    refs = sizes.groupBy("ref").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top")).filter("top.n < n")
+    parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    refs = refs.select("ref", F.col("top.component").alias("main"), parts(F.col("n") - F.col("top.n")).alias("few"), parts(F.col("top.n")).alias("many"))
     rows = stored(spark, members.join(refs, "ref"), "neardup-blocks")
     full = texts.join(rows.select("id").distinct(), "id").mapInArrow(_sets(width), "id long, shingles binary")
-    cut = rows.join(full, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    main = F.col("component") == F.col("main")
+    hashed = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    cut = rows.join(full, "id").withColumn("block", F.when(main, F.col("few") + hashed(F.col("many"))).otherwise(hashed(F.col("few"))))
+    last = F.when(main, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     cut = cut.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     cut = cut.select("ref", "low", "high", "id", "component", "block", "shingles")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -257,11 +266,11 @@ def near_duplicates(
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = stored(spark, texts.mapInArrow(_sketch(width), "id long, n_shingles long, d1 long, d2 long, sig binary"), "neardup-rows")
-    real = rows.filter("n_shingles > 0 and id is not null")
+    real = rows.filter("n_shingles > 0 and id is not null")  # empty sets never reach a comparison
     sets = real.groupBy("d1", "d2", "n_shingles").agg(F.min("id").alias("set_id"), F.first("sig").alias("sig"))
     sets = stored(spark, sets, "neardup-sets-distinct")
 
-    known_texts = texts.filter("id is not null")
+    known_texts = texts.filter(F.col("id").isNotNull() & F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     index = sets.select(F.col("set_id").alias("id"), "n_shingles", "sig").mapInArrow(_index, "key long, id long, n long")
     index = stored(spark, index, "neardup-index")
     shared = index.groupBy("key").agg(F.count("*").alias("company")).filter("company > 1")
@@ -284,8 +293,14 @@ def near_duplicates(
     members = stored(spark, members, "neardup-members")
     blocks = _block_links(spark, members, known_texts, percent, width)
     placed = open_.join(members.select("id", "ref"), "id")
-    p, q = placed.alias("p"), placed.alias("q")
-    cross = (F.col("p.key") == F.col("q.key")) & (F.col("p.component") < F.col("q.component")) & close(F.col("p.n"), F.col("q.n"))
+    # a key of many members is dealt to several tasks: one side in parts, the other once for each part
+    crowds = placed.groupBy("key").agg(F.count("*").alias("k"), F.min("ref").alias("x"), F.max("ref").alias("y")).filter("x <> y")
+    crowds = crowds.select("key", F.ceil(F.col("k") / F.lit(CROWD)).cast("int").alias("parts"))
+    placed = stored(spark, placed.join(crowds, "key"), "neardup-placed")
+    p = placed.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).alias("p")
+    q = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("q")
+    meet = (F.col("p.key") == F.col("q.key")) & (F.col("p.part") == F.col("q.part"))
+    cross = meet & (F.col("p.component") < F.col("q.component")) & close(F.col("p.n"), F.col("q.n"))
     second = p.join(q, cross & (F.col("p.ref") != F.col("q.ref"))).select(F.greatest("p.id", "q.id").alias("a"), F.least("p.id", "q.id").alias("b")).distinct()
     second = stored(spark, within_distance(second.join(first, ["a", "b"], "left_anti"), sets), "neardup-pairs")
     more = confirm(spark, second, known_texts, percent, width)
