@@ -112,15 +112,17 @@ SELECT d.doc_id, coalesce(n.k, 0) AS n_shingles, m.component_id, d.doc_id = m.co
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.doc_id = d.doc_id
 """
 
-#: Poisson counts by stepping through the distribution function of each source.
+#: Poisson counts by stepping through the distribution function of each source; rates above 500 as sums of parts.
 MIXING_SQL = """
 WITH RECURSIVE g AS (SELECT coalesce(source, concat(chr(0), 'null')) AS grp, count(*) AS n FROM documents GROUP BY 1),
 t AS (SELECT sum(n) AS an, sum(power(n, 0.5)) AS aw FROM g),
-rt AS (SELECT grp, 1.0 * an * power(n, 0.5) / aw / n AS rate FROM g, t),
+w AS (SELECT grp, 1.0 * an * power(n, 0.5) / aw / n AS whole FROM g, t),
+rt AS (SELECT grp, CASE WHEN whole <= 500 THEN 1 ELSE CAST(ceil(whole / 256) AS INT) END AS parts, whole / (CASE WHEN whole <= 500 THEN 1 ELSE CAST(ceil(whole / 256) AS INT) END) AS rate FROM w),
 cdf AS (SELECT grp, rate, 0 AS k, exp(-rate) AS p, exp(-rate) AS c FROM rt
  UNION ALL SELECT grp, rate, k + 1, p * rate / (k + 1), c + p * rate / (k + 1) FROM cdf WHERE k < CAST(floor(rate + 9 * sqrt(rate + 1) + 24) AS INT)),
-u AS (SELECT doc_id, coalesce(source, concat(chr(0), 'null')) AS grp,
- CAST(concat('0x', substr(md5(concat('mix-1', chr(31), CAST(doc_id AS VARCHAR))), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u FROM documents),
+s AS (SELECT doc_id, rt.grp, unnest(range(1, parts + 1)) AS j FROM documents d JOIN rt ON coalesce(d.source, concat(chr(0), 'null')) = rt.grp),
+u AS (SELECT doc_id, grp,
+ CAST(concat('0x', substr(md5(CASE WHEN j = 1 THEN concat('mix-1', chr(31), CAST(doc_id AS VARCHAR)) ELSE concat('mix-1/part', chr(31), CAST(doc_id AS VARCHAR), chr(31), CAST(j AS VARCHAR)) END), 1, 13)) AS BIGINT) / 4503599627370496.0 AS u FROM s),
 k AS (SELECT doc_id, count(*) FILTER (c <= u) AS mix_copies FROM u JOIN cdf ON u.grp = cdf.grp GROUP BY doc_id),
 e AS (SELECT doc_id, mix_copies, unnest(range(0, mix_copies)) AS mix_copy FROM k)
 SELECT d.*, mix_copies, mix_copy, md5(concat('mix-1', chr(31), CAST(d.doc_id AS VARCHAR), chr(31), CAST(mix_copy AS VARCHAR))) AS mix_key

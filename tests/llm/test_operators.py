@@ -351,6 +351,17 @@ def test_mixing_large_rates(spark):
         assert 0.5 < n.var() / rate < 1.8
 
 
+def test_mixing_equals_sql_beyond_one_draw(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rare = F.when(F.col("id") == 7, "b").otherwise("a")
+    got = mixing.mix(spark, spark.range(300_000).select(F.col("id").alias("doc_id"), rare.alias("source")))
+    got = {tuple(r) for r in got.filter("doc_id < 50").select("doc_id", "source", "mix_copies", "mix_copy", "mix_key").collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT range AS doc_id, CASE WHEN range = 7 THEN 'b' ELSE 'a' END AS source FROM range(300000)")
+    want = con.execute(f"SELECT doc_id, source, mix_copies, mix_copy, mix_key FROM ({queries.MIXING_SQL}) z WHERE doc_id < 50").fetchall()
+    assert got == set(want) and len(got) > 500
+
+
 def test_tokens(spark, docs, none):
     from tokenizers import Tokenizer
 
