@@ -24,7 +24,7 @@ from spotweave.llm.shingles import Prefixes, mix, word_hashes
 
 WINDOW, REACH, GRAM = 400, 200, 16
 #: Bytes of text handled at once.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Different surroundings of an anchor (16 MB of text) beyond which they aren't sorted in one task: each of their windows is compared by a key of its own.
 MOST = 20_000
 
@@ -200,7 +200,7 @@ def _in_batches(raw: list[bytes]) -> Iterator[range]:
     at = 0
     while at < len(raw):
         end, size = at, 0
-        while end < len(raw) and (end == at or size + len(raw[end]) <= CHUNK // 2):
+        while end < len(raw) and (end == at or size + len(raw[end]) <= CHUNK):
             size += len(raw[end])
             end += 1
         yield range(at, end)
