@@ -75,7 +75,7 @@ STAGES = [
     ("best-fit packing", packing_stage),
 ]
 
-#: SQL has no tokenizer and no xxhash; the pipeline is tested stage by stage, near-dedup with null and repeated ids against brute force.
+#: SQL has no tokenizer and no xxhash; the whole pipeline is tested against a brute-force version.
 ORACLE_SQL = None
 
 
