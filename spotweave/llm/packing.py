@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spotweave.llm.common import stored, text_or_empty
-from spotweave.llm.tokenizing import Encoder
+from spotweave.llm.tokenizing import encoder
 
 
 #: Room that a sequence laid out by a pattern may leave.
@@ -227,11 +227,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, spa
 
         import pyarrow as pa
 
-
-        encoder, last = Encoder(tokenizer_path, spaces), int(end_id).to_bytes(4, "little")
+        known, last = encoder(tokenizer_path, spaces), int(end_id).to_bytes(4, "little")
         for batch in batches:
             row, piece, start, length, crc, raw = [], [], [], [], [], []
-            for i, ids in enumerate(encoder.batch(batch.column("text").to_pylist())):
+            for i, ids in enumerate(known.batch(batch.column("text").to_pylist())):
                 whole = b"".join([*ids, last])
                 for k, at in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[at : at + 4 * capacity]

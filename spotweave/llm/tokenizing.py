@@ -16,7 +16,7 @@ from collections.abc import Iterator
 _ODD = re.compile("[\x1c-\x1f᠎​﻿]")
 _RUNS = re.compile(r"\s*\S+|\s+")
 #: Runs kept in a task.
-KEPT = 600_000
+KEPT = 1_000_000
 #: Punctuation that ends a word; what stands before it, if letters, is encoded apart.
 _TAIL = ".,!?;:#$%&*"
 
@@ -113,3 +113,19 @@ class Encoder:
             get = self.known.__getitem__
             for runs in cut:
                 yield list(map(get, runs))
+
+
+def encoder(path: str, spaces: bool) -> Encoder:
+    """The encoder of this process: a worker keeps it, and the runs it knows, for its next tasks.
+
+    Functions reach workers by value, so what a module holds would be gone with each task; a module of
+    the process's own holds the encoders instead.
+    """
+    import sys
+    import types
+
+    held = vars(sys.modules.setdefault("spotweave_worker_encoders", types.ModuleType("spotweave_worker_encoders")))
+    key = f"{path}:{spaces}"
+    if key not in held:
+        held[key] = Encoder(path, spaces)
+    return held[key]

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.llm.common import text_or_empty
-from spotweave.llm.tokenizing import Encoder
+from spotweave.llm.tokenizing import encoder
 
 SCHEMA = "digest binary, tokenizer string, n_tokens long"
 
@@ -40,10 +40,9 @@ def _counter(path: str, version: str, spaces: bool):
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-
-        encoder = Encoder(path, spaces)
+        known = encoder(path, spaces)
         for batch in batches:
-            sizes = [sum(map(len, ids)) // 4 for ids in encoder.batch(batch.column("text").to_pylist())]
+            sizes = [sum(map(len, ids)) // 4 for ids in known.batch(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_pydict(
                 {"digest": batch.column("digest"), "tokenizer": [version] * len(sizes), "n_tokens": pa.array(sizes, pa.int64())}
             )
