@@ -124,6 +124,11 @@ def quality_metrics(mapped: DataFrame, spec: RunSpec) -> DataFrame:
     return row.select("reads", "mapped", *[x for k in sums for x in (k, share(F.col(k), bases[k.split("_")[0]]).alias(f"{k}_pct"))])
 
 
+def _held(value: Column, use) -> Column:
+    """``use`` of a value that is computed once: inside a lambda any other expression is computed for every element."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def overlap_merge(pairs: DataFrame, least: int = 30) -> DataFrame:
     """Pairs whose ends overlap, merged: ``merged_seq``, ``merged_qual``, ``overlap``, ``diff``.
 
@@ -131,29 +136,46 @@ def overlap_merge(pairs: DataFrame, least: int = 30) -> DataFrame:
     bases counts in which fewer than three bases differ, each of them high quality (``?`` or more)
     against low (``0`` or less). Such a base follows the high quality; equal bases add qualities.
     """
-    right, quality = sequence.reverse_complement("seq2"), F.reverse("qual2")
-    step = pairs.withColumns({"_a": F.split("seq1", ""), "_b": F.split(right, ""), "_p": F.split("qual1", ""), "_q": F.split(quality, "")})
-    bases = lambda o: F.arrays_zip(
-        F.slice("_a", F.size("_a") - o + 1, o).alias("a"),
-        F.slice("_b", 1, o).alias("b"),
-        F.slice("_p", F.size("_p") - o + 1, o).alias("p"),
-        F.slice("_q", 1, o).alias("q"),
-    )
     apart = lambda z: z["a"] != z["b"]
     weak = lambda z: ((z["p"] >= "?") & (z["q"] <= "0")) | ((z["p"] <= "0") & (z["q"] >= "?"))
-    fits = lambda o: (F.size(F.filter(bases(o), apart)) < 3) & ~F.exists(bases(o), lambda z: apart(z) & ~weak(z))
-    most = F.least(F.size("_a"), F.size("_b"))
-    sizes = F.when(most >= least, F.sequence(F.lit(least), most)).otherwise(F.array().cast("array<int>"))
-    step = step.withColumn("overlap", F.get(F.filter(sizes, fits), F.lit(0))).filter("overlap is not null")
-    step = step.withColumn("_z", bases(F.col("overlap")))
     left_wins = lambda z: (z["p"] >= "?") & (z["q"] <= "0")
-    base = F.transform("_z", lambda z: F.when(left_wins(z), z["a"]).otherwise(z["b"]))
-    qual = F.transform(
-        "_z",
-        lambda z: F.when(~apart(z), F.char(F.ascii(z["p"]) + F.ascii(z["q"]) - 33)).when(left_wins(z), z["p"]).otherwise(z["q"]),
-    )
-    front, back = F.size("_a") - F.col("overlap"), F.col("overlap")
-    glue = lambda a, mid, b: F.concat(F.array_join(F.slice(a, 1, front), ""), F.array_join(mid, ""), F.array_join(F.slice(b, back + 1, 1 << 30), ""))
-    return step.select(
-        *pairs.columns, "overlap", F.size(F.filter("_z", apart)).alias("diff"), glue("_a", base, "_b").alias("merged_seq"), glue("_p", qual, "_q").alias("merged_qual")
-    )
+    size = least // 3
+
+    def split(s: Column) -> Column:
+        letters = lambda c: F.split(s[c], "")
+        return F.struct(s["a"].alias("left"), s["b"].alias("right"), *[letters(c).alias(c) for c in "abpq"])
+
+    def zipped(r: Column, o: Column) -> Column:
+        tail = lambda c: F.slice(r[c], F.size(r["a"]) - o + 1, o).alias(c)
+        return F.arrays_zip(tail("a"), F.slice(r["b"], 1, o).alias("b"), tail("p"), F.slice(r["q"], 1, o).alias("q"))
+
+    def found(r: Column) -> Column:
+        """The overlap, or null. Fewer than three differences leave one of three pieces of the least overlap untouched."""
+        same = lambda o, k: F.substr(r["left"], F.size(r["a"]) - o + 1 + size * k, F.lit(size)) == F.substr(r["right"], F.lit(size * k + 1), F.lit(size))
+        few = lambda o: _held(zipped(r, o), lambda z: (F.size(F.filter(z, apart)) < 3) & ~F.exists(z, lambda x: apart(x) & ~weak(x)))
+        most = F.least(F.size(r["a"]), F.size(r["b"]))
+        sizes = F.when(most >= least, F.sequence(F.lit(least), most)).otherwise(F.array().cast("array<int>"))
+        return F.get(F.filter(F.filter(sizes, lambda o: same(o, 0) | same(o, 1) | same(o, 2)), few), F.lit(0))
+
+    def merged(r: Column, o: Column) -> Column:
+        def glued(z: Column) -> Column:
+            qual = F.transform(
+                z,
+                lambda x: F.when(~apart(x), F.char(F.ascii(x["p"]) + F.ascii(x["q"]) - 33)).when(left_wins(x), x["p"]).otherwise(x["q"]),
+            )
+            base = F.transform(z, lambda x: F.when(left_wins(x), x["a"]).otherwise(x["b"]))
+            glue = lambda front, mid, back: F.concat(
+                F.array_join(F.slice(front, 1, F.size(front) - o), ""), F.array_join(mid, ""), F.array_join(F.slice(back, o + 1, 1 << 30), "")
+            )
+            return F.struct(
+                o.alias("overlap"),
+                F.size(F.filter(z, apart)).alias("diff"),
+                glue(r["a"], base, r["b"]).alias("merged_seq"),
+                glue(r["p"], qual, r["q"]).alias("merged_qual"),
+            )
+
+        return F.when(o.isNotNull(), _held(zipped(r, o), glued))
+
+    sides = F.struct(F.col("seq1").alias("a"), sequence.reverse_complement("seq2").alias("b"), F.col("qual1").alias("p"), F.reverse("qual2").alias("q"))
+    whole = _held(sides, lambda s: _held(split(s), lambda r: _held(found(r), lambda o: merged(r, o))))
+    return pairs.withColumn("_merged", whole).filter("_merged is not null").select(*pairs.columns, "_merged.*")
