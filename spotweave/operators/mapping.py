@@ -82,8 +82,8 @@ def share(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part.cast("double") * 100, whole.cast("double")), 4)
 
 
-def run_metrics(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
-    """One row of counters and percentages. ``pairs`` are all pairs, ``mapped`` those past the fixed filter."""
+def run_counters(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
+    """One row of counters. ``pairs`` are all pairs, ``mapped`` those past the fixed filter."""
     total = pairs.agg(F.count("*").alias("total_reads"))
     kind = lambda *k: F.count_if(F.col("match_kind").isin(*k) & F.col("x").isNotNull())
     counts = mapped.agg(
@@ -96,20 +96,20 @@ def run_metrics(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
         F.count_if(F.col("umi_fail") == "poly_a").alias("umi_poly_a"),
         F.count_if(F.col("umi_fail") == "low_quality").alias("umi_low_quality"),
     )
-    row = total.crossJoin(counts).withColumn("fixed_filtered", F.col("total_reads") - F.col("pass_filter"))  # one row each
-    c = F.col
-    return row.withColumns(
-        {
-            "fixed_pct": share(c("fixed_filtered"), c("total_reads")),
-            "mapped_pct": share(c("mapped"), c("pass_filter")),
-            "exact_pct": share(c("exact"), c("pass_filter")),
-            "mismatched_pct": share(c("mismatched"), c("pass_filter")),
-            "with_n_pct": share(c("with_n"), c("pass_filter")),
-            "umi_n_pct": share(c("umi_n"), c("pass_filter")),
-            "umi_poly_a_pct": share(c("umi_poly_a"), c("pass_filter")),
-            "umi_low_quality_pct": share(c("umi_low_quality"), c("pass_filter")),
-        }
-    )
+    return total.crossJoin(counts)  # one row each
+
+
+def with_percentages(counters: DataFrame) -> DataFrame:
+    """Counters with ``fixed_filtered`` and their percentages, of all reads or of those past the filter."""
+    row = counters.withColumn("fixed_filtered", F.col("total_reads") - F.col("pass_filter"))
+    passed = ("mapped", "exact", "mismatched", "with_n", "umi_n", "umi_poly_a", "umi_low_quality")
+    shares = {f"{c}_pct": share(F.col(c), F.col("pass_filter")) for c in passed}
+    return row.withColumns({"fixed_pct": share(F.col("fixed_filtered"), F.col("total_reads")), **shares})
+
+
+def run_metrics(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
+    """One row of counters and percentages. ``pairs`` are all pairs, ``mapped`` those past the fixed filter."""
+    return with_percentages(run_counters(pairs, mapped))
 
 
 def quality_metrics(mapped: DataFrame, spec: RunSpec) -> DataFrame:

@@ -12,7 +12,7 @@ from spotweave.config import FixedSpec, ProteinSpec, RunSpec
 from spotweave.functions import reads as R
 from spotweave.functions import sequence
 from spotweave.operators import mapping
-from spotweave.storage import scratch
+from spotweave.storage import intermediates, stored
 
 #: Fixed value: groups with fewer distinct identifiers aren't collapsed.
 LEAST_UMIS = 5
@@ -92,28 +92,24 @@ def umi_collapse(spark: SparkSession, ranked: DataFrame, length: int) -> DataFra
     Roots are found by pointer jumping over the identifiers that have a parent: the depth of a tree
     is halved in each round, and identifiers that have reached their root leave the loop.
     """
-    ranked = _stored(spark, umi_parents(ranked, length))
-    edges = ranked.filter("parent is not null").select(*GROUP, "rank", F.col("parent").alias("root"))
-    moving, settled = _stored(spark, edges), []
-    while moving.limit(1).count():  # ends, for a parent's rank is below its child's
-        step = moving.join(moving.select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("next")), [*GROUP, "root"], "left")
-        final = F.when(F.col("next").isNull(), F.col("root"))
-        if settled:
-            done = reduce(DataFrame.unionByName, settled).select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("known"))
-            step, final = step.join(done, [*GROUP, "root"], "left"), F.coalesce(F.col("known"), final)
-        step = _stored(spark, step.select(*GROUP, "rank", "next", final.alias("final")))
-        settled.append(step.filter("final is not null").select(*GROUP, "rank", F.col("final").alias("root")))
-        moving = step.filter("final is null").select(*GROUP, "rank", F.col("next").alias("root"))
-    roots = reduce(DataFrame.unionByName, settled) if settled else edges
-    placed = ranked.join(roots, [*GROUP, "rank"], "left").withColumn("root", F.coalesce("root", "rank"))
-    own = F.col("rank") == F.col("root")
-    return placed.groupBy(*GROUP, "root").agg(F.max(F.when(own, F.col("umi"))).alias("umi"), F.max(F.when(own, F.col("umi_code"))).alias("umi_code"), F.sum("n").alias("n")).drop("root")
-
-
-def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
-    path = scratch(spark, "umi")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with intermediates(spark, keep=1):
+        ranked = stored(spark, umi_parents(ranked, length), "umi")
+        edges = ranked.filter("parent is not null").select(*GROUP, "rank", F.col("parent").alias("root"))
+        moving, settled = stored(spark, edges, "umi"), []
+        while moving.limit(1).count():  # ends, for a parent's rank is below its child's
+            step = moving.join(moving.select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("next")), [*GROUP, "root"], "left")
+            final = F.when(F.col("next").isNull(), F.col("root"))
+            if settled:
+                done = reduce(DataFrame.unionByName, settled).select(*GROUP, F.col("rank").alias("root"), F.col("root").alias("known"))
+                step, final = step.join(done, [*GROUP, "root"], "left"), F.coalesce(F.col("known"), final)
+            step = stored(spark, step.select(*GROUP, "rank", "next", final.alias("final")), "umi")
+            settled.append(step.filter("final is not null").select(*GROUP, "rank", F.col("final").alias("root")))
+            moving = step.filter("final is null").select(*GROUP, "rank", F.col("next").alias("root"))
+        roots = reduce(DataFrame.unionByName, settled) if settled else edges
+        placed = ranked.join(roots, [*GROUP, "rank"], "left").withColumn("root", F.coalesce("root", "rank"))
+        own = F.col("rank") == F.col("root")
+        found = placed.groupBy(*GROUP, "root").agg(F.max(F.when(own, F.col("umi"))).alias("umi"), F.max(F.when(own, F.col("umi_code"))).alias("umi_code"), F.sum("n").alias("n")).drop("root")
+        return stored(spark, found, "umi")
 
 
 def gem(collapsed: DataFrame, proteins: DataFrame) -> DataFrame:

@@ -5,8 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Paths stored in the open ``intermediates`` blocks, innermost last.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,3 +32,42 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    It cuts the lineage, so what follows neither recomputes ``df`` nor depends on the
+    executors that made it.
+    """
+    path = scratch(spark, label)
+    if _OPEN.get():
+        _OPEN.get()[-1].append(path)
+    df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a path in whatever store it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def intermediates(spark: SparkSession, keep: int = 0) -> Iterator[None]:
+    """Delete what is ``stored`` inside the block when it ends, but for the last ``keep`` tables.
+
+    So a block must store what its caller reads last. Kept tables belong to the block around, if
+    there is one.
+    """
+    paths: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), paths))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        last = len(paths) - keep
+        for path in paths[:last]:
+            delete(spark, path)
+        if _OPEN.get():
+            _OPEN.get()[-1].extend(paths[last:])

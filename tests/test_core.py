@@ -67,6 +67,7 @@ def test_read_functions(spark):
 
 
 def test_overlap_merge(spark):
+    # fixed test values: a pair and what it merges to
     left = "TTTTTTCTCTTGGACTCTAACACTGTTTTTTCTTATGAAAACACAGGAGTGATGACTAGTTGAGTGCATTCTTATGAGACTCATAGTCATTCTATGATGTAG"
     right = "AAAAAACTACACCATAGAATGACTATGAGTCTCATAAGAATGCACTCAACTAGTCATCACTCCTGTGTTTTCATAAGAAAAAACAGTGTTAGAGTCCAAGAG"
     q1 = "AAAAA6EEEEEEEEEEEEEEEEE#EEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEAEEEAEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEEE"
@@ -76,6 +77,73 @@ def test_overlap_merge(spark):
     assert [r["merged_seq"] for r in merged] == [left + "TTTTTT"]
 
 
+def test_overlap_merge_against_search(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(120):
+        n, m, o = rng.randrange(34, 60), rng.randrange(34, 60), rng.randrange(28, 40)
+        insert = "".join(rng.choice("ACGT") for _ in range(n + m - min(o, n, m)))
+        left, right = list(insert[:n]), list(insert[len(insert) - m :])
+        q1, q2 = ["".join(rng.choice("#0?I") for _ in range(k)) for k in (n, m)]
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(n)
+            left[at] = rng.choice("ACGT")
+            q1 = q1[:at] + rng.choice("#0") + q1[at + 1 :]
+        rc = "".join(right).translate(str.maketrans("ACGT", "TGCA"))[::-1]
+        rows.append(("".join(left), q1, rc, q2[::-1]))
+
+    def merge(a, p, rc, q):
+        b, q = rc.translate(str.maketrans("ACGT", "TGCA"))[::-1], q[::-1]
+        for o in range(30, min(len(a), len(b)) + 1):
+            z = list(zip(a[len(a) - o :], b, p[len(a) - o :], q))
+            bad = [x for x in z if x[0] != x[1]]
+            if len(bad) < 3 and all(x[2] >= "?" and x[3] <= "0" or x[2] <= "0" and x[3] >= "?" for x in bad):
+                win = [x[2] >= "?" and x[3] <= "0" for x in z]
+                seq = "".join(x[0] if w else x[1] for x, w in zip(z, win))
+                qual = "".join(chr(ord(x[2]) + ord(x[3]) - 33) if x[0] == x[1] else x[2] if w else x[3] for x, w in zip(z, win))
+                return a[: len(a) - o] + seq + b[o:], p[: len(a) - o] + qual + q[o:], o, len(bad)
+        return None
+
+    want = Counter(x for x in (merge(*r) for r in rows) if x)
+    got = mapping.overlap_merge(spark.createDataFrame(rows, "seq1 string, qual1 string, seq2 string, qual2 string"))
+    assert Counter(tuple(r) for r in got.select("merged_seq", "merged_qual", "overlap", "diff").collect()) == want and len(want) > 20
+
+
+def test_fastq_by_splits(spark, tmp_path):
+    rng = random.Random(2)
+    records = [(f"@r{i}", "ACGT" * rng.randrange(1, 9), "+") for i in range(900)]
+    records = [(*r, "".join(rng.choice("@+I#") for _ in r[1])) for r in records]
+    (tmp_path / "a.fq").write_text("junk\n\n" + "".join("\r\n".join(r) + "\r\n" for r in records) + "@cut\nAC\n", newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "4096")
+    try:
+        found = fastq.read_fastq(spark, str(tmp_path / "a.fq")).orderBy("rec_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r)[1:] for r in found] == [(i, *r) for i, r in enumerate(records)]
+    (tmp_path / "b.fq").write_text("@a\nAC\n+\nII\nlost\n@b\nAC\n+\n")
+    with pytest.raises(Exception, match="not the name of a record"):
+        fastq.read_fastq(spark, str(tmp_path / "b.fq")).collect()
+
+
+def test_intermediates_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from spotweave.storage import intermediates, shared_dir, stored
+
+    held = lambda: {p.name for p in Path(shared_dir(spark)).glob("tried-*")}
+    with intermediates(spark, keep=1):
+        stored(spark, spark.range(3), "tried-first")
+        with intermediates(spark, keep=1):
+            stored(spark, spark.range(3), "tried-inner")
+            stored(spark, spark.range(3), "tried-kept")
+        assert len(held()) == 2
+        last = stored(spark, spark.range(5), "tried-last")
+    assert last.count() == 5 and len(held()) == 1
+
+
 def test_fastq(spark, tmp_path):
     fastq.register(spark)
     records = [(f"@r{i}/1", "ACGT", "+", "@III") for i in range(7)]
@@ -209,6 +277,11 @@ def test_streams_equal_batch(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out")).drop("batch")
     assert Counter(map(str, out.select(*want.columns).collect())) == Counter(map(str, want.collect()))
     stored = spark.readStream.schema(out.schema).parquet(str(tmp_path / "out") + "/batch=*")
+    jobs.count_table_stream(stored, str(tmp_path / "n"), str(tmp_path / "c3")).awaitTermination()
+    assert Counter(map(tuple, jobs.latest_counts(spark, str(tmp_path / "n")).collect())) == Counter(map(tuple, mapping.position_counts(want).collect()))
+    jobs.metric_stream(arriving, mask, spec, str(tmp_path / "m"), str(tmp_path / "c4")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "m")).count() > 1
+    assert jobs.metric_totals(spark, str(tmp_path / "m")).collect() == mapping.run_metrics(batch, want).collect()
     jobs.count_stream(stored, "spots", str(tmp_path / "c2")).awaitTermination()
     assert Counter(map(tuple, spark.table("spots").collect())) == Counter(map(tuple, mapping.position_counts(want).collect()))
 
