@@ -1,46 +1,17 @@
-"""What the operators of this subpackage share: stored intermediate tables and column names."""
+"""What the operators of this subpackage share."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spotweave.storage import intermediates, stored  # noqa: F401  (used from here by the operators)
+from spotweave.storage import scratch as scratch_path  # noqa: F401
+
 #: The whitespace that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Where the session names none (a local session, as in tests) a temporary folder is used.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = os.path.join(tempfile.gettempdir(), "checkpoints", f"spotweave-{os.getpid()}")
-        os.makedirs(found, exist_ok=True)
-    return found.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    It cuts the lineage, so what follows neither recomputes ``df`` nor depends on the
-    executors that made it.
-    """
-    path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores appended until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -15,7 +15,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import stored, text_or_empty
+from spotweave.llm.common import intermediates, stored, text_or_empty
 
 
 #: Code points further apart than this are kept in tables of their own.
@@ -154,9 +154,10 @@ FEW = 200_000
 
 def collisions(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """``buckets`` of ``rows`` (``_hash``, ``_text``, not canonical): first hashes alone are counted, then bytes are compared where a hash occurs again."""
-    again = stored(spark, rows.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_hash"), "fingerprint-again")
-    met = rows.join(F.broadcast(again) if again.count() <= FEW else again, "_hash", "left_semi")
-    return buckets(spark, met.select("_hash", canonical(F.col("_text")).alias("_canon")))
+    with intermediates(spark, keep=1):
+        again = stored(spark, rows.groupBy("_hash").agg(F.count("*").alias("n")).filter("n > 1").select("_hash"), "fingerprint-again")
+        met = rows.join(F.broadcast(again) if again.count() <= FEW else again, "_hash", "left_semi")
+        return buckets(spark, met.select("_hash", canonical(F.col("_text")).alias("_canon")))
 
 
 def fingerprint_of(rows: DataFrame, hash_col: str, text: Column, clash: DataFrame, out: str) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import stored
+from spotweave.llm.common import intermediates, stored
 from spotweave.llm.components import components
 from spotweave.llm.shingles import mix, shingle_sets
 
@@ -264,6 +264,11 @@ def near_duplicates(
     A null id keeps its row, links nothing and has a null component. ``kept`` says whether the
     component's id is the row's own (true for a null id).
     """
+    with intermediates(spark, keep=1):
+        return stored(spark, _near_duplicates(spark, docs, percent, width, id_col, text_col), "neardup-result")
+
+
+def _near_duplicates(spark: SparkSession, docs: DataFrame, percent: int, width: int, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = stored(spark, texts.mapInArrow(_sketch(width), "id long, n_shingles long, d1 long, d2 long, sig binary"), "neardup-rows")
     real = rows.filter("n_shingles > 0 and id is not null")  # empty sets never reach a comparison

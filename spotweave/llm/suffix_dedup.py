@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import stored, text_or_empty
+from spotweave.llm.common import intermediates, stored, text_or_empty
 from spotweave.llm.deepshallow import agreements, merged, shallow_groups
 from spotweave.llm.shingles import Prefixes, mix, word_hashes
 
@@ -312,7 +312,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     single.write.bucketBy(buckets, "k1", "k2").option("compression", "zstd").format("parquet").saveAsTable(table)
     try:
-        result = _removals(spark, spark.table(table), buckets)
+        with intermediates(spark, keep=1):
+            result = _removals(spark, spark.table(table), buckets)
     finally:
         spark.sql(f"DROP TABLE {table}")
     return keyed.drop(text_col).join(result, ["k1", "k2"]).drop("k1", "k2")
