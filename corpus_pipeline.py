@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.llm import mixing, neardup, packing, quality, secrets
-from spotweave.llm.common import documents, stored, text_or_empty
+from spotweave.llm.common import documents, intermediates, stored, text_or_empty
 from spotweave.llm.queries import tokenizer_path
 
 
@@ -82,8 +82,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another, each stored as Parquet and read again."""
     docs = documents(spark, sf_dir)
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stored(spark, docs, f"pipeline-{k}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with intermediates(spark, keep=1):
+            docs = stored(spark, stage(spark, docs, sf_dir), f"pipeline-{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)
