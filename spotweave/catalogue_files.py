@@ -14,6 +14,7 @@ from spotweave.operators import filters, mapping, masks, protein, resolve
 from spotweave.plans.fixtures import view
 from spotweave.sources import fastq, tables
 from spotweave.storage import scratch
+from spotweave.streaming import jobs
 
 _W, _PAIRS = C._with, ["read_pairs"]
 _SIDES = ("name", "seq1", "strand", "qual1", "name", "seq2", "strand", "qual2")
@@ -291,3 +292,50 @@ def protein_reads_ignore_fixed(spark: SparkSession, d: str) -> DataFrame:
     """In protein mode fixed sequences drop nothing."""
     s = RunSpec(protein=C.PROTEIN.protein, fixed=FixedSpec(((C.FIXED, -1),)))
     return protein.protein_reads(view(spark, d, "protein_read_pairs"), view(spark, d, "spot_mask"), view(spark, d, "protein_list"), s)
+
+
+_CUT = "CASE WHEN suppkey % 5 = 0 THEN substr(qual2, 2) ELSE qual2 END"
+
+
+@query(_W(_PAIRS) + f"SELECT name, suppkey % 5 = 0 AS malformed, length({_CUT}) AS kept FROM read_pairs")
+def fastq_malformed(spark: SparkSession, d: str) -> DataFrame:
+    """Records whose qualities are too short, marked."""
+    path = scratch(spark, "fastq")
+    cut = F.when(F.col("suppkey") % 5 == 0, F.substring("qual2", 2, 1 << 30)).otherwise(F.col("qual2"))
+    fastq.write_reads(_stranded(spark, d).withColumn("q", cut), path, "name", "seq2", "strand", "q")
+    found = fastq.checked(fastq.read_fastq(spark, path), "PERMISSIVE")
+    return found.select("name", "malformed", F.length("qual").cast("long").alias("kept"))
+
+
+@query(_W(["chip_mask"]) + "SELECT rec_no, (x % 65536) * 65536 + y % 65536 AS code, x % 65536 AS x, y % 65536 AS y FROM chip_mask")
+def field_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Packed pairs of 16 bits, and what they hold."""
+    code = sequence.pack_fields(F.col("x") % 65536, F.col("y") % 65536)
+    x, y = sequence.unpack_fields(code)
+    return view(spark, d, "chip_mask").select("rec_no", code.alias("code"), x.alias("x"), y.alias("y"))
+
+
+def _arriving(spark: SparkSession, d: str) -> DataFrame:
+    """The read pairs as a stream of files."""
+    path, pairs = scratch(spark, "arriving"), view(spark, d, "read_pairs")
+    pairs.repartition(4, "read_id").write.parquet(path)
+    return spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+@query(C.ORACLES["map_exact_counts"])
+def stream_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Reads of each position, mapped and counted as files of pairs arrive."""
+    out, counts = scratch(spark, "stream"), scratch(spark, "stream")
+    mask, pairs = view(spark, d, "chip_mask"), _arriving(spark, d)
+    jobs.map_stream(pairs, mask, C.spec(), out, scratch(spark, "log")).awaitTermination()
+    mapped = spark.readStream.schema(spark.read.parquet(out).drop("batch").schema).parquet(f"{out}/batch=*")
+    jobs.count_table_stream(mapped, counts, scratch(spark, "log")).awaitTermination()
+    return jobs.latest_counts(spark, counts)
+
+
+@query(C.ORACLES["run_metrics"].replace(C._mapped_sql(2).rstrip(), C._mapped_sql(0).rstrip()))
+def stream_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """Counters and percentages of a run whose pairs arrive as files."""
+    path = scratch(spark, "metrics")
+    jobs.metric_stream(_arriving(spark, d), view(spark, d, "chip_mask"), C.spec(0, ((C.FIXED, -1),)), path, scratch(spark, "log")).awaitTermination()
+    return jobs.metric_totals(spark, path)
