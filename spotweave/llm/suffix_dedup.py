@@ -305,8 +305,9 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text")
     """
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "has_repeats"]
     text = text_or_empty(text_col)
-    keyed = docs.drop(*made).withColumns({"k1": F.xxhash64(text), "k2": F.xxhash64(F.lit("spotweave"), text)})
-    raw = keyed.select("k1", "k2", text.cast("binary").alias("raw"))
+    rest = F.struct(*[c for c in docs.columns if c not in (*made, text_col)]).alias("_row")  # whatever names it has
+    hashes = [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("spotweave"), text).alias("k2")]
+    raw = docs.select(*hashes, text.cast("binary").alias("raw"))
     single = raw.groupBy("k1", "k2").agg(F.first("raw").alias("raw"), F.count("*").alias("copies"))
     table = f"suffix_texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -316,7 +317,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text_col: str = "text")
             result = _removals(spark, spark.table(table), buckets)
     finally:
         spark.sql(f"DROP TABLE {table}")
-    return keyed.drop(text_col).join(result, ["k1", "k2"]).drop("k1", "k2")
+    return docs.select(rest, *hashes).join(result, ["k1", "k2"]).select("_row.*", *made)
 
 
 def _removals(spark: SparkSession, texts: DataFrame, buckets: int) -> DataFrame:

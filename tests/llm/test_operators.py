@@ -44,7 +44,7 @@ def corpus():
 @pytest.fixture(scope="module")
 def docs(spark):
     """The corpus with columns whose names clash with those made."""
-    return spark.createDataFrame(corpus(), SCHEMA).withColumns({"kept": F.lit("x"), "shard": F.lit(1), "copies": F.lit(2), "spans": F.lit(3)}).repartition(3).cache()
+    return spark.createDataFrame(corpus(), SCHEMA).withColumns({"kept": F.lit("x"), "shard": F.lit(1), "copies": F.lit(2), "spans": F.lit(3), "k1": F.lit(4), "raw": F.lit("y")}).repartition(3).cache()
 
 
 @pytest.fixture(scope="module")
