@@ -243,6 +243,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, spa
             cols = [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             names = [keep, "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(raw, pa.binary())] if with_ids else cols, names=[*names, "ids"] if with_ids else names)
+        known.rest()
 
     schema = f"`{keep}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(F.col(keep), text_or_empty(text_col).alias("text")).mapInArrow(cut, schema)

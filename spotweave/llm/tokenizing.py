@@ -11,12 +11,13 @@ from __future__ import annotations
 import array
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 #: Characters that one side takes for whitespace and the other not: such texts are encoded whole.
 _ODD = re.compile("[\x1c-\x1f᠎​﻿]")
 _RUNS = re.compile(r"\s*\S+|\s+")
-#: Runs kept in a task.
-KEPT = 1_000_000
+#: Runs kept in a task, and runs that a worker keeps between its tasks (some 40 MB).
+KEPT, IDLE = 1_000_000, 200_000
 #: Punctuation that ends a word; what stands before it, if letters, is encoded apart.
 _TAIL = ".,!?;:#$%&*"
 
@@ -89,6 +90,11 @@ class Encoder:
                 self.parts[w] = raw[4 * at : 4 * stop]
                 at = stop
 
+    def rest(self) -> None:
+        """Keep between tasks what was learnt first, which is mostly what is frequent: other operators need the memory."""
+        self.known = dict(islice(self.known.items(), IDLE))
+        self.parts = dict(islice(self.parts.items(), IDLE // 2))
+
     def runs(self, text: str) -> list[str]:
         """The runs of a text."""
         if not self.spaces:
@@ -105,10 +111,10 @@ class Encoder:
                 end += 1
             cut = [self.runs(t) for t in texts[at:end]]
             at = end
-            new = set().union(*cut).difference(self.known)
-            if len(self.known) + len(new) > KEPT:
-                self.known.clear()
-                new = set().union(*cut)
+            wanted = set().union(*cut)
+            new = wanted.difference(self.known)
+            if len(self.known) + len(new) > KEPT:  # what is used now stays
+                self.known = {w: self.known[w] for w in wanted.difference(new)}
             self._learn(list(new))
             get = self.known.__getitem__
             for runs in cut:
@@ -116,7 +122,7 @@ class Encoder:
 
 
 def encoder(path: str, spaces: bool) -> Encoder:
-    """The encoder of this process: a worker keeps it, and the runs it knows, for its next tasks.
+    """The encoder of this process: a worker keeps it, and some of the runs it knows, for its next tasks.
 
     Functions reach workers by value, so what a module holds would be gone with each task; a module of
     the process's own holds the encoders instead.

@@ -46,6 +46,7 @@ def _counter(path: str, version: str, spaces: bool):
             yield pa.RecordBatch.from_pydict(
                 {"digest": batch.column("digest"), "tokenizer": [version] * len(sizes), "n_tokens": pa.array(sizes, pa.int64())}
             )
+        known.rest()
 
     return count
 
