@@ -441,6 +441,7 @@ def test_language_against_direct_sums(spark):
     codes = language.grams(language.symbols("abca é zab dé cab"))
     want = np.array([[np.log2(chance(x, int(g), 4)) for x in ("a", "b")] for g in codes])
     assert np.allclose(models.scores(codes), want, atol=1e-4)
+    assert models.dense is not None and np.allclose(models._sparse(codes, language.ORDER - 1), want, atol=1e-4)
     bits, n = models.entropies([language.symbols("abca é zab dé cab"), language.symbols("a")])
     assert np.allclose(bits[0], -want.mean(axis=0), atol=1e-4) and n.tolist() == [len(codes), 2]
 
