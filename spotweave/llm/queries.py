@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, suffix_dedup, tokens
+from spotweave.llm import fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, spelling, suffix_dedup, tokens
 from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
@@ -97,6 +97,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all documents, one occurrence in 31 of them with a letter left out."""
+    words = spelling.with_slips(spelling.occurrences(documents(spark, sf_dir), 7), 31).filter(F.length("word") >= 7)
+    counts = words.groupBy("word").agg(F.count("*").alias("n")).filter("n >= 2")
+    return spelling.variants(spark, counts).select("word", "n", "n_near", "form", "form_n", "root")
+
+
 #: Near-duplicates by counting shared shingles of all pairs and closing the links transitively.
 NEARDUP_SQL = r"""
 WITH RECURSIVE w AS (
@@ -129,6 +136,28 @@ SELECT d.*, mix_copies, mix_copy, md5(concat('mix-1', chr(31), CAST(d.doc_id AS
 FROM documents d JOIN e ON d.doc_id = e.doc_id
 """
 
+#: Spelling variants by all one-letter deletions of each word; crc32 by its table.
+SPELLING_SQL = """
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS tab FROM (
+ SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i)) z),
+o AS (SELECT doc_id, w, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS w FROM documents) z
+ WHERE length(w) >= 7 GROUP BY 1, 2),
+x AS (SELECT *, hex(encode(concat(doc_id, ':', w))) AS hx FROM o),
+b AS (SELECT w, k, list_transform(range(length(hx) // 2), lambda i: CAST(concat('0x', substr(hx, 2 * i + 1, 2)) AS BIGINT)) AS bytes FROM x),
+h AS (SELECT w, k, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1])), 4294967295) AS h FROM b, crc),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN concat(substr(w, 1, h % length(w)), substr(w, h % length(w) + 2)) ELSE w END AS word, k FROM h),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM e WHERE length(word) >= 7 GROUP BY 1 HAVING sum(k) >= 2),
+d AS (SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v) z),
+near AS (SELECT a.word, b.word AS near, b.n AS m FROM d a JOIN d b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+ UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.cut = v.word UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.cut = v.word),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m FROM near GROUP BY 1),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN m END AS form_n FROM v LEFT JOIN best ON v.word = best.word),
+g AS (SELECT f.*, (SELECT min(near) FROM near WHERE near.word = f.word AND near.m = f.form_n) AS form FROM f),
+r AS (SELECT word, word AS root FROM g UNION ALL SELECT r.word, g.form FROM r JOIN g ON g.word = r.root WHERE g.form IS NOT NULL),
+l AS (SELECT r.word, r.root FROM r JOIN g ON g.word = r.root WHERE g.form IS NULL)
+SELECT g.word, n, n_near, form, form_n, root FROM g JOIN l ON g.word = l.word
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
@@ -143,6 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_language": op9_language,
         "op10_quality": op10_quality,
+        "op12_spelling": op12_spelling,
     }
 
 
@@ -152,4 +182,4 @@ def oracle_sql() -> dict[str, str]:
     SQL has no tokenizer, no xxhash and no code point places of matches; the other queries are
     tested against brute force.
     """
-    return {"op3_neardup": NEARDUP_SQL, "op6_mixing": MIXING_SQL}
+    return {"op3_neardup": NEARDUP_SQL, "op6_mixing": MIXING_SQL, "op12_spelling": SPELLING_SQL}
