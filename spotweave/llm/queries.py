@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, spelling, suffix_dedup, tokens
+from spotweave.llm import embeddings, fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, spelling, suffix_dedup, tokens
 from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
@@ -104,6 +104,11 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spark, counts).select("word", "n", "n_near", "form", "form_n", "root")
 
 
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of all embeddings: cosine 0.95 or more."""
+    return embeddings.near_vectors(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 #: Near-duplicates by counting shared shingles of all pairs and closing the links transitively.
 NEARDUP_SQL = r"""
 WITH RECURSIVE w AS (
@@ -158,6 +163,18 @@ l AS (SELECT r.word, r.root FROM r JOIN g ON g.word = r.root WHERE g.form IS NUL
 SELECT g.word, n, n_near, form, form_n, root FROM g JOIN l ON g.word = l.word
 """
 
+#: Near vectors by all pairs.
+EMBEDDING_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+g AS (SELECT vec_id, v FROM e WHERE len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_sum(list_transform(v, lambda x: abs(x))) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+c AS (SELECT a, count(*) AS n FROM l GROUP BY 1),
+r AS (SELECT vec_id AS a, vec_id AS b FROM e UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM e LEFT JOIN c ON c.a = e.vec_id JOIN m ON m.vec_id = e.vec_id
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Name to query."""
@@ -173,6 +190,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language": op9_language,
         "op10_quality": op10_quality,
         "op12_spelling": op12_spelling,
+        "op13_embeddings": op13_embeddings,
     }
 
 
@@ -182,4 +200,4 @@ def oracle_sql() -> dict[str, str]:
     SQL has no tokenizer, no xxhash and no code point places of matches; the other queries are
     tested against brute force.
     """
-    return {"op3_neardup": NEARDUP_SQL, "op6_mixing": MIXING_SQL, "op12_spelling": SPELLING_SQL}
+    return {"op3_neardup": NEARDUP_SQL, "op6_mixing": MIXING_SQL, "op12_spelling": SPELLING_SQL, "op13_embeddings": EMBEDDING_SQL}
