@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm import embeddings, fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, spelling, suffix_dedup, tokens
+from spotweave.llm import conversations, embeddings, fingerprints, language, mixing, neardup, packing, quality, secrets, sharding, spelling, suffix_dedup, tokens
 from spotweave.llm.common import documents, scratch_path, text_or_empty
 
 
@@ -97,6 +97,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repairs of all conversations after damage."""
+    rows = conversations.named(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    found = conversations.repairs(spark, conversations.damaged(rows), rows)
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the words of all documents, one occurrence in 31 of them with a letter left out."""
     words = spelling.with_slips(spelling.occurrences(documents(spark, sf_dir), 7), 31).filter(F.length("word") >= 7)
@@ -189,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_language": op9_language,
         "op10_quality": op10_quality,
+        "op11_conversations": op11_conversations,
         "op12_spelling": op12_spelling,
         "op13_embeddings": op13_embeddings,
     }
