@@ -22,7 +22,7 @@ from spotweave.llm.common import intermediates, stored
 #: Facts of a piece.
 PIECE = 128
 _BLANKS = " \t\n\x0b\x0c\r"
-_ORDER = ["conv", F.asc_nulls_first("turn"), "digest"]
+_ORDER = ["conv", "turn", "digest"]  # ascending: nulls first
 
 
 def named(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -299,7 +299,7 @@ def _replayed(spark: SparkSession, convs: DataFrame, rows: DataFrame, messages:
     shown = rows.withColumns({"digest": _digest(), "kind": F.lit(2)})
     marks = convs.select("conv").distinct().withColumn("kind", F.lit(0))
     together = marks.unionByName(planned, allowMissingColumns=True).unionByName(shown, allowMissingColumns=True)
-    order = ["conv", F.asc_nulls_first("turn"), F.asc_nulls_first("digest"), "kind"]
+    order = [*_ORDER, "kind"]
     dealt = together.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "conv").sortWithinPartitions(*order)
     name = rows.schema["conv"].dataType.simpleString()
     report = "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
