@@ -12,7 +12,7 @@ from spotweave.functions import reads as R
 from spotweave.functions import sequence, text
 from spotweave.operators import filters, mapping, masks, protein, resolve
 from spotweave.plans.fixtures import view
-from spotweave.sources import fastq, tables
+from spotweave.sources import fastq, mask_binary, tables
 from spotweave.storage import scratch
 from spotweave.streaming import jobs
 
@@ -57,7 +57,7 @@ def fastq_interleaved(spark: SparkSession, d: str) -> DataFrame:
     """Pairs that alternate in one file."""
     path, p = scratch(spark, "interleaved"), F.concat_ws("\n", "name", "seq1", "strand", "qual1", "name", "seq2", "strand", "qual2")
     _stranded(spark, d).select(p.alias("value")).write.text(path)
-    return fastq.interleaved_pairs(fastq.read_fastq(spark, path)).select("name1", "seq1", "qual1", "name2", "seq2", "qual2")
+    return fastq.read_interleaved(spark, path).select("name1", "seq1", "qual1", "name2", "seq2", "qual2")
 
 
 @query(_W(_PAIRS) + "SELECT name, seq2 AS seq, '+' AS strand, repeat('K', length(seq2)) AS qual FROM read_pairs")
@@ -113,8 +113,8 @@ def mask_wide_text_file(spark: SparkSession, d: str) -> DataFrame:
 def mask_binary_file(spark: SparkSession, d: str) -> DataFrame:
     """A mask as 16-byte records and back."""
     path = scratch(spark, "mask")
-    tables.write_mask_binary(masks.coded(view(spark, d, "chip_mask")), path)
-    return tables.read_mask_binary(spark, f"{path}/*.bin").select("bc", "x", "y")
+    mask_binary.write_mask_binary(masks.coded(view(spark, d, "chip_mask")), path)
+    return mask_binary.read_mask_binary(spark, path).select("bc", "x", "y")
 
 
 @query(C._U + "SELECT CAST(min(y) AS INT) AS row_offset, CAST(min(x) AS INT) AS col_offset, 25 AS barcode_length, 500 AS pitch FROM u")

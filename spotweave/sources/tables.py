@@ -2,59 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spotweave.functions import sequence
 
 
-def read_mask_text(spark: SparkSession, path: str, src: int = 0) -> DataFrame:
-    """Tab-separated masks, barcode, x, y; with five columns or more x and y are the fourth and fifth. Other rows are dropped."""
-    parts = F.split("value", "\t")
-    wide = F.size(parts) >= 5
-    lines = spark.read.text(path).filter((F.size(parts) == 3) | wide)
-    lines = lines.select(parts[0].alias("barcode"), F.when(wide, F.get(parts, F.lit(3))).otherwise(parts[1]).alias("x"), F.when(wide, F.get(parts, F.lit(4))).otherwise(parts[2]).alias("y"))
-    typed = lines.select("barcode", F.col("x").try_cast("long").alias("x"), F.col("y").try_cast("long").alias("y"))
-    return typed.filter("x is not null and y is not null").select("*", F.lit(src).alias("src"), F.monotonically_increasing_id().alias("rec_no"))
-
-
-def read_mask_binary(spark: SparkSession, path: str, src: int = 0) -> DataFrame:
-    """Masks of 16-byte records: code (64 bits), x, y (32 bits), little-endian."""
-    raw = spark.sparkContext.binaryRecords(path, 16).map(lambda b: (bytearray(b),)).toDF("r binary")
-    number = lambda a, n: F.conv(F.hex(F.concat(*[F.substring("r", a + n - 1 - k, 1) for k in range(n)])), 16, 10).cast("decimal(20,0)").cast("long")
-    return raw.select(number(1, 8).alias("bc"), number(9, 4).alias("x"), number(13, 4).alias("y"), F.lit(src).alias("src"), F.monotonically_increasing_id().alias("rec_no"))
+def ordered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of text paths: ``src`` (which path), ``rec_no`` (the line's place in all files of the path, by name), ``value``.
 
-
-def mask_records(mask: DataFrame) -> DataFrame:
-    """The 16-byte record of each row (``bc``, ``x``, ``y``) as ``record``."""
-    little = lambda c, n: F.unhex(F.concat(*[F.substring(F.lpad(F.hex(F.col(c)), 2 * n, "0"), 2 * (n - k) - 1, 2) for k in range(n)]))
-    return mask.select(F.concat(little("bc", 8), little("x", 4), little("y", 4)).alias("record"))
+    Files are split among tasks. Lines of a split are counted where they are; where a split starts follows from the
+    counts of those before it (one row for each split).
+    """
+    parts = [spark.read.text(p).select(F.lit(k).alias("src"), "value", F.input_file_name().alias("file"), F.input_file_block_start().alias("block")) for k, p in enumerate(paths)]
+    lines = reduce(DataFrame.unionAll, parts).withColumn("mark", F.monotonically_increasing_id())
+    splits = lines.groupBy("src", "file", "block").agg(F.count("*").alias("n"), F.min("mark").alias("first"))
+    before = Window.partitionBy("src").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("src", "file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    return lines.join(starts, ["src", "file", "block"]).select("src", (F.col("mark") + F.col("shift")).alias("rec_no"), "value")
 
 
-def write_mask_binary(mask: DataFrame, folder: str) -> None:
-    """16-byte records, one file for each partition, in a folder of any store that has a URI (a plain path is a local one).
+def read_mask_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Tab-separated masks, barcode, x, y; with five columns or more x and y are the fourth and fifth. Other rows are dropped.
 
-    Spark has no writer of bare bytes, so each task writes through the store's own file system; a
-    file appears whole under its partition's number, so a task that runs again replaces it.
+    Several paths are masks one after another: ``src`` is a mask's number, ``rec_no`` a line's place in it, so that "the last wins" follows
+    the input, whatever the sizes of files and splits.
     """
-
-    def write(batches):
-        import pyarrow as pa
-        from pyarrow import fs
-        from pyspark import TaskContext
-
-        store, at = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-        store.create_dir(at, recursive=True)
-        target = f"{at}/part-{TaskContext.get().partitionId():05d}.bin"
-        attempt = f"{at}/_{TaskContext.get().taskAttemptId()}.tmp"
-        with store.open_output_stream(attempt) as out:
-            for batch in batches:
-                for record in batch.column("record"):
-                    out.write(record.as_buffer())
-        store.move(attempt, target)
-        yield pa.RecordBatch.from_pydict({"file": [target]})
-
-    mask_records(mask).mapInArrow(write, "file string").count()
+    parts = F.split("value", "\t")
+    wide = F.size(parts) >= 5
+    lines = ordered_lines(spark, [path] if isinstance(path, str) else path).filter((F.size(parts) == 3) | wide)
+    x, y = (F.when(wide, F.get(parts, F.lit(k + 3))).otherwise(F.get(parts, F.lit(k + 1))) for k in (0, 1))
+    typed = lines.select(F.get(parts, F.lit(0)).alias("barcode"), x.try_cast("long").alias("x"), y.try_cast("long").alias("y"), "src", "rec_no")
+    return typed.filter("x is not null and y is not null")
 
 
 def write_mask_text(mask: DataFrame, path: str, length: int = 25) -> None:
