@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from spotweave.config import BarcodeSpec, FixedSpec, ProteinSpec, RunSpec, UmiSpec
 from spotweave.functions import reads as R
 from spotweave.functions import sequence, text
-from spotweave.operators import filters, mapping, masks, protein, resolve
+from spotweave.operators import filters, mapping, mask_index, masks, protein, resolve
 from spotweave.plans.fixtures import ctes, view
+from spotweave.storage import scratch
 
 #: The fixture's fixed sequence.
 FIXED = "TGCCTCTCAG"
@@ -48,8 +49,20 @@ def _mask(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "chip_mask")
 
 
+#: Where the index of each mask of a session is.
+_INDEXED: dict[tuple[str, str], mask_index.MaskIndex] = {}
+
+
+def index(spark: SparkSession, d: str) -> mask_index.MaskIndex:
+    """The index of the fixture mask, built once in a session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _INDEXED:
+        _INDEXED[key] = mask_index.build(spark, _mask(spark, d), BarcodeSpec(), scratch(spark, "mask-index"))
+    return _INDEXED[key]
+
+
 def _mapped(spark: SparkSession, d: str, k: int) -> DataFrame:
-    return mapping.map_pairs(_pairs(spark, d), _mask(spark, d), spec(k))
+    return mapping.map_pairs(_pairs(spark, d), index(spark, d), spec(k))
 
 
 def _with(names: list[str], *more: str) -> str:
@@ -107,7 +120,7 @@ def map_exact_counts(spark: SparkSession, d: str) -> DataFrame:
 def _resolved(spark: SparkSession, d: str, k: int) -> DataFrame:
     s = spec(k)
     cut = mapping.sliced(_pairs(spark, d), s)
-    found = resolve.resolve(resolve.distinct_barcodes(cut), resolve.last_wins(_mask(spark, d), s.barcode), s.barcode)
+    found = index(spark, d).resolved(resolve.distinct_barcodes(cut), s.barcode)
     return found.select("barcode", "match_kind", sequence.decode("bc", 25).alias("matched"), "x", "y")
 
 
@@ -212,7 +225,7 @@ _PCTS = ", ".join(f"{_pct(c, 'pass_filter')} AS {c}_pct" for c in ("mapped", "ex
 def run_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Counters and percentages of a run with a fixed sequence and two substitutions."""
     pairs, s = _pairs(spark, d), spec(2, ((FIXED, -1),))
-    return mapping.run_metrics(pairs, mapping.map_pairs(pairs, _mask(spark, d), s))
+    return mapping.run_metrics(pairs, mapping.map_pairs(pairs, index(spark, d), s))
 
 
 _QUALS = ", ".join(

@@ -47,7 +47,7 @@ def fastq_lanes(spark: SparkSession, d: str) -> DataFrame:
     pairs, lanes = _stranded(spark, d), []
     for k in (0, 1):
         sides = scratch(spark, "lane"), scratch(spark, "lane")
-        fastq.write_pairs(pairs.filter(F.col("suppkey") % 2 == k), *sides, _SIDES, ["read_id"])
+        fastq.write_pairs(pairs.filter(F.col("suppkey") % 2 == k), *sides, _SIDES)
         lanes.append(sides)
     return fastq.read_fastq_pairs(spark, lanes).select("lane", "name1", "seq1", "qual1", "name2", "seq2", "qual2")
 
@@ -180,7 +180,7 @@ _LINE_SQL = " UNION ALL ".join(
 def metrics_file(spark: SparkSession, d: str) -> DataFrame:
     """Counters and percentages of a run as text."""
     pairs, s, path = view(spark, d, "read_pairs"), C.spec(1, ((C.FIXED, -1),)), scratch(spark, "metrics")
-    row = mapping.run_metrics(pairs, mapping.map_pairs(pairs, view(spark, d, "chip_mask"), s))
+    row = mapping.run_metrics(pairs, mapping.map_pairs(pairs, C.index(spark, d), s))
     tables.write_metrics(tables.metric_lines(row.drop("fixed_pct")), path)
     return spark.read.text(path)
 
@@ -326,7 +326,7 @@ def _arriving(spark: SparkSession, d: str) -> DataFrame:
 def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     """Reads of each position, mapped and counted as files of pairs arrive."""
     out, counts = scratch(spark, "stream"), scratch(spark, "stream")
-    mask, pairs = view(spark, d, "chip_mask"), _arriving(spark, d)
+    mask, pairs = C.index(spark, d), _arriving(spark, d)
     jobs.map_stream(pairs, mask, C.spec(), out, scratch(spark, "log")).awaitTermination()
     mapped = spark.readStream.schema(spark.read.parquet(out).drop("batch").schema).parquet(f"{out}/batch=*")
     jobs.count_table_stream(mapped, counts, scratch(spark, "log")).awaitTermination()
@@ -337,5 +337,5 @@ def stream_counts(spark: SparkSession, d: str) -> DataFrame:
 def stream_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Counters and percentages of a run whose pairs arrive as files."""
     path = scratch(spark, "metrics")
-    jobs.metric_stream(_arriving(spark, d), view(spark, d, "chip_mask"), C.spec(0, ((C.FIXED, -1),)), path, scratch(spark, "log")).awaitTermination()
+    jobs.metric_stream(_arriving(spark, d), C.index(spark, d), C.spec(0, ((C.FIXED, -1),)), path, scratch(spark, "log")).awaitTermination()
     return jobs.metric_totals(spark, path)

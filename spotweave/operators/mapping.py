@@ -9,6 +9,7 @@ from spotweave.config import RunSpec
 from spotweave.functions import reads as R
 from spotweave.functions import sequence
 from spotweave.operators import filters, resolve
+from spotweave.operators.mask_index import MaskIndex
 
 
 def sliced(pairs: DataFrame, spec: RunSpec) -> DataFrame:
@@ -25,17 +26,21 @@ def sliced(pairs: DataFrame, spec: RunSpec) -> DataFrame:
     return out.withColumns({"reason": filters.unmappable(F.col("barcode"), spec.barcode), "seq2": R.cut_second(F.col("seq2"), spec.umi), "qual2": R.cut_second(F.col("qual2"), spec.umi)})
 
 
-def map_pairs(pairs: DataFrame, mask: DataFrame, spec: RunSpec) -> DataFrame:
+def map_pairs(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec) -> DataFrame:
     """Read pairs past the fixed filter, with ``x``, ``y``, ``match_kind``, ``umi_fail`` and ``passed``.
 
+    A stored index in the place of a mask isn't shuffled, and keeps what has been resolved for later calls.
     Unmapped pairs have a null position. ``passed`` pairs go to the mapped output: those with
     a position whose identifier doesn't fail.
     """
     cut = sliced(pairs, spec).filter(~F.col("fixed_hit"))
-    dictionary = resolve.last_wins(mask, spec.barcode)
     # what can't match shares no key with anything, so it can't crowd into one task
     can = cut.filter(F.col("reason").isNull())
-    found = resolve.resolve(resolve.distinct_barcodes(can), dictionary, spec.barcode)
+    barcodes = resolve.distinct_barcodes(can)
+    if isinstance(mask, MaskIndex):
+        found = mask.resolved(barcodes, spec.barcode)
+    else:
+        found = resolve.resolve(barcodes, resolve.last_wins(mask, spec.barcode), spec.barcode)
     joined = can.join(found, "barcode", "left")
     no = F.lit(None)
     rest = cut.filter(F.col("reason").isNotNull()).withColumns(
@@ -135,47 +140,51 @@ def overlap_merge(pairs: DataFrame, least: int = 30) -> DataFrame:
     The second read is reversed and complemented. The smallest overlap of at least ``least``
     bases counts in which fewer than three bases differ, each of them high quality (``?`` or more)
     against low (``0`` or less). Such a base follows the high quality; equal bases add qualities.
+    Overlaps are tried on packed words: the first bases of the second read, 2 bits each in one number, against
+    as many of the first read, shifted out of its words. Letters are looked at for the few that pass.
     """
-    apart = lambda z: z["a"] != z["b"]
-    weak = lambda z: ((z["p"] >= "?") & (z["q"] <= "0")) | ((z["p"] <= "0") & (z["q"] >= "?"))
-    left_wins = lambda z: (z["p"] >= "?") & (z["q"] <= "0")
-    size = least // 3
-
-    def split(s: Column) -> Column:
-        letters = lambda c: F.split(s[c], "")
-        return F.struct(s["a"].alias("left"), s["b"].alias("right"), *[letters(c).alias(c) for c in "abpq"])
+    size = min(least, sequence.MAX_WORD)
 
-    def zipped(r: Column, o: Column) -> Column:
-        tail = lambda c: F.slice(r[c], F.size(r["a"]) - o + 1, o).alias(c)
-        return F.arrays_zip(tail("a"), F.slice(r["b"], 1, o).alias("b"), tail("p"), F.slice(r["q"], 1, o).alias("q"))
+    def packed(s: Column) -> Column:
+        head = sequence.encode(F.substring(s["b"], 1, size))
+        return F.struct(*[s[c].alias(c) for c in "abpq"], F.length(s["a"]).alias("n"), sequence.words(s["a"]).alias("words"), head.alias("head"))
 
-    def found(r: Column) -> Column:
-        """The overlap, or null. Fewer than three differences leave one of three pieces of the least overlap untouched."""
-        same = lambda o, k: F.substr(r["left"], F.size(r["a"]) - o + 1 + size * k, F.lit(size)) == F.substr(r["right"], F.lit(size * k + 1), F.lit(size))
-        few = lambda o: _held(zipped(r, o), lambda z: (F.size(F.filter(z, apart)) < 3) & ~F.exists(z, lambda x: apart(x) & ~weak(x)))
-        most = F.least(F.size(r["a"]), F.size(r["b"]))
+    def tries(r: Column) -> Column:
+        """Overlaps whose first bases differ in two at most."""
+        most = F.least(r["n"], F.length(r["b"]))
         sizes = F.when(most >= least, F.sequence(F.lit(least), most)).otherwise(F.array().cast("array<int>"))
-        return F.get(F.filter(F.filter(sizes, lambda o: same(o, 0) | same(o, 1) | same(o, 2)), few), F.lit(0))
-
-    def merged(r: Column, o: Column) -> Column:
-        def glued(z: Column) -> Column:
-            qual = F.transform(
-                z,
-                lambda x: F.when(~apart(x), F.char(F.ascii(x["p"]) + F.ascii(x["q"]) - 33)).when(left_wins(x), x["p"]).otherwise(x["q"]),
-            )
-            base = F.transform(z, lambda x: F.when(left_wins(x), x["a"]).otherwise(x["b"]))
-            glue = lambda front, mid, back: F.concat(
-                F.array_join(F.slice(front, 1, F.size(front) - o), ""), F.array_join(mid, ""), F.array_join(F.slice(back, o + 1, 1 << 30), "")
-            )
-            return F.struct(
-                o.alias("overlap"),
-                F.size(F.filter(z, apart)).alias("diff"),
-                glue(r["a"], base, r["b"]).alias("merged_seq"),
-                glue(r["p"], qual, r["q"]).alias("merged_qual"),
-            )
-
-        return F.when(o.isNotNull(), _held(zipped(r, o), glued))
+        return F.filter(sizes, lambda o: sequence.hamming(sequence.window(r["words"], r["n"] - o, size), r["head"]) < 3)
+
+    def at(r: Column, o: Column, i: Column) -> dict[str, Column]:
+        """Bases and qualities of both reads at a place (from 1) of an overlap."""
+        place = {"a": r["n"] - o + i, "p": r["n"] - o + i, "b": i, "q": i}
+        return {c: F.substr(r[c], k, F.lit(1)) for c, k in place.items()}
+
+    left_wins = lambda z: (z["p"] >= "?") & (z["q"] <= "0")
+    weak = lambda z: left_wins(z) | ((z["p"] <= "0") & (z["q"] >= "?"))
+
+    def checked(r: Column, o: Column) -> Column:
+        """An overlap and the places where it differs, if it counts."""
+        same = F.substr(r["a"], r["n"] - o + 1, o) == F.substr(r["b"], F.lit(1), o)
+        apart = F.filter(F.sequence(F.lit(1), o), lambda i: at(r, o, i)["a"] != at(r, o, i)["b"])
+        return _held(F.when(same, F.array().cast("array<int>")).otherwise(apart), lambda d: F.when((F.size(d) < 3) & F.forall(d, lambda i: weak(at(r, o, i))), F.struct(o.alias("o"), d.alias("d"))))
+
+    def merged(r: Column, found: Column) -> Column:
+        o, d = found["o"], found["d"]
+        put = lambda text, at_, by: F.overlay(text, by, at_, F.lit(1))
+        base = F.reduce(F.filter(d, lambda i: left_wins(at(r, o, i))), F.substr(r["b"], F.lit(1), o), lambda s, i: put(s, i, at(r, o, i)["a"]))
+        sums = F.transform(F.sequence(F.lit(1), o), lambda i: F.char(F.ascii(at(r, o, i)["p"]) + F.ascii(at(r, o, i)["q"]) - 33))
+        higher = lambda z: F.when(left_wins(z), z["p"]).otherwise(z["q"])
+        qual = F.reduce(d, F.array_join(sums, ""), lambda s, i: put(s, i, higher(at(r, o, i))))
+        glue = lambda front, mid, back: F.concat(F.substr(front, F.lit(1), r["n"] - o), mid, F.substr(back, o + 1))
+        return F.struct(o.alias("overlap"), F.size(d).alias("diff"), glue(r["a"], base, r["b"]).alias("merged_seq"), glue(r["p"], qual, r["q"]).alias("merged_qual"))
+
+    def first(r: Column) -> Column:
+        good = F.filter(F.transform(tries(r), lambda o: checked(r, o)), lambda x: x.isNotNull())
+        return _held(F.get(good, F.lit(0)), lambda x: F.when(x.isNotNull(), merged(r, x)))
 
     sides = F.struct(F.col("seq1").alias("a"), sequence.reverse_complement("seq2").alias("b"), F.col("qual1").alias("p"), F.reverse("qual2").alias("q"))
-    whole = _held(sides, lambda s: _held(split(s), lambda r: _held(found(r), lambda o: merged(r, o))))
-    return pairs.withColumn("_merged", whole).filter("_merged is not null").select(*pairs.columns, "_merged.*")
+    whole = _held(sides, lambda s: _held(packed(s), first))
+    # an outer generator computes its array once; a filter on a computed column, or one inferred for a generator, does it again
+    found = pairs.select("*", F.explode_outer(F.array(whole)).alias("_merged")).filter("_merged is not null")
+    return found.select(*pairs.columns, "_merged.*")

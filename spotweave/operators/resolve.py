@@ -5,12 +5,16 @@ All of it works on distinct barcodes, so a barcode that many reads share is one
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.config import BarcodeSpec
 from spotweave.functions import sequence
 from spotweave.operators import filters
+from spotweave.storage import intermediates, stored
 
 
 def last_wins(mask: DataFrame, spec: BarcodeSpec) -> DataFrame:
@@ -44,15 +48,52 @@ def exact(codes: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 #: Mask rows from which the neighbours of a barcode are fewer than the mask rows that share a piece with it.
 LARGE_MASK = 50_000_000
+#: Mask rows with one piece that are met in a task.
+CROWD = 20_000
+
+
+def piece_masks(length: int, distance: int, scheme: str) -> list[int]:
+    """Bit masks that cut a code into ``distance`` + 1 pieces, runs of bases or every so manieth base; one of them agrees within the distance."""
+    n = distance + 1
+    place = {"runs": lambda i: i * n // length, "strides": lambda i: i % n}[scheme]
+    return [sum(3 << 2 * i for i in range(length) if place(i) == k) for k in range(n)]
+
+
+def _pieces(code: str, masks: list[int]) -> Column:
+    return F.posexplode(F.array(*[F.col(code).bitwiseAND(F.lit(m)) for m in masks]))
+
+
+@dataclass(frozen=True)
+class Cut:
+    """How codes are cut into pieces: the masks, and the pieces that many mask rows have (``part``, ``value``, ``deals``)."""
+
+    masks: list[int]
+    crowds: DataFrame
 
 
-def nearest(codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int, plan: str) -> tuple[DataFrame, DataFrame]:
+def measured(spark: SparkSession, dictionary: DataFrame, length: int, distance: int) -> Cut:
+    """The cut whose pieces are shared least in this dictionary: the sum of squared frequencies is the work of a join.
+
+    Pieces of more than CROWD rows are to be dealt to several tasks. Frequencies are counted by Spark, over the whole dictionary.
+    """
+    schemes = ["runs", "strides"]
+    parts = [dictionary.select(F.lit(k).alias("scheme"), _pieces("bc", piece_masks(length, distance, x)).alias("part", "value")) for k, x in enumerate(schemes)]
+    counts = parts[0].union(parts[1]).groupBy("scheme", "part", "value").agg(F.count("*").cast("double").alias("n"))
+    counts = stored(spark, counts, "piece-counts")
+    work = {r["scheme"]: r["w"] for r in counts.groupBy("scheme").agg(F.sum(F.col("n") * F.col("n")).alias("w")).collect()}
+    best = min(work, key=work.get, default=0)
+    crowds = counts.filter((F.col("scheme") == best) & (F.col("n") > CROWD)).select("part", "value", F.ceil(F.col("n") / CROWD).cast("int").alias("deals"))
+    return Cut(piece_masks(length, distance, schemes[best]), stored(spark, crowds, "piece-crowds"))
+
+
+def nearest(spark: SparkSession, codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int, plan: str, cut: Callable[[int], Cut] | None = None) -> tuple[DataFrame, DataFrame]:
     """Of barcodes without an exact match: the unique nearest, and the ambiguous ones.
 
-    Distances rise one at a time; a distance with several hits ends the search as ambiguous.
+    Distances rise one at a time; a distance with several hits ends the search as ambiguous. The hits of a distance are stored.
     One substitution is tried by joining all neighbours of the barcodes, and so are more with the
     plan ``neighbours``; with ``pieces`` barcodes and dictionary are cut into distance + 1 pieces,
-    one of which must agree, and the codes of those that share a piece are compared.
+    one of which must agree, and the codes of those that share a piece are compared. ``cut`` gives the
+    cut for a distance, where it is known already.
     """
     left, found, unclear = codes, None, None
     for d in range(1, mismatch + 1):
@@ -60,32 +101,33 @@ def nearest(codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int,
             tries = left.select("barcode", F.explode(sequence.neighbours("code", length, d)).alias("near"))
             hits = tries.join(dictionary, tries.near == dictionary.bc).select("barcode", "bc", "x", "y")
         else:
-            hits = _pigeonhole(left, dictionary, length, d)
-        one, any_ = _unique(hits, f"mis{d}")
-        many = any_.filter("n > 1").select("barcode", F.lit(f"mis{d}").alias("at"))
+            hits = _pigeonhole(left, dictionary, d, cut(d) if cut else measured(spark, dictionary, length, d))
+        counted = hits.groupBy("barcode").agg(F.count("*").alias("n"), F.min(F.struct("bc", "x", "y")).alias("hit"))
+        counted = stored(spark, counted, "resolve-hits")
+        one = counted.filter("n = 1").select("barcode", F.lit(f"mis{d}").alias("match_kind"), "hit.bc", "hit.x", "hit.y")
+        many = counted.filter("n > 1").select("barcode", F.lit(f"mis{d}").alias("at"))
         found = one if found is None else found.unionByName(one)
         unclear = many if unclear is None else unclear.unionByName(many)
-        left = left.join(any_, "barcode", "left_anti")
+        left = left.join(counted, "barcode", "left_anti")
     return found, unclear
 
 
-def _pigeonhole(codes: DataFrame, dictionary: DataFrame, length: int, distance: int) -> DataFrame:
-    """Pairs at exactly ``distance`` by equal pieces; each pair is kept at its first equal piece."""
-    cuts = [length * k // (distance + 1) for k in range(distance + 2)]
-    bounds = list(zip(cuts, cuts[1:]))
+def _pigeonhole(codes: DataFrame, dictionary: DataFrame, distance: int, cut: Cut) -> DataFrame:
+    """Pairs at exactly ``distance`` by equal pieces; each pair is kept at its first equal piece.
 
-    def pieces(code: str):
-        cut = [F.shiftrightunsigned(F.col(code), 2 * a).bitwiseAND(F.lit((1 << 2 * (b - a)) - 1)) for a, b in bounds]
-        return F.posexplode(F.array(*cut))
-
-    a = codes.select("barcode", "code", pieces("code").alias("part", "value"))
-    b = dictionary.select("bc", "x", "y", pieces("bc").alias("part", "value"))
-    pairs = a.join(b, ["part", "value"]).filter(sequence.hamming("code", "bc") == distance)
+    Mask rows of a crowded piece are dealt by their code; a barcode with it goes to each deal.
+    """
+    a = codes.select("barcode", "code", _pieces("code", cut.masks).alias("part", "value"))
+    b = dictionary.select("bc", "x", "y", _pieces("bc", cut.masks).alias("part", "value"))
+    key = ["part", "value", "deal"]
+    deals = F.coalesce("deals", F.lit(1))
+    a = a.join(cut.crowds, key[:2], "left").withColumn("deal", F.explode(F.sequence(F.lit(0), deals - 1))).drop("deals")
+    b = b.join(cut.crowds, key[:2], "left").withColumn("deal", F.pmod(F.xxhash64("bc"), deals).cast("int")).drop("deals")
+    pairs = a.join(b, key).filter(sequence.hamming("code", "bc") == distance)
     other = F.col("code").bitwiseXOR(F.col("bc"))
-    agree = [other.bitwiseAND(F.lit(((1 << 2 * (q - p)) - 1) << 2 * p)) == 0 for p, q in bounds]
-    first = F.lit(len(bounds))
-    for k in range(len(bounds) - 1, -1, -1):
-        first = F.when(agree[k], k).otherwise(first)
+    first = F.lit(len(cut.masks))
+    for k in range(len(cut.masks) - 1, -1, -1):
+        first = F.when(other.bitwiseAND(F.lit(cut.masks[k])) == 0, k).otherwise(first)
     return pairs.filter(F.col("part") == first).select("barcode", "bc", "x", "y")
 
 
@@ -96,27 +138,33 @@ def wildcard(codes: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFr
     return one, any_.filter("n > 1").select("barcode", F.lit("n").alias("at"))
 
 
-def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec, plan: str | None = None) -> DataFrame:
+def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec, plan: str | None = None, cut: Callable[[int], Cut] | None = None) -> DataFrame:
     """A row for each of the distinct barcodes that has a match or is ambiguous.
 
     ``plan``: how two substitutions or more are tried (``nearest``); by default by the size of the
-    dictionary. Both give the same rows.
+    dictionary. Both give the same rows. With a tolerance the barcodes, the dictionary, each level's hits and the
+    result are stored, so that none of it is planned or computed again.
 
     ``barcode``, ``match_kind`` (exact, mis1, mis2, mis3, n, ambiguous), ``bc``, ``x``, ``y``; the
     last three are null for the ambiguous.
     """
+    spark = barcodes.sparkSession
     usable = barcodes.filter(filters.unmappable(F.col("barcode"), spec).isNull())
-    plain = usable.filter(sequence.n_count("barcode") == 0).withColumn("code", sequence.encode("barcode"))
-    hit = exact(plain, dictionary)
     if not spec.mismatch:
-        return hit
-    rest = plain.join(dictionary.select("bc"), plain.code == F.col("bc"), "left_anti")
-    if plan is None and spec.mismatch > 1:
-        # three substitutions have 65,000 neighbours, so they take pieces at any size
-        plan = "neighbours" if spec.mismatch == 2 and dictionary.count() >= LARGE_MASK else "pieces"
-    near, unclear = nearest(rest, dictionary, spec.length, spec.mismatch, plan or "pieces")
-    wild, several = wildcard(usable.filter(sequence.n_count("barcode") == 1), dictionary)
-    no = F.lit(None).cast("long")
-    lost = unclear.unionByName(several).select("barcode", F.lit("ambiguous").alias("match_kind"), no.alias("bc"), no.alias("x"), no.alias("y"))
-    return hit.unionByName(near).unionByName(wild).unionByName(lost)
-
+        plain = usable.filter(sequence.n_count("barcode") == 0).withColumn("code", sequence.encode("barcode"))
+        return exact(plain, dictionary)
+    with intermediates(spark, keep=1):
+        dictionary = stored(spark, dictionary, "resolve-dictionary", "lz4")
+        coded = usable.withColumn("wild", sequence.n_count("barcode")).withColumn("code", F.when(F.col("wild") == 0, sequence.encode("barcode")))
+        met = coded.join(dictionary, coded.code == dictionary.bc, "left").select("barcode", "wild", "code", "bc", "x", "y")
+        met = stored(spark, met, "resolve-exact", "lz4")
+        hit = met.filter("bc is not null").select("barcode", F.lit("exact").alias("match_kind"), "bc", "x", "y")
+        rest = met.filter("bc is null and wild = 0").select("barcode", "code")
+        if plan is None and spec.mismatch > 1:
+            # three substitutions have 65,000 neighbours, so they take pieces at any size
+            plan = "neighbours" if spec.mismatch == 2 and dictionary.count() >= LARGE_MASK else "pieces"
+        near, unclear = nearest(spark, rest, dictionary, spec.length, spec.mismatch, plan or "pieces", cut)
+        wild, several = wildcard(met.filter("wild = 1").select("barcode"), dictionary)
+        no = F.lit(None).cast("long")
+        lost = unclear.unionByName(several).select("barcode", F.lit("ambiguous").alias("match_kind"), no.alias("bc"), no.alias("x"), no.alias("y"))
+        return stored(spark, hit.unionByName(near).unionByName(wild).unionByName(lost), "resolve-result", "lz4")

@@ -70,6 +70,8 @@ SELECT read_id, name, concat(substr(translate(md5(concat('cid:',CAST(suppkey AS
 }
 #: Views that a view reads.
 NEEDS = {"protein_read_pairs": ["read_pairs"]}
+#: Bytes of a row group, so that a fixture written by one task can be read by several.
+ROW_GROUP = 4 << 20
 TABLES = ("orders", "lineitem", "events", "supplier")
 
 
@@ -86,7 +88,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
         path = f"{shared_dir(spark)}/fixture-{name}-{uuid.uuid4().hex}"
-        derived(spark, sf_dir, name).write.parquet(path)
+        derived(spark, sf_dir, name).write.option("parquet.block.size", ROW_GROUP).parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
 

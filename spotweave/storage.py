@@ -15,18 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 _OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 
+#: Folders made so far, by application and setting.
+_MADE: dict[tuple[str, str], str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder where a local session (as in tests) names none.
+    """This application's folder in ``spark.checkpoint.dir``; in a temporary folder where a local session (as in tests) names none.
 
-    On a cluster the setting must be there, for executors don't see the driver's folders.
+    On a cluster the setting must be there, for executors don't see the driver's folders. What is still in
+    the folder when the application ends is deleted then.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = os.path.join(tempfile.gettempdir(), "checkpoints", f"spotweave-{os.getpid()}")
-        os.makedirs(found, exist_ok=True)
-    return found.rstrip("/")
+    key = (spark.sparkContext.applicationId, found)
+    if key not in _MADE:
+        _MADE[key] = f"{found.rstrip('/')}/spotweave-{key[0]}"
+        at = spark._jvm.org.apache.hadoop.fs.Path(_MADE[key])
+        store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(at)
+        store.deleteOnExit(at)
+    return _MADE[key]
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spotweave.config import RunSpec
 from spotweave.operators import mapping
+from spotweave.operators.mask_index import MaskIndex
 
 
-def map_stream(pairs: DataFrame, mask: DataFrame, spec: RunSpec, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def map_stream(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Map each micro-batch of ``pairs`` by the batch cascade and append to the table at ``path``.
 
     A batch is written under its number, so a batch that is run again replaces itself.
@@ -28,7 +29,7 @@ def _batches(stream: DataFrame, write, checkpoint: str, once: bool, mode: str =
     return (out.trigger(availableNow=True) if once else out).start()
 
 
-def metric_stream(pairs: DataFrame, mask: DataFrame, spec: RunSpec, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def metric_stream(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Counters of each micro-batch as a row of the table at ``path``; ``metric_totals`` adds them up."""
 
     def write(batch: DataFrame, number: int) -> None:

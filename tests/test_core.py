@@ -150,7 +150,7 @@ def test_fastq(spark, tmp_path):
     assert sorted(tuple(r)[2:] for r in back.collect()) == records
     assert fastq.read_interleaved(spark, str(tmp_path / "out")).count() == 3
     both = load(path1=a, path2=b)
-    fastq.write_pairs(both, str(tmp_path / "o1"), str(tmp_path / "o2"), ("name1", "seq1", "strand1", "qual1", "name2", "seq2", "strand2", "qual2"), ["lane", "rec_no"])
+    fastq.write_pairs(both, str(tmp_path / "o1"), str(tmp_path / "o2"), ("name1", "seq1", "strand1", "qual1", "name2", "seq2", "strand2", "qual2"))
     lines = [spark.read.text(str(tmp_path / o)).collect() for o in ("o1", "o2")]
     assert lines[0] == lines[1] and len(lines[0]) == 28
 
