@@ -12,12 +12,11 @@ from spotweave.storage import scratch as scratch_path  # noqa: F401
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def fresh(df: DataFrame, name: str) -> str:
-    """``name``, with underscores appended until ``df`` has no such column."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, with underscores appended until no column of ``df`` begins with it: for columns that an operator adds for itself."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,6 +152,17 @@ class Models:
     limits: np.ndarray | None = None
     dense: list[np.ndarray] | None = None
 
+    def plain(self) -> dict:
+        """All of it as plain arrays, for a broadcast: executors may lack this package."""
+        bare = lambda tables: [(t.codes, t.first, t.langs, t.values) for t in tables]
+        return {**vars(self), "grams": bare(self.grams), "backs": bare(self.backs)}
+
+    @classmethod
+    def of(cls, plain: dict) -> Models:
+        """Models of what ``plain`` gave."""
+        whole = lambda tables: [Table(*t) for t in tables]
+        return cls(**{**plain, "grams": whole(plain["grams"]), "backs": whole(plain["backs"])})
+
     def densified(self) -> Models:
         """With all languages' log probabilities beside every n-gram that any has, if they are at most DENSE numbers: scores are the same, found faster."""
         if sum(len(c) for c in self.codes) * len(self.languages) <= DENSE:
@@ -340,7 +351,7 @@ def train(spark: SparkSession, docs: DataFrame, lang_col: str = "lang", text_col
     """Models of every language in ``docs`` (rows with null language or text are left out).
 
     Counts cover every row. The scale of the scores and each language's limit of rejection
-    are calibrated on ``calibration`` whole texts of each language, those with the lowest hashes:
+    are calibrated on ``calibration`` distinct whole texts of each language, those with the lowest hashes:
     the limit is the 99.9th percentile of the cross-entropy in the own language, and half a bit.
     Texts are judged where they are; only entropies come to the driver.
     """
@@ -359,15 +370,17 @@ def _trained(spark: SparkSession, docs: DataFrame, lang_col: str, text_col: str,
     models = kneser_ney(spark, counted)
     # hashes alone are ranked; each task keeps its lowest of a language before they meet
     hashed = known.withColumn("h", F.xxhash64("text"))
-    lowest = hashed.select("lang", "h").withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= calibration)
+    # equal texts are one, so that copies can't fill the sample
+    lowest = hashed.select("lang", "h").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= calibration)
     lowest = lowest.groupBy("lang").agg(F.max("h").alias("cut"))
-    chosen = hashed.join(F.broadcast(lowest), "lang").filter("h <= cut")  # a row for each language, of which the driver has a list.select("text", "lang")
-    shared = spark.sparkContext.broadcast(vars(models))
+    # a row for each language is broadcast, of which the driver has a list
+    chosen = hashed.join(F.broadcast(lowest), "lang").filter("h <= cut").groupBy("lang", "h").agg(F.first("text").alias("text"))
+    shared = spark.sparkContext.broadcast(models.plain())
 
     def entropies(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        held = Models(**shared.value)
+        held = Models.of(shared.value)
         for batch in batches:
             texts = [symbols(t) for t in batch.column("text").to_pylist()]
             some = [i for i, t in enumerate(texts) if len(t)]
@@ -375,7 +388,7 @@ def _trained(spark: SparkSession, docs: DataFrame, lang_col: str, text_col: str,
                 bits, n = held.entropies([texts[i] for i in some])
                 yield pa.RecordBatch.from_arrays([batch.column("lang").take(pa.array(some)), pa.array(bits.tolist(), pa.list_(pa.float64())), pa.array(n)], names=["lang", "bits", "n"])
 
-    sample = chosen.mapInArrow(entropies, "lang string, bits array<double>, n long").collect()  # calibration rows for each language, but for equal texts
+    sample = chosen.mapInArrow(entropies, "lang string, bits array<double>, n long").collect()  # calibration rows for each language
     if sample:
         _calibrated(models, [r["lang"] for r in sample], np.array([r["bits"] for r in sample]), np.array([r["n"] for r in sample]))
     return models
@@ -388,12 +401,12 @@ def identify(spark: SparkSession, docs: DataFrame, models: Models, text_col: str
     the nearest language: its cross-entropy is beyond what training texts of that language
     have. The whole text is read. Each row is judged by itself.
     """
-    shared = spark.sparkContext.broadcast(vars(models))
+    shared = spark.sparkContext.broadcast(models.plain())
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch, found in _judged(batches, Models(**shared.value)):
+        for batch, found in _judged(batches, Models.of(shared.value)):
             cols = list(zip(*found, strict=True)) if found else [[], [], [], []]
             kinds = [pa.string(), pa.float64(), pa.bool_(), pa.float64()]
             yield pa.RecordBatch.from_arrays(

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import unit_hash
+from spotweave.llm.common import free_prefix, unit_hash
 
 #: Where the null group stands in weights and rates.
 NULL_GROUP = "\x00null"
@@ -92,20 +92,21 @@ def mix(
     rows are dealt to partitions by it and sorted by it within. An empty table stays empty.
     The table of rates is broadcast only if it has at most ``max_groups`` rows.
     """
+    at = free_prefix(docs, "_mix")
     table = rates(docs, by, weights, temperature, size)
     parts = F.when(F.col("rate") <= LARGE, 1).otherwise(F.ceil(F.col("rate") / PART)).cast("int")
-    table = table.withColumns({"_mix_group": F.col("group"), "_mix_parts": parts})
-    table = table.withColumn("_mix_cdf", poisson_cdf(F.col("rate") / F.col("_mix_parts"))).select("_mix_group", "_mix_parts", "_mix_cdf")
+    table = table.withColumns({f"{at}_group": F.col("group"), f"{at}_parts": parts})
+    table = table.withColumn(f"{at}_cdf", poisson_cdf(F.col("rate") / F.col(f"{at}_parts"))).select(f"{at}_group", f"{at}_parts", f"{at}_cdf")
     few = docs.agg(F.approx_count_distinct(by)).first()[0] <= max_groups
-    named = docs.withColumn("_mix_group", F.coalesce(F.col(by).cast("string"), F.lit(NULL_GROUP)))
+    named = docs.withColumn(f"{at}_group", F.coalesce(F.col(by).cast("string"), F.lit(NULL_GROUP)))
     keys = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_GROUP)) for k in key]
-    drawn = named.join(F.broadcast(table) if few else table, "_mix_group").withColumn("_mix_u", unit_hash(seed, *keys))
-    further = F.transform(F.sequence(F.lit(2), F.col("_mix_parts")), lambda j: unit_hash(f"{seed}/part", *keys, j.cast("string")))
-    drawn = drawn.withColumn("_mix_more", F.when(F.col("_mix_parts") > 1, further))
-    more = F.aggregate(F.col("_mix_more"), F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter("_mix_cdf", lambda c: c <= u)))
+    drawn = named.join(F.broadcast(table) if few else table, f"{at}_group").withColumn(f"{at}_u", unit_hash(seed, *keys))
+    further = F.transform(F.sequence(F.lit(2), F.col(f"{at}_parts")), lambda j: unit_hash(f"{seed}/part", *keys, j.cast("string")))
+    drawn = drawn.withColumn(f"{at}_more", F.when(F.col(f"{at}_parts") > 1, further))
+    more = F.aggregate(F.col(f"{at}_more"), F.lit(0).cast("long"), lambda n, u: n + F.size(F.filter(f"{at}_cdf", lambda c: c <= u)))
     copied = (
-        drawn.withColumn("mix_copies", F.expr("size(filter(_mix_cdf, c -> c <= _mix_u))").cast("long") + F.coalesce(more, F.lit(0).cast("long")))
-        .drop("_mix_cdf", "_mix_group", "_mix_u", "_mix_parts", "_mix_more")
+        drawn.withColumn("mix_copies", F.size(F.filter(f"{at}_cdf", lambda c: c <= F.col(f"{at}_u"))).cast("long") + F.coalesce(more, F.lit(0).cast("long")))
+        .drop(f"{at}_cdf", f"{at}_group", f"{at}_u", f"{at}_parts", f"{at}_more")
         .filter(F.col("mix_copies") > 0)
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix_copies") - 1)))
         .withColumn("mix_key", F.md5(F.concat_ws("\x1f", F.lit(seed), *keys, F.col("mix_copy").cast("string"))))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import SPACES, intermediates, stored, text_or_empty
+from spotweave.llm.common import SPACES, free_prefix, intermediates, stored, text_or_empty
 
 #: Symbols that count as such.
 SYMBOLS = r"[#*$%&|<>]"
@@ -142,7 +142,9 @@ def quality(
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr_score", "kept"]
     docs = docs.drop(*made)
     text, name = text_or_empty(text_col), F.coalesce(F.col(id_col).cast("string"), F.lit("\x00null"))
-    keyed = docs.withColumns({"_k1": F.xxhash64(name, text), "_k2": F.xxhash64(text, name)})
+    k1, k2 = (f"{free_prefix(docs, '_quality')}k{i}" for i in (1, 2))
+    keyed = docs.withColumns({k1: F.xxhash64(name, text), k2: F.xxhash64(text, name)})
+    own = docs.select(F.xxhash64(name, text).alias("_k1"), F.xxhash64(text, name).alias("_k2"), text.alias("_text"))
     with intermediates(spark, keep=1):
         model = log_ratios(spark, docs, trusted, buckets, trusted_limit, text_col=text_col, id_col=id_col)
         model = stored(spark, model, "quality-ratios")  # as many rows as buckets
@@ -150,15 +152,15 @@ def quality(
         # fixed point: a sum of longs is the same in whatever order rows arrive
         points = F.when(F.col("some"), F.round(F.col("ratio") * SCALE)).otherwise(0).cast("long")
         ratios = model.join(F.broadcast(some)).select("bucket", points.alias("points"))
-        grams = gram_rows(keyed.select("_k1", "_k2", text.alias("_text")), ["_k1", "_k2"], "_text", buckets)
+        grams = gram_rows(own, ["_k1", "_k2"], "_text", buckets)
         mean = F.sum("points") / (F.count("*") * F.lit(float(SCALE)))
         scores = grams.join(F.broadcast(ratios), "bucket").groupBy("_k1", "_k2").agg(mean.alias("llr_score"))
-        judged = base_rules(keyed.select("_k1", "_k2", text.alias("_raw")), "_raw").drop("_raw").join(scores, ["_k1", "_k2"], "left")
+        judged = base_rules(own, "_text").drop("_text").join(scores, ["_k1", "_k2"], "left")
         judged = judged.withColumn("llr_score", F.coalesce("llr_score", F.lit(0.0)))
         # stored, for a filter on the verdict would else be pushed into the statistics and evaluate them again and again
         judged = stored(spark, judged.dropDuplicates(["_k1", "_k2"]), "quality-verdicts")
     return (
-        keyed.join(judged, ["_k1", "_k2"])
-        .drop("_k1", "_k2")
+        keyed.join(judged.withColumnsRenamed({"_k1": k1, "_k2": k2}), [k1, k2])
+        .drop(k1, k2)
         .withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold))
     )

@@ -15,7 +15,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import stored, text_or_empty
+from spotweave.llm.common import free_prefix, stored, text_or_empty
 
 #: Patterns: kind, expression, group of the value, least length of the value. In the order of kinds.
 BASE = [
@@ -121,11 +121,13 @@ def scan(
     named = lambda c: F.coalesce(F.col(c).cast("string"), missing) if c in docs.columns else missing
     owner = F.coalesce(owner.cast("string"), missing) if owner is not None else named("source")
     repository = F.coalesce(repository.cast("string"), missing) if repository is not None else F.concat_ws("/", named("source"), named("lang"))
-    keyed = docs.drop("secret_spans").withColumns({"_owner": owner, "_repo": repository})
-    keyed = keyed.withColumns({"_k1": F.xxhash64(text_or_empty(text_col)), "_k2": F.xxhash64(F.lit(7), text_or_empty(text_col))})
+    docs = docs.drop("secret_spans")
+    k1, k2 = (f"{free_prefix(docs, '_secret')}k{i}" for i in (1, 2))
+    keys = {"_k1": F.xxhash64(text_or_empty(text_col)), "_k2": F.xxhash64(F.lit(7), text_or_empty(text_col))}
     # asked for first: a filter on the spans would find them a second time
     gates = reduce(or_, [text_or_empty(text_col).rlike(g) for g in (*_GATE.values(), _WIDE_GATE)])
-    found = candidates(keyed.select(text_col, "_owner", "_repo", "_k1", "_k2").filter(gates), text_col).drop(text_col)
+    texts = docs.filter(gates).select(F.col(text_col).alias("_text"), owner.alias("_owner"), repository.alias("_repo"), *[v.alias(k) for k, v in keys.items()])
+    found = candidates(texts, "_text").drop("_text")
     found = stored(spark, found.filter((F.size("_base") > 0) | (F.size("_wide") > 0)), "secret-candidates")
 
     one = found.select("_owner", "_repo", "_k1", "_k2", F.explode(F.concat("_base", "_wide")).alias("s"))
@@ -144,9 +146,10 @@ def scan(
     )
     empty = F.array().cast(spans.schema["secret_spans"].dataType)
     return (
-        keyed.join(spans, ["_k1", "_k2"], "left")
+        docs.withColumns({k1: keys["_k1"], k2: keys["_k2"]})
+        .join(spans.withColumnsRenamed({"_k1": k1, "_k2": k2}), [k1, k2], "left")
         .withColumn("secret_spans", F.coalesce("secret_spans", empty))
-        .drop("_k1", "_k2", "_owner", "_repo")
+        .drop(k1, k2)
     )
 
 

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import intermediates, stored
+from spotweave.llm.common import free_prefix, intermediates, stored
 
 
 def even_sizes(total: int, shards: int) -> list[int]:
@@ -94,42 +94,43 @@ def shard_rows(
     named ``shard`` or ``slot`` are replaced; other columns pass through.
     """
     df = df.drop("shard", "slot")
+    at = free_prefix(df, "_shard")
     total = df.count()
     partitions = min(8192, max(64, -(-total // rows_a_task)))
     chunks = min(4096, max(16, -(-total // (shards * rows_a_task))))
     marked = df.withColumns(
         {
-            "_mix1": F.xxhash64(F.lit(seed), *key),
-            "_mix2": F.xxhash64(F.lit(seed + 1), *key),
+            f"{at}_mix1": F.xxhash64(F.lit(seed), *key),
+            f"{at}_mix2": F.xxhash64(F.lit(seed + 1), *key),
         }
-    ).withColumn("_part", F.pmod(F.xxhash64(F.lit(seed + 2), *key), F.lit(partitions)).cast("int"))
+    ).withColumn(f"{at}_part", F.pmod(F.xxhash64(F.lit(seed + 2), *key), F.lit(partitions)).cast("int"))
     with intermediates(spark, keep=1):
         marked = stored(spark, marked, "shard-rows")
-        counted = {r["_part"]: r["n"] for r in marked.groupBy("_part").agg(F.count("*").alias("n")).collect()}
+        counted = {r[f"{at}_part"]: r["n"] for r in marked.groupBy(f"{at}_part").agg(F.count("*").alias("n")).collect()}
         counts = [counted.get(i, 0) for i in range(partitions)]
         matrix = communication_matrix(counts, even_sizes(sum(counts), shards), seed)
         ends = [(i, [int(x) for x in row]) for i, row in enumerate(matrix.cumsum(axis=1))]
-        plan = spark.createDataFrame(ends, "_part int, _ends array<bigint>")  # partitions x shards cells
+        plan = spark.createDataFrame(ends, f"{at}_part int, {at}_ends array<bigint>")  # partitions x shards cells
 
-        local = Window.partitionBy("_part").orderBy("_mix1", *key)
+        local = Window.partitionBy(f"{at}_part").orderBy(f"{at}_mix1", *key)
         placed = (
-            marked.withColumn("_rank", F.row_number().over(local) - 1)
-            .join(F.broadcast(plan), "_part")
-            .withColumn("shard", F.expr("size(filter(_ends, e -> e <= _rank))").cast("int"))
-            .withColumn("_chunk", F.pmod(F.col("_mix2"), F.lit(chunks)).cast("int"))
-            .drop("_ends", "_rank", "_part")
+            marked.withColumn(f"{at}_rank", F.row_number().over(local) - 1)
+            .join(F.broadcast(plan), f"{at}_part")
+            .withColumn("shard", F.size(F.filter(f"{at}_ends", lambda e: e <= F.col(f"{at}_rank"))).cast("int"))
+            .withColumn(f"{at}_chunk", F.pmod(F.col(f"{at}_mix2"), F.lit(chunks)).cast("int"))
+            .drop(f"{at}_ends", f"{at}_rank", f"{at}_part")
         )
         placed = stored(spark, placed, "shard-placed")
-    before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("shard").orderBy(f"{at}_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy("shard", "_chunk")
-        .agg(F.count("*").alias("_n"))
-        .select("shard", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        placed.groupBy("shard", f"{at}_chunk")
+        .agg(F.count("*").alias(f"{at}_n"))
+        .select("shard", f"{at}_chunk", F.coalesce(F.sum(f"{at}_n").over(before), F.lit(0)).alias(f"{at}_start"))
     )  # shards x chunks rows
-    inner = Window.partitionBy("shard", "_chunk").orderBy("_mix2", *key)
+    inner = Window.partitionBy("shard", f"{at}_chunk").orderBy(f"{at}_mix2", *key)
     return (
-        placed.withColumn("_rank", F.row_number().over(inner) - 1)
-        .join(F.broadcast(starts), ["shard", "_chunk"])
-        .withColumn("slot", (F.col("_start") + F.col("_rank")).cast("long"))
-        .drop("_start", "_rank", "_chunk", "_mix1", "_mix2")
+        placed.withColumn(f"{at}_rank", F.row_number().over(inner) - 1)
+        .join(F.broadcast(starts), ["shard", f"{at}_chunk"])
+        .withColumn("slot", (F.col(f"{at}_start") + F.col(f"{at}_rank")).cast("long"))
+        .drop(f"{at}_start", f"{at}_rank", f"{at}_chunk", f"{at}_mix1", f"{at}_mix2")
     )

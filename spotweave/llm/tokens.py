@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spotweave.llm.common import text_or_empty
+from spotweave.llm.common import free_prefix, text_or_empty
 from spotweave.llm.tokenizing import encoder
 
 SCHEMA = "digest binary, tokenizer string, n_tokens long"
@@ -68,16 +68,18 @@ def count_tokens(
     """
     version = tokenizer_digest(tokenizer_path)
     text = text_or_empty(text_col)
-    keyed = docs.drop("n_bytes", "n_tokens").withColumn("_digest", F.unhex(F.sha2(text, 256)))
+    docs = docs.drop("n_bytes", "n_tokens")
+    name = f"{free_prefix(docs, '_tokens')}digest"
+    keyed = docs.withColumn(name, F.unhex(F.sha2(text, 256)))
     known = cached(spark, cache_path, version)
-    content = keyed.select(F.col("_digest").alias("digest"), text.alias("text")).join(known, "digest", "left_anti")
+    content = keyed.select(F.col(name).alias("digest"), text.alias("text")).join(known, "digest", "left_anti")
     # a content is one row for each task before it is shuffled
     misses = content.groupBy("digest").agg(F.first("text").alias("text"))
     encoded = misses.mapInArrow(_counter(tokenizer_path, version, spaces), SCHEMA)
     encoded.write.mode("append").parquet(cache_path)
-    counts = cached(spark, cache_path, version).withColumnRenamed("digest", "_digest")
+    counts = cached(spark, cache_path, version).withColumnRenamed("digest", name)
     return (
         keyed.withColumn("n_bytes", F.octet_length(text).cast("long"))
-        .join(counts, "_digest", "left")
-        .drop("_digest")
+        .join(counts, name, "left")
+        .drop(name)
     )
