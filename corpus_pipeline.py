@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spotweave.llm import mixing, neardup, packing, quality, secrets
-from spotweave.llm.common import documents, intermediates, stored, text_or_empty
+from spotweave.llm.common import documents, free_prefix, intermediates, stored, text_or_empty
 from spotweave.llm.queries import tokenizer_path
 
 
@@ -31,8 +31,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").limit(1).count():
         return _near_duplicate_texts(spark, docs)
     found = neardup.near_duplicates(spark, docs.select("doc_id", "text"), percent=80)
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.filter("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def _near_duplicate_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -40,13 +40,15 @@ def _near_duplicate_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     A group keeps the smallest id and, of its texts, the one with the smallest digest. A null text is an empty one.
     """
-    named = docs.withColumn("_digest", F.sha2(text_or_empty(), 256))
-    rows = named.filter("doc_id is not null").groupBy("doc_id", "_digest").agg(F.first(text_or_empty()).alias("text"))
+    digest = f"{free_prefix(docs, '_near')}digest"
+    named = docs.withColumn(digest, F.sha2(text_or_empty(), 256))
+    rows = named.filter("doc_id is not null").select("doc_id", F.col(digest).alias("_digest"), text_or_empty().alias("text"))
+    rows = rows.groupBy("doc_id", "_digest").agg(F.first("text").alias("text"))
     rows = stored(spark, rows.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
     found = neardup.near_duplicates(spark, rows.select("_row", "text"), percent=80, id_col="_row")
     placed = rows.drop("text").join(found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
-    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_digest")).alias("k")).select("k.doc_id", "k._digest")
-    kept = named.filter("doc_id is not null").join(first, ["doc_id", "_digest"], "left_semi").dropDuplicates(["doc_id", "_digest"])
+    first = placed.groupBy("component_id").agg(F.min(F.struct("doc_id", "_digest")).alias("k")).select("k.doc_id", F.col("k._digest").alias(digest))
+    kept = named.filter("doc_id is not null").join(first, ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest])
     return kept.select(docs.columns).union(docs.filter("doc_id is null"))
 
 
