@@ -10,9 +10,11 @@ symbols with probability 3e-6, less above it.
 Equal shingle sets are one representative. In each key's group every member is first compared
 with one leader, the member with most company over all its keys (near copies share more with
 their original than with each other); full sets confirm the links. Then pairs in a group that
-are still in different components are compared: those around the same leader in blocks of
-full sets, from which only links that join components come out, the others pair by pair. So no link
-between components is lost, and no group of copies is expanded into all its pairs.
+are still in different components are compared: those around the same leader in blocks, first
+by signatures, then, for members that have a signature of another component within the distance in a
+block, by full sets; only links that join components come out. The others meet pair by pair. So no link
+between components is lost, and no group of copies is expanded into all its pairs. A set of a very
+long text is held once by a task and compared as a whole.
 """
 
 from __future__ import annotations
@@ -146,6 +148,8 @@ def confirm(spark: SparkSession, pairs: DataFrame, texts: DataFrame, percent: in
 
 #: Sets compared with each other at once.
 BLOCK = 400
+#: Blocks whose signatures are compared at once with those of as many others.
+SIDE = 10
 #: Members of a key that are met in one task.
 CROWD = 1000
 
@@ -192,26 +196,28 @@ def _spanning(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
             yield left[i][0], right[j][0]
 
 
+def _grouped(batches: Iterator, names: list[str], columns: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows of ``columns`` of each group of ``names``, whose rows follow each other."""
+    held, name = [], None
+    for batch in batches:
+        cols = [batch.column(c).to_pylist() for c in (*names, *columns)]
+        for row in zip(*cols, strict=True):
+            if row[: len(names)] != name:
+                if held:
+                    yield name, held
+                held, name = [], row[: len(names)]
+            held.append(row[len(names) :])
+    if held:
+        yield name, held
+
+
 def _blocks(percent: int):
     def blocks(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def groups() -> Iterator[list[tuple]]:
-            held, name = [], None
-            for batch in batches:
-                cols = [batch.column(c).to_pylist() for c in ("ref", "low", "high", "id", "component", "block", "shingles")]
-                for ref, low, high, *rest in zip(*cols, strict=True):
-                    if (ref, low, high) != name:
-                        if held:
-                            yield held
-                        held, name = [], (ref, low, high)
-                    held.append((rest[0], rest[1], rest[2] == low, rest[2] == high, rest[3]))
-            if held:
-                yield held
-
         found: list[tuple[int, int]] = []
-        for rows in groups():
-            found += _spanning(rows, percent)
+        for (_, low, high), rows in _grouped(batches, ["ref", "low", "high"], ["id", "component", "block", "shingles"]):
+            found += _spanning([(i, c, b == low, b == high, s) for i, c, b, s in rows], percent)
             if len(found) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["a", "b"])
                 found = []
@@ -221,30 +227,76 @@ def _blocks(percent: int):
     return blocks
 
 
-def _block_links(spark: SparkSession, members: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+def _candidates(percent: int):
+    """From signatures of a pair of coarse blocks: members with a partner of another component in a pair of blocks of sets."""
+
+    def hits(rows: list[tuple], low: int, high: int) -> Iterator[tuple[int, int, int]]:
+        sides = []
+        for name in (low, high):
+            part = sorted((r for r in rows if r[2] == name), key=lambda r: r[3])
+            sides.append([np.array([r[k] for r in part], np.int64) for k in (0, 1, 3, 4)] + [np.frombuffer(b"".join(r[5] for r in part), "<u2").reshape(-1, SYMBOLS)])
+        (ids, parts, blocks, sizes, signs), (ids2, parts2, blocks2, sizes2, signs2) = sides
+        if not len(ids) or not len(ids2):
+            return
+        names2, starts2 = np.unique(blocks2, return_index=True)
+        for block in np.unique(blocks):
+            use = np.flatnonzero(blocks == block)
+            near = np.zeros((len(use), len(ids2)), np.uint8)
+            for k in range(SYMBOLS):
+                near += signs[use, k][:, None] != signs2[None, :, k]
+            n, m = sizes[use][:, None], sizes2[None, :]
+            met = (near <= DISTANCE) & (parts[use][:, None] != parts2[None, :]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+            mine, theirs = np.logical_or.reduceat(met, starts2, axis=1), met.any(axis=0)
+            for k, other in enumerate(names2):
+                if mine[:, k].any() and (low != high or block <= other):
+                    found = np.union1d(ids[use[mine[:, k]]], ids2[(blocks2 == other) & theirs])
+                    yield from ((int(min(block, other)), int(max(block, other)), int(i)) for i in found)
+
+    def candidates(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for (ref, low, high), rows in _grouped(batches, ["ref", "low", "high"], ["id", "component", "coarse", "block", "n", "sig"]):
+            out = list(hits(rows, low, high))
+            if out:
+                arrays = [pa.array([ref] * len(out), pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int32(), pa.int64()), strict=True))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["ref", "low", "high", "id"])
+
+    return candidates
+
+
+def _block_links(spark: SparkSession, members: DataFrame, sets: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links between components among the members (``id``, ``ref``, ``component``) of one ``ref``.
 
-    The members of a ref are cut into blocks of about BLOCK, those of the ref's largest component
-    (which are linked already) apart from the others; every pair of blocks with others in it is a
-    group of its own, so no task gets a whole ref, and the members of the largest component
-    are never compared with each other. Only links that join components leave a task.
+    The members of a ref are cut into coarse blocks of about SIDE blocks of BLOCK, those of the ref's
+    largest component (which are linked already) apart from the others; every pair of coarse blocks with
+    others in it is a group of its own, so no task gets a whole ref, and the members of the largest
+    component are never compared with each other. There signatures (64 bytes each) are compared; a
+    full set is made and moved only for members that have a partner within the distance, in
+    another component and of a fitting size, and only to the pairs of blocks where it is. Only links that
+    join components leave a task.
     """
     sizes = members.groupBy("ref", "component").agg(F.count("*").alias("n"))
     refs = sizes.groupBy("ref").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("top")).filter("top.n < n")
-    parts = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    parts = lambda n: F.ceil(n / F.lit(BLOCK * SIDE)).cast("int")
     refs = refs.select("ref", F.col("top.component").alias("main"), parts(F.col("n") - F.col("top.n")).alias("few"), parts(F.col("top.n")).alias("many"))
-    rows = stored(spark, members.join(refs, "ref"), "neardup-blocks")
-    full = texts.join(rows.select("id").distinct(), "id").mapInArrow(_sets(width), "id long, shingles binary")
     main = F.col("component") == F.col("main")
     hashed = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    cut = rows.join(full, "id").withColumn("block", F.when(main, F.col("few") + hashed(F.col("many"))).otherwise(hashed(F.col("few"))))
+    cut = members.join(refs, "ref").join(sets.select(F.col("set_id").alias("id"), F.col("n_shingles").alias("n"), "sig"), "id")
+    cut = cut.withColumn("coarse", F.when(main, F.col("few") + hashed(F.col("many"))).otherwise(hashed(F.col("few"))))
+    cut = cut.withColumn("block", F.col("coarse") * SIDE + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(SIDE)).cast("int"))
     last = F.when(main, F.col("few")).otherwise(F.col("few") + F.col("many")) - 1
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
-    cut = cut.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-    cut = cut.select("ref", "low", "high", "id", "component", "block", "shingles")
+    cut = stored(spark, cut.withColumn("last", last).drop("main", "few", "many"), "neardup-blocks")
+    spread = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    spread = spread.withColumns({"low": F.least("coarse", "other"), "high": F.greatest("coarse", "other")})
+    spread = spread.select("ref", "low", "high", "id", "component", "coarse", "block", "n", "sig")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = ["ref", "low", "high"]
-    return stored(spark, cut.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_blocks(percent), "a long, b long"), "neardup-links")
+    near = spread.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_candidates(percent), "ref long, low int, high int, id long")
+    near = stored(spark, near, "neardup-candidates")
+    full = texts.join(near.select("id").distinct(), "id").mapInArrow(_sets(width), "id long, shingles binary")
+    met = near.join(cut.select("id", "component", "block"), "id").join(full, "id")
+    met = met.select(*group, "id", "component", "block", "shingles")
+    return stored(spark, met.repartition(n, *group).sortWithinPartitions(*group).mapInArrow(_blocks(percent), "a long, b long"), "neardup-links")
 
 
 def near_duplicates(
@@ -296,7 +348,7 @@ def _near_duplicates(spark: SparkSession, docs: DataFrame, percent: int, width:
     # around one leader, in blocks; what meets in a key but has different leaders, pair by pair
     members = open_.groupBy("id").agg(F.max("lead")["id"].alias("ref"), F.first("component").alias("component"))
     members = stored(spark, members, "neardup-members")
-    blocks = _block_links(spark, members, known_texts, percent, width)
+    blocks = _block_links(spark, members, sets, known_texts, percent, width)
     placed = open_.join(members.select("id", "ref"), "id")
     # a key of many members is dealt to several tasks: one side in parts, the other once for each part
     crowds = placed.groupBy("key").agg(F.count("*").alias("k"), F.min("ref").alias("x"), F.max("ref").alias("y")).filter("x <> y")
