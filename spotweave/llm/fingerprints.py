@@ -1,7 +1,7 @@
 """Canonical exact digests of documents.
 
-A text is decomposed (Unicode canonical decomposition, NFD), lower-cased and its whitespace folded; two
-64-bit xxhashes of the outcome name a bucket, and bytes are compared inside each bucket, so that
+A text is decomposed (Unicode canonical decomposition, NFD), its case folded (full folding, so that
+``STRASSE`` is ``straße``) and its whitespace folded; two 64-bit xxhashes of the outcome name a bucket, and bytes are compared inside each bucket, so that
 texts share a fingerprint exactly if they have the same canonical form.
 """
 
@@ -116,13 +116,40 @@ def decomposed(text: Column) -> Column:
     return _held(step, ordered)
 
 
+@functools.cache
+def _foldings() -> list[tuple[int, list]]:
+    """From Unicode data: full case foldings, decomposed, of code points beyond ASCII; those that only lower-casing changes stay themselves."""
+    points = (chr(p) for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF)
+    return _tables({ord(c): unicodedata.normalize("NFD", c.casefold()) for c in points if c.casefold() != c or c.lower() != c})
+
+
+@functools.cache
+def _unknown() -> list[int]:
+    return [p for p in range(0x80, sys.maxunicode + 1) if unicodedata.category(chr(p)) == "Cn"]
+
+
+def case_folded(text: Column) -> Column:
+    """Full case folding of a decomposed text, decomposed again.
+
+    Beyond ASCII a table is asked, for lower-casing depends on what stands around (final sigma) and leaves
+    ``ß`` and ``ſ``. Texts with none of its code points are lower-cased as they are. Code points that the table's
+    Unicode data don't know stay, whatever those of the JVM say.
+    """
+    some = _class([first + k for first, held in _foldings() for k, x in enumerate(held) if x] + _unknown())
+    pieces = F.regexp_extract_all(text, F.lit(f"[{some}]|[^{some}]+"), F.lit(0))
+    alone = lambda c: F.when((F.length(c) == 1) & (F.ascii(c) >= 0x80), c)
+    whole = F.array_join(F.transform(pieces, lambda c: F.coalesce(_looked_up(c, _foldings(), "string"), alone(c), F.lower(c))), "")
+    return F.when(text.rlike(f"[{some}]"), whole).otherwise(F.lower(text))
+
+
 def canonical(text: Column) -> Column:
-    """Decomposed, lower-cased, each run of whitespace one space, none at the ends.
+    """Decomposed, case-folded, each run of whitespace one space, none at the ends.
 
     What is rare is asked for first: nothing decomposes below U+00C0, and most texts have no
-    whitespace but single spaces and line breaks.
+    whitespace but single spaces and line breaks. A very long text is one value, handled as a whole.
     """
-    plain = F.lower(F.when(text.rlike(r"[\x{C0}-\x{10FFFF}]"), decomposed(text)).otherwise(text))
+    wide = _held(decomposed(text), case_folded)
+    plain = F.when(text.rlike(r"[\x{B5}\x{C0}-\x{10FFFF}]"), wide).otherwise(F.lower(text))
     for c in "\n\t\r":
         plain = F.replace(plain, F.lit(c), F.lit(" "))
     odd = r"[\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -184,29 +211,53 @@ def fingerprints(spark: SparkSession, docs: DataFrame, text_col: str = "text") -
     return fingerprint_of(hashed, "_hash", F.col("_text"), clash, "fingerprint").select("_row.*", "fingerprint")
 
 
-#: Equal parts into which the span of ids is cut, and rows that a range of them should hold.
+#: Parts into which the span of ids is cut at first and the most ranges there are, and rows that a range of them should hold.
 CELLS, RANGE = 1 << 16, 5_000
 
 
+def cells(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with ``_cell``, parts of the span of ``_id`` (-1: null), and how many rows a range should hold.
+
+    The span is cut into equal parts, which are counted. A part that holds more than two ranges' rows and
+    several ids is cut again between its own least and greatest id, until there is none, so outlying ids
+    crowd nothing. Ranges are as many as RANGE asks for, CELLS at most (beyond, they grow); so fewer than
+    CELLS / 2 parts are cut again, and their bounds are what the driver holds.
+    """
+    kind = rows.schema["_id"].dataType
+    ends = rows.agg(F.min("_id").alias("low"), F.max("_id").alias("high"), F.count("*").alias("n")).first()
+    low, high = float(ends["low"] or 0), float(ends["high"] or 0)
+    want = max(RANGE, -(-ends["n"] // CELLS))
+    cell = F.floor((F.col("_id").cast("double") - F.lit(low)) / F.lit(max(high - low, 1e-300) / (CELLS - 1))).cast("long")
+    named, base = rows.withColumn("_cell", F.coalesce(cell, F.lit(-1))), CELLS + 1
+    while True:
+        full = named.groupBy("_cell").agg(F.count("*").alias("n"), F.min("_id").alias("low"), F.max("_id").alias("high"))
+        full = full.filter((F.col("n") > 2 * want) & (F.col("low") < F.col("high"))).collect()
+        if not full:
+            return named, want
+        cuts = []
+        for r in full:
+            parts = 16 + 4 * r["n"] // want
+            cuts.append((r["_cell"], r["low"], float(r["high"] - r["low"]) / (parts - 1), base))
+            base += parts + 1
+        bounds = rows.sparkSession.createDataFrame(cuts, f"_cell long, _low {kind.simpleString()}, _width double, _base long")
+        inner = F.col("_base") + F.floor((F.col("_id") - F.col("_low")) / F.col("_width")).cast("long")
+        named = named.join(F.broadcast(bounds), "_cell", "left").withColumn("_cell", F.coalesce(inner, "_cell")).drop("_low", "_width", "_base")
+
+
 def with_next(rows: DataFrame, also: list[str]) -> DataFrame:
     """``rows`` (``_id``, ``_text``) with ``_next``: the text of the row with the next lower id; after the last, the first.
 
     For each column of ``also``, ``_next_<name>`` is that row's. The span of ids is cut into
-    CELLS parts, counted, and neighbouring parts are joined to ranges of about RANGE rows
-    (a part is never cut; the table of parts has CELLS + 1 rows at most). The first row of a range is
-    also dealt, as a guest, to the range before it, so texts move once and a window over each
-    range finds what follows. Rows with equal ids follow each other by text, greatest first;
+    parts (``cells``), and neighbouring parts are joined to ranges (a part is never cut). The first row of a
+    range is also dealt, as a guest, to the range before it, so texts move once and a window over each
+    range finds what follows. Rows with equal ids follow each other by text, greatest first, in one range;
     null ids come last.
     """
-    ends = rows.agg(F.min("_id").alias("low"), F.max("_id").alias("high")).first()
-    low = ends["low"] or 0
-    width = max(1, -(-((ends["high"] or 0) - low + 1) // CELLS))
-    cell = F.coalesce(F.floor((F.col("_id").cast("double") - F.lit(float(low))) / F.lit(float(width))).cast("long"), F.lit(-1))
-    named = rows.withColumn("_cell", cell)
+    named, want = cells(rows)
     parts = named.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_id").alias("top"))
-    falling = Window.orderBy(F.col("_cell").desc())
-    parts = parts.withColumn("_range", F.floor((F.sum("n").over(falling) - F.col("n")) / RANGE).cast("long"))
-    heads = parts.groupBy("_range").agg(F.max_by("top", "_cell").alias("_head"))
+    falling = Window.orderBy(F.col("top").desc_nulls_last())
+    parts = parts.withColumn("_range", F.floor((F.sum("n").over(falling) - F.col("n")) / want).cast("long"))
+    heads = parts.groupBy("_range").agg(F.max("top").alias("_head"))
     last = F.max("_range").over(Window.partitionBy())
     heads = heads.select("_range", "_head", F.coalesce(F.lag("_range").over(Window.orderBy("_range")), last).alias("_before"))
     placed = named.join(F.broadcast(parts.join(heads, "_range").select("_cell", "_range", "_head", "_before")), "_cell")

@@ -169,6 +169,40 @@ def test_near_duplicates(spark, docs, none):
     assert neardup.near_duplicates(spark, none).count() == 0
 
 
+def test_near_duplicates_around_a_header(spark, monkeypatch):
+    """Many documents meet around one leader; signatures are compared in blocks, sets only where they are near."""
+    monkeypatch.setattr(neardup, "BLOCK", 5)
+    monkeypatch.setattr(neardup, "SIDE", 2)
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    header, rows = list(rng.choice(vocabulary, 100)), []
+    for k in range(60):
+        body = list(rng.choice(vocabulary, 60))
+        rows.append((3 * k, " ".join(header + body)))
+        for j in range(k % 3):
+            body = list(body)
+            body[int(rng.integers(60))] = "changed"
+            rows.append((3 * k + j + 1, " ".join(header + body)))
+    sets = {i: frozenset(zip(*[t.split()[k:] for k in range(5)])) for i, t in rows}
+    label = {i: i for i in sets}
+
+    def find(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for i, a in sets.items():
+        for j, b in sets.items():
+            if i < j and 100 * len(a & b) >= 85 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                label[y] = x
+    met, whole = [], neardup._block_links
+    monkeypatch.setattr(neardup, "_block_links", lambda spark, members, *rest: met.append(members.count()) or whole(spark, members, *rest))
+    got = neardup.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: find(i) for i in sets}
+    assert met[0] > 20
+
+
 def test_chunk_keys_find_every_pair_within_distance():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 16, neardup.SYMBOLS).astype(np.uint16)
@@ -266,7 +300,7 @@ def test_fingerprints_are_classes_of_canonical_texts(spark, docs, monkeypatch):
     from unicodedata import normalize
 
     def canon(t):
-        return re.sub(r"[\s\x1c-\x1f]+", " ", normalize("NFD", t).lower()).strip(" ")
+        return re.sub(r"[\s\x1c-\x1f]+", " ", normalize("NFD", normalize("NFD", t).casefold())).strip(" ")
 
     rows = sorted(((i, t or "") for i, t, *_ in corpus()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]), reverse=True)
     want = Counter()
@@ -324,6 +358,32 @@ def test_decomposition_equals_unicodedata(spark):
     assert found.groupBy("doc_id").agg(F.countDistinct("fingerprint").alias("n")).filter("n > 1").count() == 0
 
 
+def test_canonical_equals_full_case_folding(spark):
+    from unicodedata import normalize
+
+    points = [chr(p) for p in range(1, 0x110000) if not 0xD800 <= p <= 0xDFFF and not re.match(r"[\s\x1c-\x1f]", chr(p))]
+    texts = ["x".join(points[k : k + 4096]) for k in range(0, len(points), 4096)]
+    texts += ["STRASSE straße STRAẞE", "ΣΑΣ ΟΔΟΣ. ς", "ſs ﬁn İI \u0131", "ᾳ\u0301 ΑΙ\u0301", "Ꭰꭰ \u00b5", "É" * 9]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", fingerprints.canonical(F.col("t")).alias("c")).collect()
+    assert all(r["c"] == normalize("NFD", normalize("NFD", texts[r["i"]]).casefold()) for r in rows)
+    pairs = spark.createDataFrame([(1, "STRASSE"), (1, "straße"), (2, "ſs"), (2, "SS")], "doc_id int, text string")
+    assert fingerprints.fingerprints(spark, pairs).groupBy("doc_id").agg(F.countDistinct("fingerprint").alias("n")).filter("n > 1").count() == 0
+
+
+def test_outlying_ids_crowd_no_range(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE", 100)
+    for kind, far in (("long", 1 << 60), ("long", -(1 << 62)), ("int", 1 << 30), ("double", 1e300)):
+        ids = spark.range(5000).select(F.col("id").cast(kind).alias("_id")).union(spark.sql(f"select cast({far} as {kind}) union all select cast({far // 2} as {kind}) union all select null"))
+        rows = ids.select("_id", F.col("_id").cast("string").alias("_text"))
+        named, want = fingerprints.cells(rows)
+        sizes = named.groupBy("_cell").agg(F.count("*").alias("n"), F.countDistinct("_id").alias("k")).filter("k > 1").agg(F.max("n")).first()[0]
+        assert want == 100 and sizes <= 200
+        got = {r["_id"]: r["_next"] for r in fingerprints.with_next(rows, []).collect()}
+        order = sorted((r["_id"] for r in rows.collect() if r["_id"] is not None), reverse=True) + [None]
+        text = {r["_id"]: r["_text"] for r in rows.collect()}
+        assert all(got[a] == text[b] for a, b in zip(order, order[1:] + order[:1]))
+
+
 def test_bucket_clash_is_told_by_bytes(spark):
     rows = spark.createDataFrame([("h", "a"), ("h", "b"), ("h", "b"), ("i", "c")], "_hash string, _canon string")
     clash = fingerprints.buckets(spark, rows)
