@@ -216,9 +216,9 @@ def _pct(a: str, b: str) -> str:
 
 _METRICS = f"""counts AS (SELECT (SELECT count(*) FROM read_pairs) AS total_reads, count(*) AS pass_filter, count(x) AS mapped,
  count(*) FILTER (match_kind = 'exact') AS exact, count(*) FILTER (match_kind IN ('mis1','mis2')) AS mismatched, count(*) FILTER (match_kind = 'n') AS with_n,
- count(*) FILTER (umi_fail = 'n') AS umi_n, count(*) FILTER (umi_fail = 'poly_a') AS umi_poly_a, count(*) FILTER (umi_fail = 'low_quality') AS umi_low_quality
+ count(*) FILTER (umi_fail = 'n') AS umi_n, count(*) FILTER (umi_fail = 'poly_a') AS umi_poly_a, count(*) FILTER (umi_fail = 'low_quality') AS umi_low_quality, count(umi_fail) AS umi_filtered
  FROM mapped WHERE position('{FIXED}' IN seq1) = 0 AND position('CTGAGAGGCA' IN seq1) = 0)"""
-_PCTS = ", ".join(f"{_pct(c, 'pass_filter')} AS {c}_pct" for c in ("mapped", "exact", "mismatched", "with_n", "umi_n", "umi_poly_a", "umi_low_quality"))
+_PCTS = ", ".join(f"{_pct(c, 'pass_filter')} AS {c}_pct" for c in ("mapped", "exact", "mismatched", "with_n", "umi_filtered", "umi_n", "umi_poly_a", "umi_low_quality"))
 
 
 @query(_mapped_sql(2).rstrip() + ",\n" + _METRICS + f"\nSELECT *, total_reads - pass_filter AS fixed_filtered, {_pct('(total_reads - pass_filter)', 'total_reads')} AS fixed_pct, {_PCTS} FROM counts")

@@ -168,20 +168,52 @@ def gem_raw_file(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="y long, x long, protein_index int, umi string, n long")
 
 
-_LINES = ["mapped", "exact", "mismatched", "with_n", "umi_n", "umi_poly_a", "umi_low_quality"]
-_LINE_SQL = " UNION ALL ".join(
-    [f"SELECT concat('{c}:', chr(9), {c}, chr(9), printf('%.2f%%', {C._pct(c, 'pass_filter')})) AS value FROM counts" for c in _LINES]
-    + [f"SELECT concat('{c}:', chr(9), {c}) AS value FROM counts" for c in ("total_reads", "pass_filter")]
-    + ["SELECT concat('fixed_filtered:', chr(9), total_reads - pass_filter) AS value FROM counts"]
-)
+def _line_sql(source: str, protein: bool = False) -> str:
+    """SQL of the lines of a metrics text from a one-row table of counters and bases."""
+
+    def line(name: str, count: str, whole: str | None = None) -> str:
+        pct = f"CASE WHEN {whole} > 0 THEN chr(9) || printf('%.2f%%', ((CAST({count} AS BIGINT) * 20000 + {whole}) // ({whole} * 2)) / 100.0) ELSE '' END" if whole else "''"
+        shown = "" if name.startswith("Q") else f", chr(9), {count}"
+        return f"SELECT concat('{name}:'{shown}, {pct}) AS value FROM {source}"
+
+    found = [line("total_reads", "total_reads"), line("fixed_sequence_contianing_reads", "total_reads - pass_filter", "total_reads"), line("pass_filter_reads", "pass_filter")]
+    names = {"mapped_reads": "mapped", "barcode_exactlyOverlap_reads": "exact", "barcode_misOverlap_reads": "mismatched", "barcode_withN_reads": "with_n"}
+    names |= {"umi_filter_reads": "umi_filtered", "umi_with_N_reads": "umi_n", "umi_with_polyA_reads": "umi_poly_a", "umi_with_low_quality_base_reads": "umi_low_quality"}
+    found += [line(n, c, "pass_filter") for n, c in names.items()]
+    bases = {"barcode": ("barcode", "(pass_filter * 25)"), "umi": ("umi", "(mapped * 10)")} | ({"reads": ("protein", "(mapped * 15)")} if protein else {})
+    found += [line(f"{q.upper()}_bases_in_{n}", f"{c}_{q}", whole) for n, (c, whole) in bases.items() for q in R.QUALITY]
+    if protein:
+        found.append(line("mapped_proteinBarcode_reads", "protein", "(mapped - umi_filtered)"))
+    return " UNION ALL ".join(found).replace("total_reads - pass_filter", "(total_reads - pass_filter)")
+
+
+_PASSED = f"position('{C.FIXED}' IN seq1) = 0 AND position('CTGAGAGGCA' IN seq1) = 0"
 
 
-@query(C._mapped_sql(1).rstrip() + ",\n" + C._METRICS + "\n" + _LINE_SQL)
+@query(C._mapped_sql(1).rstrip() + ",\n" + C._METRICS + f",\nq AS (SELECT {C._SUMS} FROM mapped WHERE {_PASSED}), report AS (SELECT * FROM counts, q)\n" + _line_sql("report"))
 def metrics_file(spark: SparkSession, d: str) -> DataFrame:
-    """Counters and percentages of a run as text."""
+    """Counters, percentages and qualities of a run as text."""
     pairs, s, path = view(spark, d, "read_pairs"), C.spec(1, ((C.FIXED, -1),)), scratch(spark, "metrics")
-    row = mapping.run_metrics(pairs, mapping.map_pairs(pairs, C.index(spark, d), s))
-    tables.write_metrics(tables.metric_lines(row.drop("fixed_pct")), path)
+    row = mapping.run_report(pairs, mapping.map_pairs(pairs, C.index(spark, d), s), s)
+    tables.write_metrics(tables.report_lines(row), path)
+    return spark.read.text(path)
+
+
+_PROTEIN_ROWS = f"""cut AS (SELECT *, substr(seq1,1,25) AS barcode, substr(qual1,1,25) AS bar_qual, substr(seq1,26,10) AS umi, substr(qual1,26,10) AS umi_qual FROM protein_read_pairs),
+mapped AS (SELECT cut.*, s.x, CASE WHEN s.x IS NOT NULL THEN {C._FAIL} END AS umi_fail FROM cut LEFT JOIN spot_mask s ON cut.barcode = s.barcode)"""
+_PROTEIN_REPORT = f"""report AS (SELECT (SELECT count(*) FROM protein_read_pairs) AS total_reads, count(*) AS pass_filter, count(x) AS mapped, count(x) AS exact, 0 AS mismatched, 0 AS with_n,
+ count(umi_fail) AS umi_filtered, count(*) FILTER (umi_fail = 'n') AS umi_n, count(*) FILTER (umi_fail = 'poly_a') AS umi_poly_a, count(*) FILTER (umi_fail = 'low_quality') AS umi_low_quality,
+ {C._SUMS}, {", ".join(f"sum(CASE WHEN x IS NOT NULL AND umi_fail IS NULL THEN {C._count_ge('substr(qual2,1,15)', f)} ELSE 0 END) AS protein_{q}" for q, f in R.QUALITY.items())},
+ (SELECT count(*) FROM hits) AS protein FROM mapped)
+"""
+
+
+@query(_W(C._P, C._PR, C._HITS, _PROTEIN_ROWS, _PROTEIN_REPORT) + _line_sql("report", True))
+def protein_metrics_file(spark: SparkSession, d: str) -> DataFrame:
+    """The text of a run in protein mode."""
+    pairs, path = view(spark, d, "protein_read_pairs"), scratch(spark, "metrics")
+    mapped = mapping.map_pairs(pairs, view(spark, d, "spot_mask"), C.PROTEIN)
+    tables.write_metrics(tables.report_lines(protein.run_report(pairs, mapped, C._hits(spark, d), C.PROTEIN)), path)
     return spark.read.text(path)
 
 

@@ -90,8 +90,12 @@ def share(part: Column, whole: Column) -> Column:
 def run_counters(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
     """One row of counters. ``pairs`` are all pairs, ``mapped`` those past the fixed filter."""
     total = pairs.agg(F.count("*").alias("total_reads"))
+    return total.crossJoin(mapped.agg(*_counters()))  # one row each
+
+
+def _counters() -> list[Column]:
     kind = lambda *k: F.count_if(F.col("match_kind").isin(*k) & F.col("x").isNotNull())
-    counts = mapped.agg(
+    return [
         F.count("*").alias("pass_filter"),
         F.count_if(F.col("x").isNotNull()).alias("mapped"),
         kind("exact").alias("exact"),
@@ -100,18 +104,22 @@ def run_counters(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
         F.count_if(F.col("umi_fail") == "n").alias("umi_n"),
         F.count_if(F.col("umi_fail") == "poly_a").alias("umi_poly_a"),
         F.count_if(F.col("umi_fail") == "low_quality").alias("umi_low_quality"),
-    )
-    return total.crossJoin(counts)  # one row each
+    ]
 
 
 def with_percentages(counters: DataFrame) -> DataFrame:
-    """Counters with ``fixed_filtered`` and their percentages, of all reads or of those past the filter."""
-    row = counters.withColumn("fixed_filtered", F.col("total_reads") - F.col("pass_filter"))
-    passed = ("mapped", "exact", "mismatched", "with_n", "umi_n", "umi_poly_a", "umi_low_quality")
+    """Counters with ``fixed_filtered``, ``umi_filtered`` (all failing identifiers) and their percentages, of all reads or of those past the filter."""
+    row = _summed(counters)
+    passed = ("mapped", "exact", "mismatched", "with_n", "umi_filtered", "umi_n", "umi_poly_a", "umi_low_quality")
     shares = {f"{c}_pct": share(F.col(c), F.col("pass_filter")) for c in passed}
     return row.withColumns({"fixed_pct": share(F.col("fixed_filtered"), F.col("total_reads")), **shares})
 
 
+def _summed(counters: DataFrame) -> DataFrame:
+    failed = F.col("umi_n") + F.col("umi_poly_a") + F.col("umi_low_quality")
+    return counters.withColumns({"fixed_filtered": F.col("total_reads") - F.col("pass_filter"), "umi_filtered": failed})
+
+
 def run_metrics(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
     """One row of counters and percentages. ``pairs`` are all pairs, ``mapped`` those past the fixed filter."""
     return with_percentages(run_counters(pairs, mapped))
@@ -119,14 +127,30 @@ def run_metrics(pairs: DataFrame, mapped: DataFrame) -> DataFrame:
 
 def quality_metrics(mapped: DataFrame, spec: RunSpec) -> DataFrame:
     """One row: percent of bases of quality 10, 20, 30 in barcodes (of pairs past the filter) and identifiers (of mapped pairs)."""
-    hit = F.col("x").isNotNull()
+    sums = _quality_sums()
+    row = mapped.agg(F.count("*").alias("reads"), F.count_if(F.col("x").isNotNull()).alias("mapped"), *[v.alias(k) for k, v in sums.items()])
+    bases = {"barcode": F.col("reads") * spec.barcode.length, "umi": F.col("mapped") * max(spec.umi.length, 0)}
+    return row.select("reads", "mapped", *[x for k in sums for x in (k, share(F.col(k), bases[k.split("_")[0]]).alias(f"{k}_pct"))])
+
+
+def _quality_sums() -> dict[str, Column]:
     sums = {}
     for q, first in R.QUALITY.items():
         sums[f"barcode_{q}"] = F.coalesce(F.sum(R.at_least(F.col("bar_qual"), first)), F.lit(0))
-        sums[f"umi_{q}"] = F.coalesce(F.sum(F.when(hit, R.at_least(F.col("umi_qual"), first))), F.lit(0))
-    row = mapped.agg(F.count("*").alias("reads"), F.count_if(hit).alias("mapped"), *[v.alias(k) for k, v in sums.items()])
-    bases = {"barcode": F.col("reads") * spec.barcode.length, "umi": F.col("mapped") * max(spec.umi.length, 0)}
-    return row.select("reads", "mapped", *[x for k in sums for x in (k, share(F.col(k), bases[k.split("_")[0]]).alias(f"{k}_pct"))])
+        sums[f"umi_{q}"] = F.coalesce(F.sum(F.when(F.col("x").isNotNull(), R.at_least(F.col("umi_qual"), first))), F.lit(0))
+    return sums
+
+
+def run_report(pairs: DataFrame, mapped: DataFrame, spec: RunSpec, *more: Column) -> DataFrame:
+    """One row of all that the text of a run's metrics needs: counters and the bases of each quality.
+
+    ``mapped`` is read once, ``more`` are further aggregates of it. ``barcode_bases`` and ``umi_bases`` are what
+    percentages of qualities refer to.
+    """
+    counted = mapped.agg(*_counters(), *[v.alias(k) for k, v in _quality_sums().items()], *more)
+    row = _summed(pairs.agg(F.count("*").alias("total_reads")).crossJoin(counted))  # one row each
+    bases = {"barcode_bases": F.col("pass_filter") * spec.barcode.length, "umi_bases": F.col("mapped") * max(spec.umi.length, 0)}
+    return row.withColumns(bases)
 
 
 def _held(value: Column, use) -> Column:

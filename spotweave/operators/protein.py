@@ -140,9 +140,17 @@ def protein_metrics(hits: DataFrame, mapped: DataFrame) -> DataFrame:
 
 def protein_quality(hits: DataFrame, mapped: DataFrame, spec: ProteinSpec) -> DataFrame:
     """One row: quality percentages of protein barcodes of passing pairs, over the bases of mapped pairs."""
-    cut = F.substring("qual2", spec.start + 1, spec.length)
-    row = mapped.agg(
-        F.count_if(F.col("x").isNotNull()).alias("mapped"),
-        *[F.coalesce(F.sum(F.when(F.col("passed"), R.at_least(cut, q))), F.lit(0)).alias(f"protein_{k}") for k, q in R.QUALITY.items()],
-    )
+    row = mapped.agg(F.count_if(F.col("x").isNotNull()).alias("mapped"), *_quality_sums(spec))
     return row.select("*", *[mapping.share(F.col(f"protein_{k}"), F.col("mapped") * spec.length).alias(f"protein_{k}_pct") for k in R.QUALITY])
+
+
+def _quality_sums(spec: ProteinSpec) -> list[Column]:
+    cut = F.substring("qual2", spec.start + 1, spec.length)
+    return [F.coalesce(F.sum(F.when(F.col("passed"), R.at_least(cut, q))), F.lit(0)).alias(f"protein_{k}") for k, q in R.QUALITY.items()]
+
+
+def run_report(pairs: DataFrame, mapped: DataFrame, hits: DataFrame, spec: RunSpec) -> DataFrame:
+    """``mapping.run_report`` of protein mode, with the pairs that have a protein and the bases of protein barcodes."""
+    row = mapping.run_report(pairs, mapped, spec, *_quality_sums(spec.protein))
+    row = row.crossJoin(hits.agg(F.count("*").alias("protein")))  # one row each
+    return row.withColumns({"protein_bases": F.col("mapped") * spec.protein.length, "protein_of": F.col("mapped") - F.col("umi_filtered")})

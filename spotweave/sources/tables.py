@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spotweave.functions import reads as R
 from spotweave.functions import sequence
 
 
@@ -87,6 +88,50 @@ def metric_lines(row: DataFrame) -> DataFrame:
     return row.select(F.explode(F.array(*lines)).alias("m")).select("m.*")
 
 
+#: Lines of a run's metrics text in order: name, count, and what its percent refers to.
+_READS = (
+    ("total_reads", "total_reads", None),
+    ("fixed_sequence_contianing_reads", "fixed_filtered", "total_reads"),
+    ("pass_filter_reads", "pass_filter", None),
+    ("mapped_reads", "mapped", "pass_filter"),
+    ("barcode_exactlyOverlap_reads", "exact", "pass_filter"),
+    ("barcode_misOverlap_reads", "mismatched", "pass_filter"),
+    ("barcode_withN_reads", "with_n", "pass_filter"),
+)
+_IDENTIFIERS = (
+    ("umi_filter_reads", "umi_filtered", "pass_filter"),
+    ("umi_with_N_reads", "umi_n", "pass_filter"),
+    ("umi_with_polyA_reads", "umi_poly_a", "pass_filter"),
+    ("umi_with_low_quality_base_reads", "umi_low_quality", "pass_filter"),
+)
+_PROTEIN = ("mapped_proteinBarcode_reads", "protein", "protein_of")
+_BASES = {"barcode": "barcode", "umi": "umi", "protein": "reads"}
+
+
+def report_lines(row: DataFrame) -> DataFrame:
+    """The row of ``run_report`` (of either mode) as ``metric``, ``value``, ``pct``, in the order of the text.
+
+    Lines of qualities have a percent only. Percentages have two decimals, computed in whole numbers (halves go
+    up); of nothing there is none.
+    """
+
+    def percent(part: str, whole: str):
+        return F.when(F.col(whole) > 0, F.expr(f"({part} * 20000 + {whole}) div ({whole} * 2)")) / 100
+
+    def line(name: str, count: str, whole: str | None):
+        return name, F.col(count), percent(count, whole) if whole else F.lit(None)
+
+    protein = "protein" in row.columns
+    qualities = [
+        (f"{q.upper()}_bases_in_{_BASES[c]}", F.lit(None), percent(f"{c}_{q}", f"{c}_bases"))
+        for c in (_BASES if protein else ("barcode", "umi"))
+        for q in R.QUALITY
+    ]
+    lines = [*[line(*x) for x in _READS], *qualities, *[line(*x) for x in (*_IDENTIFIERS, *([_PROTEIN] if protein else []))]]
+    parts = [F.struct(F.lit(m).alias("metric"), v.cast("long").alias("value"), p.cast("double").alias("pct")) for m, v, p in lines]
+    return row.select(F.explode(F.array(*parts)).alias("m")).select("m.*")
+
+
 def write_metrics(rows: DataFrame, path: str) -> None:
     """``metric:``, value and, where there is one, percent with two decimals, tab-separated."""
     parts = [F.concat("metric", F.lit(":")), F.col("value").cast("string")]

@@ -267,6 +267,33 @@ def test_streams_equal_batch(spark, tmp_path):
     assert Counter(map(tuple, spark.table("spots").collect())) == Counter(map(tuple, mapping.position_counts(want).collect()))
 
 
+def test_metric_text(spark, tmp_path):
+    """All lines of both modes in order, from counts that a plain loop makes; halves go up; of nothing there is no percent."""
+    pair = lambda k, bar, quality, umi, second: (k, f"@r{k}", bar + umi, quality * 35, second, "I" * 15)
+    bar, other, lost = "ACGTA" * 5, "CCGTA" * 5, "GGGGG" * 5
+    rows = [pair(k, bar, "I", "ACGTACGTAC", "ACGTACGTACGTACG") for k in range(5)]
+    rows += [pair(5, bar[:-1] + "C", "5", "ACGTNCGTAC", "T" * 15), pair(6, bar, "+", "A" * 10, "T" * 15), pair(7, lost, "!", "ACGTACGTAC", "T" * 15)]
+    pairs = spark.createDataFrame(rows, "read_id long, name string, seq1 string, qual1 string, seq2 string, qual2 string")
+    mask = spark.createDataFrame([(bar, 1, 2, 0, 0), (other, 3, 4, 0, 1)], "barcode string, x long, y long, src int, rec_no long")
+    proteins = spark.createDataFrame([(1, "ACGTACGTACGTACG", "p")], "protein_index int, barcode string, protein_name string")
+    spec = config.RunSpec(barcode=config.BarcodeSpec(mismatch=1), protein=config.ProteinSpec(mismatch=0))
+    mapped = mapping.map_pairs(pairs, mask, spec)
+    hits = protein.protein_reads(pairs, mask, proteins, spec)
+    tables.write_metrics(tables.report_lines(protein.run_report(pairs, mapped, hits, spec)), str(tmp_path / "m"))
+    want = """total_reads:\t8|fixed_sequence_contianing_reads:\t0\t0.00%|pass_filter_reads:\t8|mapped_reads:\t7\t87.50%
+barcode_exactlyOverlap_reads:\t6\t75.00%|barcode_misOverlap_reads:\t1\t12.50%|barcode_withN_reads:\t0\t0.00%
+Q10_bases_in_barcode:\t87.50%|Q20_bases_in_barcode:\t75.00%|Q30_bases_in_barcode:\t62.50%
+Q10_bases_in_umi:\t100.00%|Q20_bases_in_umi:\t85.71%|Q30_bases_in_umi:\t71.43%
+Q10_bases_in_reads:\t71.43%|Q20_bases_in_reads:\t71.43%|Q30_bases_in_reads:\t71.43%
+umi_filter_reads:\t2\t25.00%|umi_with_N_reads:\t1\t12.50%|umi_with_polyA_reads:\t1\t12.50%
+umi_with_low_quality_base_reads:\t0\t0.00%|mapped_proteinBarcode_reads:\t5\t100.00%"""
+    want = want.replace("\n", "|").split("|")
+    assert [r[0] for r in spark.read.text(str(tmp_path / "m")).collect()] == want
+    nothing = pairs.limit(0)
+    empty = mapping.run_report(nothing, mapping.map_pairs(nothing, mask, spec), spec)
+    assert {r["pct"] for r in tables.report_lines(empty).collect()} == {None}
+
+
 def test_queries_equal_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()

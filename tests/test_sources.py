@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from spotweave.sources import fastq, fastq_bytes, mask_binary, tables
+from spotweave.sources import checks, fastq, fastq_bytes, mask_binary, tables
 from spotweave.sources.store import listed
 
 
@@ -172,3 +172,22 @@ def test_order_of_masks_in_several_files(spark, tmp_path):
             spark.conf.set(k, v)
     want = [("AAAC", 1), ("CCCC", 5), *[(f"GG{k:04}", k) for k in range(3000)], ("AAAC", 2), ("CCCC", 6)]
     assert [(r.barcode, r.x) for r in found] == want and [(r.src, r.rec_no) for r in found] == [*[(0, k) for k in range(3003)], (1, 0)]
+
+
+def test_jobs_are_checked_before_they_are_planned(tmp_path):
+    a, b, mask, out = (str(tmp_path / n) for n in ("a.fq", "b.fq", "mask.tsv", "out"))
+    for path in (a, b, mask):
+        open(path, "w").close()
+    assert checks.check_mapping(f"{a},{b}", f"{b}, {a}", mask, [out]) == [(a, b), (b, a)]
+    checks.check_job([str(tmp_path), str(tmp_path / "*.fq")], [out])
+    with pytest.raises(ValueError, match="2 lanes of first reads, 1 of second reads"):
+        checks.check_mapping(f"{a},{b}", b, mask, [out])
+    with pytest.raises(ValueError, match="no input given"):
+        checks.check_mapping("", "", mask, [out])
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError) as e:
+        checks.check_job([a, "", f"{tmp_path}/gone.fq", f"{tmp_path}/empty"], [out, out + "/", a])
+    for part in ("input 2 has no name", "no such path", "no files in", "output named 2 times", "output is an input"):
+        assert part in str(e.value)
+    with pytest.raises(ValueError, match="no output given"):
+        checks.check_job([a], [])
