@@ -62,6 +62,8 @@ class MaskIndex:
             return resolve.resolve(barcodes, self.dictionary(), spec)
         place = f"{self.path}/resolved-{spec.mismatch}"
         schema = "barcode string, match_kind string, bc long, x long, y long"
+        # read again below: whoever called may read the result later
+        barcodes = stored(self.spark, barcodes.select("barcode").filter("barcode is not null"), "resolve-barcodes", "lz4")
         try:
             known = self.spark.read.schema(schema).parquet(place)
             unseen = barcodes.join(known, "barcode", "left_anti")
@@ -70,7 +72,8 @@ class MaskIndex:
                 raise
             unseen = barcodes
         with intermediates(self.spark):
-            unseen = stored(self.spark, unseen.select("barcode").filter("barcode is not null"), "resolve-unseen", "lz4")
+            if unseen is not barcodes:
+                unseen = stored(self.spark, unseen, "resolve-unseen", "lz4")
             if unseen.limit(1).count():
                 found = resolve.resolve(unseen, self.dictionary(), spec, cut=self.cut)
                 unseen.join(found, "barcode", "left").select("barcode", "match_kind", "bc", "x", "y").write.mode("append").parquet(place)

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,17 +49,25 @@ def exact(codes: DataFrame, dictionary: DataFrame) -> DataFrame:
     return hits.select("barcode", F.lit("exact").alias("match_kind"), "bc", "x", "y")
 
 
-#: Mask rows from which the neighbours of a barcode are fewer than the mask rows that share a piece with it.
-LARGE_MASK = 50_000_000
+#: Comparisons of two codes that take as long as one row of a shuffle.
+ROW_WORK = 20
 #: Mask rows with one piece that are met in a task.
 CROWD = 20_000
 
 
+def block_masks(length: int, distance: int, scheme: str, blocks: int) -> list[int]:
+    """Bit masks of all sets of ``blocks`` - ``distance`` blocks of a code; within the distance one of the sets agrees.
+
+    Blocks are runs of bases or every so manieth base. More blocks make more sets, each of more bases.
+    """
+    place = {"runs": lambda i: i * blocks // length, "strides": lambda i: i % blocks}[scheme]
+    single = [sum(3 << 2 * i for i in range(length) if place(i) == k) for k in range(blocks)]
+    return [sum(kept) for kept in combinations(single, blocks - distance)]
+
+
 def piece_masks(length: int, distance: int, scheme: str) -> list[int]:
-    """Bit masks that cut a code into ``distance`` + 1 pieces, runs of bases or every so manieth base; one of them agrees within the distance."""
-    n = distance + 1
-    place = {"runs": lambda i: i * n // length, "strides": lambda i: i % n}[scheme]
-    return [sum(3 << 2 * i for i in range(length) if place(i) == k) for k in range(n)]
+    """Bit masks that cut a code into ``distance`` + 1 pieces, one of which agrees within the distance."""
+    return block_masks(length, distance, scheme, distance + 1)
 
 
 def _pieces(code: str, masks: list[int]) -> Column:
@@ -71,64 +82,63 @@ class Cut:
     crowds: DataFrame
 
 
-def measured(spark: SparkSession, dictionary: DataFrame, length: int, distance: int) -> Cut:
-    """The cut whose pieces are shared least in this dictionary: the sum of squared frequencies is the work of a join.
+def measured(spark: SparkSession, dictionary: DataFrame, length: int, distance: int, blocks: int | None = None) -> Cut:
+    """The cut that takes the least work in this dictionary: the rows to shuffle, and the codes that share a piece.
 
+    It begins with ``distance`` + 1 pieces (or ``blocks``), in the scheme whose pieces are shared least. While a code would meet more others than
+    the rows of one more block are worth, there is one more block, so in a mask of any size few codes meet.
     Pieces of more than CROWD rows are to be dealt to several tasks. Frequencies are counted by Spark, over the whole dictionary.
     """
-    schemes = ["runs", "strides"]
-    parts = [dictionary.select(F.lit(k).alias("scheme"), _pieces("bc", piece_masks(length, distance, x)).alias("part", "value")) for k, x in enumerate(schemes)]
-    counts = parts[0].union(parts[1]).groupBy("scheme", "part", "value").agg(F.count("*").cast("double").alias("n"))
-    counts = stored(spark, counts, "piece-counts")
-    work = {r["scheme"]: r["w"] for r in counts.groupBy("scheme").agg(F.sum(F.col("n") * F.col("n")).alias("w")).collect()}
-    best = min(work, key=work.get, default=0)
+    schemes, blocks, rows = ["runs", "strides"], blocks or distance + 1, dictionary.count()
+    while True:
+        cuts = [block_masks(length, distance, x, blocks) for x in schemes]
+        parts = [dictionary.select(F.lit(k).alias("scheme"), _pieces("bc", x).alias("part", "value")) for k, x in enumerate(cuts)]
+        counts = reduce(DataFrame.union, parts).groupBy("scheme", "part", "value").agg(F.count("*").cast("double").alias("n"))
+        counts = stored(spark, counts.filter("n > 1"), "piece-counts")
+        met = {r["scheme"]: r["w"] / rows for r in counts.groupBy("scheme").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("w")).collect()}
+        best = min(range(len(schemes)), key=lambda k: met.get(k, 0))
+        if blocks == length or met.get(best, 0) <= ROW_WORK * (comb(blocks + 1, distance) - comb(blocks, distance)):
+            break
+        schemes, blocks = [schemes[best]], blocks + 1
     crowds = counts.filter((F.col("scheme") == best) & (F.col("n") > CROWD)).select("part", "value", F.ceil(F.col("n") / CROWD).cast("int").alias("deals"))
-    return Cut(piece_masks(length, distance, schemes[best]), stored(spark, crowds, "piece-crowds"))
+    return Cut(cuts[best], stored(spark, crowds, "piece-crowds"))
 
 
-def nearest(spark: SparkSession, codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int, plan: str, cut: Callable[[int], Cut] | None = None) -> tuple[DataFrame, DataFrame]:
+def nearest(spark: SparkSession, codes: DataFrame, dictionary: DataFrame, length: int, mismatch: int, cut: Callable[[int], Cut] | None = None) -> tuple[DataFrame, DataFrame]:
     """Of barcodes without an exact match: the unique nearest, and the ambiguous ones.
 
     Distances rise one at a time; a distance with several hits ends the search as ambiguous. The hits of a distance are stored.
-    One substitution is tried by joining all neighbours of the barcodes, and so are more with the
-    plan ``neighbours``; with ``pieces`` barcodes and dictionary are cut into distance + 1 pieces,
-    one of which must agree, and the codes of those that share a piece are compared. ``cut`` gives the
-    cut for a distance, where it is known already.
+    Codes and dictionary are cut into pieces one of which must agree, and those that share a piece are
+    compared; no neighbour is spelt out. ``cut`` gives the cut for a distance, where it is known already.
     """
-    left, found, unclear = codes, None, None
+    left, levels = stored(spark, codes.select("code").distinct(), "resolve-codes"), []
     for d in range(1, mismatch + 1):
-        if d == 1 or plan == "neighbours":
-            tries = left.select("barcode", F.explode(sequence.neighbours("code", length, d)).alias("near"))
-            hits = tries.join(dictionary, tries.near == dictionary.bc).select("barcode", "bc", "x", "y")
-        else:
-            hits = _pigeonhole(left, dictionary, d, cut(d) if cut else measured(spark, dictionary, length, d))
-        counted = hits.groupBy("barcode").agg(F.count("*").alias("n"), F.min(F.struct("bc", "x", "y")).alias("hit"))
-        counted = stored(spark, counted, "resolve-hits")
-        one = counted.filter("n = 1").select("barcode", F.lit(f"mis{d}").alias("match_kind"), "hit.bc", "hit.x", "hit.y")
-        many = counted.filter("n > 1").select("barcode", F.lit(f"mis{d}").alias("at"))
-        found = one if found is None else found.unionByName(one)
-        unclear = many if unclear is None else unclear.unionByName(many)
-        left = left.join(counted, "barcode", "left_anti")
-    return found, unclear
-
-
-def _pigeonhole(codes: DataFrame, dictionary: DataFrame, distance: int, cut: Cut) -> DataFrame:
-    """Pairs at exactly ``distance`` by equal pieces; each pair is kept at its first equal piece.
-
-    Mask rows of a crowded piece are dealt by their code; a barcode with it goes to each deal.
+        hits = pigeonhole(left, dictionary, d, cut(d) if cut else measured(spark, dictionary, length, d))
+        counted = stored(spark, hits.groupBy("code").agg(F.count("*").alias("n"), F.min("bc").alias("bc")), "resolve-hits")
+        levels.append(counted.withColumn("match_kind", F.lit(f"mis{d}")))
+        left = left.join(counted, "code", "left_anti")
+    every = codes.join(reduce(DataFrame.unionByName, levels), "code")
+    found = every.filter("n = 1").join(dictionary, "bc").select("barcode", "match_kind", "bc", "x", "y")
+    return found, every.filter("n > 1").select("barcode", F.col("match_kind").alias("at"))
+
+
+def pigeonhole(codes: DataFrame, dictionary: DataFrame, distance: int, cut: Cut, least: int | None = None) -> DataFrame:
+    """Pairs (``code``, ``bc``) at exactly ``distance``, or at ``least`` to ``distance``, by equal pieces; each pair is kept at its first equal piece.
+
+    Mask rows of a crowded piece are dealt by their code; a code with it goes to each deal.
     """
-    a = codes.select("barcode", "code", _pieces("code", cut.masks).alias("part", "value"))
-    b = dictionary.select("bc", "x", "y", _pieces("bc", cut.masks).alias("part", "value"))
+    a = codes.select("code", _pieces("code", cut.masks).alias("part", "value"))
+    b = dictionary.select("bc", _pieces("bc", cut.masks).alias("part", "value"))
     key = ["part", "value", "deal"]
     deals = F.coalesce("deals", F.lit(1))
     a = a.join(cut.crowds, key[:2], "left").withColumn("deal", F.explode(F.sequence(F.lit(0), deals - 1))).drop("deals")
     b = b.join(cut.crowds, key[:2], "left").withColumn("deal", F.pmod(F.xxhash64("bc"), deals).cast("int")).drop("deals")
-    pairs = a.join(b, key).filter(sequence.hamming("code", "bc") == distance)
+    pairs = a.join(b, key).filter(sequence.hamming("code", "bc").between(distance if least is None else least, distance))
     other = F.col("code").bitwiseXOR(F.col("bc"))
     first = F.lit(len(cut.masks))
     for k in range(len(cut.masks) - 1, -1, -1):
         first = F.when(other.bitwiseAND(F.lit(cut.masks[k])) == 0, k).otherwise(first)
-    return pairs.filter(F.col("part") == first).select("barcode", "bc", "x", "y")
+    return pairs.filter(F.col("part") == first).select("code", "bc")
 
 
 def wildcard(codes: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -138,11 +148,11 @@ def wildcard(codes: DataFrame, dictionary: DataFrame) -> tuple[DataFrame, DataFr
     return one, any_.filter("n > 1").select("barcode", F.lit("n").alias("at"))
 
 
-def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec, plan: str | None = None, cut: Callable[[int], Cut] | None = None) -> DataFrame:
+def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec, cut: Callable[[int], Cut] | None = None) -> DataFrame:
     """A row for each of the distinct barcodes that has a match or is ambiguous.
 
-    ``plan``: how two substitutions or more are tried (``nearest``); by default by the size of the
-    dictionary. Both give the same rows. With a tolerance the barcodes, the dictionary, each level's hits and the
+    ``cut``: how codes are cut for a distance (``nearest``), of a dictionary that is stored already; by default it is measured. All cuts give the
+    same rows. With a tolerance the barcodes, the dictionary, each level's hits and the
     result are stored, so that none of it is planned or computed again.
 
     ``barcode``, ``match_kind`` (exact, mis1, mis2, mis3, n, ambiguous), ``bc``, ``x``, ``y``; the
@@ -154,16 +164,13 @@ def resolve(barcodes: DataFrame, dictionary: DataFrame, spec: BarcodeSpec, plan:
         plain = usable.filter(sequence.n_count("barcode") == 0).withColumn("code", sequence.encode("barcode"))
         return exact(plain, dictionary)
     with intermediates(spark, keep=1):
-        dictionary = stored(spark, dictionary, "resolve-dictionary", "lz4")
+        dictionary = dictionary if cut else stored(spark, dictionary, "resolve-dictionary", "lz4")
         coded = usable.withColumn("wild", sequence.n_count("barcode")).withColumn("code", F.when(F.col("wild") == 0, sequence.encode("barcode")))
         met = coded.join(dictionary, coded.code == dictionary.bc, "left").select("barcode", "wild", "code", "bc", "x", "y")
         met = stored(spark, met, "resolve-exact", "lz4")
         hit = met.filter("bc is not null").select("barcode", F.lit("exact").alias("match_kind"), "bc", "x", "y")
         rest = met.filter("bc is null and wild = 0").select("barcode", "code")
-        if plan is None and spec.mismatch > 1:
-            # three substitutions have 65,000 neighbours, so they take pieces at any size
-            plan = "neighbours" if spec.mismatch == 2 and dictionary.count() >= LARGE_MASK else "pieces"
-        near, unclear = nearest(spark, rest, dictionary, spec.length, spec.mismatch, plan or "pieces", cut)
+        near, unclear = nearest(spark, rest, dictionary, spec.length, spec.mismatch, cut)
         wild, several = wildcard(met.filter("wild = 1").select("barcode"), dictionary)
         no = F.lit(None).cast("long")
         lost = unclear.unionByName(several).select("barcode", F.lit("ambiguous").alias("match_kind"), no.alias("bc"), no.alias("x"), no.alias("y"))

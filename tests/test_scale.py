@@ -22,3 +22,30 @@ def test_fixture_is_derived_where_it_is_read(spark):
     assert plan(reads.select("read_id")).count("md5(") == 0
     some = reads.filter(F.col("seq1").contains("GATTACA") | F.col("seq1").startswith("N"))
     assert plan(some).count("md5(") <= plan(reads).count("md5(")
+
+
+def test_some_set_of_blocks_agrees():
+    rng = random.Random(4)
+    for distance, blocks in ((1, 2), (1, 4), (2, 3), (2, 4), (2, 6), (3, 6)):
+        for scheme in ("runs", "strides"):
+            masks = resolve.block_masks(25, distance, scheme, blocks)
+            for _ in range(50):
+                other = sum(rng.randrange(1, 4) << 2 * i for i in rng.sample(range(25), distance))
+                assert any(not other & m for m in masks)
+
+
+def test_large_masks_take_more_blocks(spark, monkeypatch):
+    """Where many mask rows share a piece there are more blocks, with the same rows; no neighbour is spelt out."""
+    monkeypatch.setattr(sequence, "neighbours", None)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("ACTG") for _ in range(n))
+    mask = sorted({word(25) for _ in range(400)})
+    reads = sorted({b[:3] + word(1) + b[4:20] + word(1) + b[21:] for b in mask})
+    rows = spark.createDataFrame([(b, k, k, k) for k, b in enumerate(mask)], "barcode string, x long, y long, rec_no long")
+    spec, barcodes = config.BarcodeSpec(mismatch=2), spark.createDataFrame([(b,) for b in reads], "barcode string")
+    dictionary = resolve.last_wins(rows, spec)
+    few = {tuple(r) for r in resolve.resolve(barcodes, dictionary, spec).collect()}
+    monkeypatch.setattr(resolve, "ROW_WORK", 0)
+    assert len(resolve.measured(spark, dictionary, 25, 2).masks) > 3
+    assert {tuple(r) for r in resolve.resolve(barcodes, dictionary, spec).collect()} == few
+    assert {r[1] for r in few} >= {"mis1", "mis2"}
