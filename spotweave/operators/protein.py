@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spotweave.config import FixedSpec, ProteinSpec, RunSpec
 from spotweave.functions import reads as R
 from spotweave.functions import sequence
-from spotweave.operators import mapping
+from spotweave.operators import mapping, resolve
 from spotweave.storage import intermediates, stored
 
 #: Fixed value: groups with fewer distinct identifiers aren't collapsed.
@@ -28,8 +28,25 @@ def expand(proteins: DataFrame, spec: ProteinSpec) -> DataFrame:
 
 
 def collisions(proteins: DataFrame, spec: ProteinSpec) -> DataFrame:
-    """Variants reached from several proteins: a list with any can't be used."""
-    found = expand(proteins, spec).groupBy("variant").agg(F.min("protein_index").alias("a"), F.max("protein_index").alias("b"))
+    """Variants reached from several proteins: a list with any can't be used.
+
+    Two barcodes share a variant only if they differ in no more than twice the tolerance. Such pairs are found by
+    equal pieces, and only variants that both of a pair reach are spelt out.
+    """
+    spark, k = proteins.sparkSession, spec.mismatch
+    base = proteins.select("protein_index", sequence.encode(F.substring("barcode", 1, spec.length)).alias("bc"))
+    base = stored(spark, base.groupBy("bc").agg(F.min("protein_index").alias("low"), F.max("protein_index").alias("high")), "protein-codes")
+    own = base.filter("low <> high")  # one code of several proteins: all of its variants
+    around = lambda c: F.concat(F.array(F.col(c)), *[sequence.neighbours(c, spec.length, j) for j in range(1, k + 1)])
+    reached = own.select(F.explode(around("bc")).alias("variant"), F.col("low").alias("a"), F.col("high").alias("b"))
+    codes = base.filter("bc is not null").select("bc")
+    if k:
+        pairs = resolve.pigeonhole(codes.withColumnRenamed("bc", "code"), codes, 2 * k, resolve.measured(spark, codes, spec.length, 2 * k), least=1)
+        # each pair comes in both orders, so the variants of one side are enough
+        shared = F.filter(around("code"), lambda v: sequence.hamming(v, F.col("bc")) <= k)
+        met = pairs.withColumn("variant", F.explode(shared)).join(base.select(F.col("bc").alias("code"), "low", "high"), "code")
+        reached = reached.unionByName(met.select("variant", F.col("low").alias("a"), F.col("high").alias("b")))
+    found = reached.groupBy("variant").agg(F.min("a").alias("a"), F.max("b").alias("b"))
     return found.filter("a <> b").select("variant", "a", "b")
 
 

@@ -49,3 +49,17 @@ def test_large_masks_take_more_blocks(spark, monkeypatch):
     assert len(resolve.measured(spark, dictionary, 25, 2).masks) > 3
     assert {tuple(r) for r in resolve.resolve(barcodes, dictionary, spec).collect()} == few
     assert {r[1] for r in few} >= {"mis1", "mis2"}
+
+
+def test_collisions_equal_all_variants(spark, monkeypatch):
+    """Equal to grouping every variant, also with equal barcodes and both tolerances, without spelling all out."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("ACTG") for _ in range(6)) for _ in range(60)]
+    proteins = spark.createDataFrame([(k, w) for k, w in enumerate([*words, *words[:3]])], "protein_index int, barcode string")
+    for mismatch in (0, 1, 2):
+        spec = config.ProteinSpec(length=6, mismatch=mismatch)
+        every = protein.expand(proteins, spec).groupBy("variant").agg(F.min("protein_index").alias("a"), F.max("protein_index").alias("b")).filter("a <> b")
+        want = {tuple(r) for r in every.collect()}
+        with monkeypatch.context() as m:
+            m.setattr(protein, "expand", None)
+            assert {tuple(r) for r in protein.collisions(proteins, spec).collect()} == want and want
