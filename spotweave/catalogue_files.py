@@ -348,11 +348,20 @@ def field_codes(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "chip_mask").select("rec_no", code.alias("code"), x.alias("x"), y.alias("y"))
 
 
+#: Pairs of an arriving file at most.
+ARRIVING = 1_000_000
+
+
 def _arriving(spark: SparkSession, d: str) -> DataFrame:
-    """The read pairs as a stream of files."""
-    path, pairs = scratch(spark, "arriving"), view(spark, d, "read_pairs")
-    pairs.repartition(4, "read_id").write.parquet(path)
-    return spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    """What mapping reads of the read pairs, as a stream of files (four at least) that are written where pairs are derived; a batch takes half of them.
+
+    With more pairs there are more files, not longer ones, so what a task writes or reads doesn't grow.
+    """
+    path, pairs = scratch(spark, "arriving"), view(spark, d, "read_pairs").select("seq1", "qual1", "seq2", "qual2")
+    longest = min(ARRIVING, max(1, -(-pairs.count() // 4)))
+    pairs.write.option("maxRecordsPerFile", longest).option("compression", "zstd").parquet(path)
+    files = len(spark.read.parquet(path).inputFiles())
+    return spark.readStream.schema(pairs.schema).option("maxFilesPerTrigger", max(1, -(-files // 2))).parquet(path)
 
 
 @query(C.ORACLES["map_exact_counts"])
@@ -360,7 +369,7 @@ def stream_counts(spark: SparkSession, d: str) -> DataFrame:
     """Reads of each position, mapped and counted as files of pairs arrive."""
     out, counts = scratch(spark, "stream"), scratch(spark, "stream")
     mask, pairs = C.index(spark, d), _arriving(spark, d)
-    jobs.map_stream(pairs, mask, C.spec(), out, scratch(spark, "log")).awaitTermination()
+    jobs.map_stream(pairs, mask, C.spec(), out, scratch(spark, "log"), keep=["x", "y"]).awaitTermination()
     mapped = spark.readStream.schema(spark.read.parquet(out).drop("batch").schema).parquet(f"{out}/batch=*")
     jobs.count_table_stream(mapped, counts, scratch(spark, "log")).awaitTermination()
     return jobs.latest_counts(spark, counts)

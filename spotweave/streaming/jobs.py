@@ -11,14 +11,14 @@ from spotweave.operators import mapping
 from spotweave.operators.mask_index import MaskIndex
 
 
-def map_stream(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Map each micro-batch of ``pairs`` by the batch cascade and append to the table at ``path``.
+def map_stream(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec, path: str, checkpoint: str, once: bool = True, keep: list[str] | None = None) -> StreamingQuery:
+    """Map each micro-batch of ``pairs`` by the batch cascade and append to the table at ``path``, all columns or those to ``keep``.
 
     A batch is written under its number, so a batch that is run again replaces itself.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        mapping.map_pairs(batch, mask, spec).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        mapping.map_pairs(batch, mask, spec).select(*(keep or ["*"])).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     out = pairs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (out.trigger(availableNow=True) if once else out).start()

@@ -63,3 +63,12 @@ def test_collisions_equal_all_variants(spark, monkeypatch):
         with monkeypatch.context() as m:
             m.setattr(protein, "expand", None)
             assert {tuple(r) for r in protein.collisions(proteins, spec).collect()} == want and want
+
+
+def test_more_pairs_arrive_in_more_files(spark, monkeypatch):
+    monkeypatch.setattr(catalogue_files, "ARRIVING", 500)
+    made = []
+    monkeypatch.setattr(catalogue_files, "scratch", lambda spark, label: made.append(f"{shared_dir(spark)}/few-{label}-{len(made)}") or made[-1])
+    catalogue_files._arriving(spark, TABLES)
+    sizes = [spark.read.parquet(str(f)).count() for f in Path(made[0].removeprefix("file:")).glob("*.parquet")]
+    assert len(sizes) > 4 and max(sizes) <= 500 and sum(sizes) == view(spark, TABLES, "read_pairs").count()
