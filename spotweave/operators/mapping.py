@@ -34,19 +34,16 @@ def map_pairs(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec) -> D
     a position whose identifier doesn't fail.
     """
     cut = sliced(pairs, spec).filter(~F.col("fixed_hit"))
-    # what can't match shares no key with anything, so it can't crowd into one task
-    can = cut.filter(F.col("reason").isNull())
-    barcodes = resolve.distinct_barcodes(can)
+    barcodes = resolve.distinct_barcodes(cut.filter(F.col("reason").isNull()))
     if isinstance(mask, MaskIndex):
         found = mask.resolved(barcodes, spec.barcode)
     else:
         found = resolve.resolve(barcodes, resolve.last_wins(mask, spec.barcode), spec.barcode)
-    joined = can.join(found, "barcode", "left")
-    no = F.lit(None)
-    rest = cut.filter(F.col("reason").isNotNull()).withColumns(
-        {"match_kind": no.cast("string"), "bc": no.cast("long"), "x": no.cast("long"), "y": no.cast("long")}
-    )
-    both = joined.unionByName(rest)
+    # what can't match is dealt over many keys, so it can't crowd into one task, and reads are computed once for all
+    spread = F.concat(F.lit("!"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("string"))
+    keyed = cut.withColumn("_key", F.when(F.col("reason").isNull(), F.col("barcode")).otherwise(spread))
+    found = found.withColumnRenamed("barcode", "_found")
+    both = keyed.join(found, (F.col("_key") == F.col("_found")) & F.col("reason").isNull(), "left").drop("_key", "_found")
     mapped = F.col("x").isNotNull()
     both = both.withColumn("umi_fail", F.when(mapped, filters.umi_fail(F.col("umi"), F.col("umi_qual"), spec.umi)))
     return both.withColumn("passed", mapped & F.col("umi_fail").isNull())

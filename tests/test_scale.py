@@ -72,3 +72,10 @@ def test_more_pairs_arrive_in_more_files(spark, monkeypatch):
     catalogue_files._arriving(spark, TABLES)
     sizes = [spark.read.parquet(str(f)).count() for f in Path(made[0].removeprefix("file:")).glob("*.parquet")]
     assert len(sizes) > 4 and max(sizes) <= 500 and sum(sizes) == view(spark, TABLES, "read_pairs").count()
+
+
+def test_reads_are_derived_twice_at_most(spark):
+    """Once for the distinct barcodes (stored), once for the join; reads that can't match are no branch of their own."""
+    mapped = catalogue.QUERIES["unmapped_reads"](spark, TABLES)
+    plan = mapped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linenumber#") and plan.count("Union") == 0
