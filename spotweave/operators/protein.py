@@ -110,6 +110,8 @@ def umi_collapse(spark: SparkSession, ranked: DataFrame, length: int) -> DataFra
     is halved in each round, and identifiers that have reached their root leave the loop.
     """
     with intermediates(spark, keep=1):
+        # the ranks are read three times, and what they come from is a whole run
+        ranked = stored(spark, ranked, "umi")
         ranked = stored(spark, umi_parents(ranked, length), "umi")
         edges = ranked.filter("parent is not null").select(*GROUP, "rank", F.col("parent").alias("root"))
         moving, settled = stored(spark, edges, "umi"), []
