@@ -4,6 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
+
+
+def mapped(col: Column, source: str, target: str) -> Column:
+    """``translate`` of ASCII texts to as many ASCII characters, over the bytes of Arrow columns."""
+    table = bytes(dict(zip(source.encode(), target.encode(), strict=True)).get(k, k) for k in range(256))
+
+    def replaced(texts):
+        import pyarrow as pa
+
+        valid, bounds, data = texts.buffers()
+        return pa.Array.from_buffers(texts.type, len(texts), [valid, bounds, data and pa.py_buffer(data.to_pybytes().translate(table))], texts.null_count, texts.offset)
+
+    return F.arrow_udf(replaced, "string", ArrowUDFType.SCALAR)(col)
 
 
 def tokens(col: Column | str, separator: str = ",") -> Column:

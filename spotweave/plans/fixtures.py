@@ -1,13 +1,18 @@
 """The fixture views: sequencing inputs derived from the tables orders, lineitem, events and supplier.
 
-The SQL runs unchanged in Spark and DuckDB.
+The SQL runs unchanged in Spark and DuckDB. Views of read pairs are derived by column functions with the same rows
+(``read_pairs``), for the SQL's plan maps letters one by one and is close to the size above which a JVM doesn't compile.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spotweave.functions.text import mapped
+
 #: View to SQL over the base tables (the last one over ``read_pairs``).
 SQL = {
     "chip_mask": """
@@ -81,8 +86,74 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.select(*[F.when(F.monotonically_increasing_id() >= 0, F.col(c)).alias(c) for c in rows.columns])
 
 
+_HEX, _BASES = "0123456789abcdef", "ACTGACTGACTGACTG"
+
+
+def _bases(key: Column, length: int) -> Column:
+    """The first bases of a key's digest."""
+    return mapped(F.substring(F.md5(key), 1, length), _HEX, _BASES)
+
+
+def _few(prefix: str, number: Column, count: int, length: int) -> Column:
+    """``_bases`` of a prefix and a number from 0 to ``count`` - 1, as literals."""
+    texts = [hashlib.md5(f"{prefix}:{k}".encode()).hexdigest()[:length].translate(str.maketrans(_HEX, _BASES)) for k in range(count)]
+    return F.get(F.array(*map(F.lit, texts)), number.cast("int"))
+
+
+def read_pairs(lines: DataFrame, by_spot: bool = False) -> DataFrame:
+    """The rows of ``SQL["read_pairs"]`` (or of ``protein_read_pairs``, by spot) from line items, whose keys are positive.
+
+    Digests are made once, letters are mapped over whole Arrow columns, and a substitution is made where the row's class has it.
+    """
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    place = lambda k: (1 + (key + line + k) % 25).cast("int")
+    parts = [*[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")], F.col("l_quantity").cast("int").cast("string")]
+    glued = [x for p in parts for x in (F.lit(":"), p)][1:]
+    rows = lines.select(
+        F.concat(*glued).alias("read_id"), ((key * 7 + line) % 20).cast("int").alias("cls"), ((key + line) % 9).cast("int").alias("ucls"),
+        place(0).alias("p"), place(7).alias("p2"), place(13).alias("p3"), key.alias("key"),
+        F.col("l_suppkey").cast("bigint").alias("suppkey"), (F.col("l_partkey") % 8).cast("int").alias("prot"),
+    )
+    digest = lambda name: F.md5(F.concat(F.lit(f"{name}:"), "read_id"))
+    rows = rows.withColumns({"qhex": F.concat(digest("q1"), digest("q2")), "umi0": _few("umi", F.col("key") % 16, 16, 10)})
+    own = F.concat(F.lit("cid:"), F.col("suppkey" if by_spot else "key").cast("string"))
+    rows = rows.withColumns(
+        {
+            "bc0": _bases(own, 25),
+            "rnd": _bases(F.concat(F.lit("rnd:"), "read_id"), 32),
+            "qual1": mapped(F.substring("qhex", 1, 50), _HEX, "#+05:?DEFFFFGGHH"),
+            "q": mapped(F.col("qhex"), _HEX, "FEDC:?5+#GHIIIII"),
+        }
+    )
+    # the three places of a row differ, so each substitution sees the letter of the whole barcode
+    cls, n = F.col("cls"), F.lit("N")
+
+    def put(text: Column, k: str, changed: tuple, lost: tuple = ()) -> Column:
+        """``text`` with another letter at a place, or none, for classes of rows."""
+        own = F.substr("bc0", F.col(k), F.lit(1))
+        return F.overlay(text, F.when(cls.isin(*changed), F.translate(own, "ACTG", "CTGA")).when(cls.isin(*lost), n).otherwise(own), F.col(k), F.lit(1))
+
+    barcode = put(put(put(F.col("bc0"), "p", (10, 11, 12, 13), (14, 15)), "p2", (12, 13), (15,)), "p3", (13,))
+    barcode = F.when(cls == 16, F.lit("T" * 25)).when(cls == 17, F.substring("rnd", 1, 25)).when(cls.between(10, 15), barcode).otherwise(F.col("bc0"))
+    ucls, umi0 = F.col("ucls"), F.col("umi0")
+    umi = F.when(ucls == 0, F.concat(F.substring(umi0, 1, 9), F.translate(F.substring(umi0, 10, 1), "ACTG", "CTGA")))
+    umi = umi.when((ucls == 1) & (cls == 3), F.lit("A" * 10)).when((ucls == 2) & (cls == 4), F.concat(n, F.substring(umi0, 2, 9))).otherwise(umi0)
+    tail = F.when(cls == 18, F.concat(F.lit("TGCCTCTCAG"), F.substring("rnd", 1, 5))).otherwise(F.substring("rnd", 10, 15))
+    return rows.select(
+        "read_id",
+        F.concat(F.lit("@FX:"), "read_id", F.lit("/1")).alias("name"),
+        F.concat(F.col("bc0") if by_spot else barcode, umi, tail).alias("seq1"),
+        "qual1",
+        F.concat(_few("prot", F.col("prot"), 8, 15), "rnd", "rnd").alias("seq2"),
+        F.concat("q", F.substring("q", 1, 15)).alias("qual2"),
+        *([] if by_spot else ["suppkey", "prot"]),
+    )
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture as a query over the tables in ``sf_dir``."""
+    if name.endswith("read_pairs"):
+        return read_pairs(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), by_spot=name.startswith("protein"))
     parts = {x: spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in TABLES if f"FROM {x}" in SQL[name]}
     parts |= {x: derived(spark, sf_dir, x) for x in NEEDS.get(name, [])}
     text = SQL[name]
