@@ -103,10 +103,12 @@ def last_index(name: Column) -> Column:
 
 
 def first_index(name: Column) -> Column:
-    """What follows the last such ``:``, up to a ``+``; empty for names below 5."""
-    rest = F.regexp_extract(name, r"(?s)^.*:(.{2,})$", 1)
-    before = F.when(rest.rlike(r"(?s)^[^+]*\+.{2,}$"), F.substring_index(rest, "+", 1)).otherwise(rest)
-    return F.when(F.length(name) < 5, "").otherwise(before)
+    """What follows the last such ``:``, up to a ``+`` that has two characters or more after it; empty for names below 5.
+
+    One pass of one expression, for a text in several conditions is computed for each of them.
+    """
+    found = F.regexp_replace(name, r"(?s)^(?:.*:(?:([^+]*)\+.{2,}|(.{2,}))|.*)$", "$1$2")
+    return F.when(F.length(name) < 5, "").otherwise(found)
 
 
 def name_barcode(name: Column, length: int) -> tuple[Column, Column]:

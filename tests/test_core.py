@@ -321,3 +321,18 @@ def test_protein_collisions_cover_every_chip_barcode(spark):
     got = catalogue.queries()["protein_collisions"](spark, place).collect()
     assert len(got) == len(want) and set(map(tuple, got)) == want
     print(len(first), len(want))
+
+
+def test_first_index_equals_its_definition(spark):
+    """Also for names whose separators have too little after them; each text is searched once."""
+    names = ["", "a", "@a:b", "@abc:", "@a:bc", "@a:b:cd+ef", "@a:b:cd+e", "@ab:cd+", "@:+ab", "@ab+cd:e", "x:a+b+cd", "x:ab\n+cd", "abcdef", "@a+bc:de+fg:h"]
+    want = []
+    for n in names:
+        at = [k for k, c in enumerate(n) if c == ":" and len(n) - k > 2]
+        rest = n[at[-1] + 1 :] if at and len(n) >= 5 else ""
+        plus = rest.find("+")
+        want.append(rest[:plus] if plus >= 0 and len(rest) - plus > 2 else rest)
+    rows = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "k int, n string")
+    found = rows.select("k", R.first_index(F.col("n")).alias("i"))
+    assert [r["i"] for r in found.orderBy("k").collect()] == want
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp") == 1
