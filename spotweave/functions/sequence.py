@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 BASES = "ACTG"
 #: One bit of each base.
 _ODD_BITS = 0x5555555555555555
-#: Bases of a number.
-MAX_WORD = 31
 
 
 def _c(x: Column | str) -> Column:
@@ -26,21 +24,6 @@ def encode(seq: Column | str) -> Column:
     return F.conv(F.reverse(digits), 4, 10).cast("long")
 
 
-def words(seq: Column | str) -> Column:
-    """Codes of a sequence of any length, ``MAX_WORD`` bases in each."""
-    s = _c(seq)
-    last = F.floor((F.greatest(F.length(s), F.lit(1)) - 1) / MAX_WORD).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda k: F.coalesce(encode(F.substr(s, k * MAX_WORD + 1, F.lit(MAX_WORD))), F.lit(0).cast("long")))
-
-
-def window(codes: Column, at: Column, size: int) -> Column:
-    """Code of ``size`` bases (``MAX_WORD`` at most) from place ``at`` (from 0) of what ``words`` has packed."""
-    k, bits = F.floor(at / MAX_WORD).cast("int"), (at % MAX_WORD).cast("int") * 2
-    low = F.call_function("shiftrightunsigned", F.get(codes, k), bits)
-    high = F.call_function("shiftleft", F.coalesce(F.get(codes, k + 1), F.lit(0).cast("long")), 2 * MAX_WORD - bits)
-    return low.bitwiseOR(high).bitwiseAND(F.lit((1 << 2 * size) - 1))
-
-
 def decode(code: Column | str, length: int) -> Column:
     """The ``length`` bases of a code."""
     digits = F.lpad(F.conv(_c(code).cast("string"), 10, 4), length, "0")

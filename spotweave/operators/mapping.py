@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import ArrowUDFType
 
 from spotweave.config import RunSpec
 from spotweave.functions import reads as R
-from spotweave.functions import sequence
 from spotweave.operators import filters, resolve
 from spotweave.operators.mask_index import MaskIndex
 
@@ -150,9 +150,71 @@ def run_report(pairs: DataFrame, mapped: DataFrame, spec: RunSpec, *more: Column
     return row.withColumns(bases)
 
 
-def _held(value: Column, use) -> Column:
-    """``use`` of a value that is computed once: inside a lambda any other expression is computed for every element."""
-    return F.get(F.transform(F.array(value), use), 0)
+#: Complement of bases as bytes; what isn't a base becomes N.
+_COMPLEMENT = bytes(ord(dict(zip("ACGT", "TGCA", strict=True)).get(chr(k).upper(), "N")) for k in range(256))
+
+
+def _overlaps(least: int):
+    """Function of Arrow columns seq1, seq2, qual1, qual2: structs of a pair's merged read, null where ends don't overlap."""
+    complement = _COMPLEMENT
+
+    def merged(seq1, seq2, qual1, qual2):
+        import numpy as np
+        import pyarrow as pa
+
+        sides = [[(x or "").encode("latin-1", "replace") for x in c.to_pylist()] for c in (seq1, seq2, qual1, qual2)]
+        sizes = [np.array([len(x) for x in c], np.int64) for c in sides]
+        rows, width = len(seq1), int(max(sizes[0].max(initial=0), sizes[1].max(initial=0), 1))
+
+        def placed(k: int, first, step: int = 1):
+            """Characters of a side in a matrix: the first of a row in column ``first``, others ``step`` further on."""
+            if (sizes[k] == width).all():  # reads of one length fill it
+                return np.frombuffer(b"".join(sides[k]), np.uint8).reshape(rows, width)[:, ::step]
+            row = np.repeat(np.arange(rows), sizes[k])
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes[k]) - sizes[k], sizes[k])
+            column = first[row] + step * place
+            kept = (column >= 0) & (column < width)
+            out = np.zeros((rows, width), np.uint8)
+            out[row[kept], column[kept]] = np.frombuffer(b"".join(sides[k]), np.uint8)[kept]
+            return out
+
+        # first reads end in the last column, second ones, reversed and complemented, begin in the first
+        a, p = placed(0, width - sizes[0]), placed(2, width - sizes[0])
+        b, q = np.frombuffer(complement, np.uint8)[placed(1, sizes[1] - 1, -1)], placed(3, sizes[3] - 1, -1)
+        high, low = ord("?"), ord("0")
+        valid = [c.is_valid().to_numpy(zero_copy_only=False) for c in (seq1, seq2, qual1, qual2)]
+        open_, most = valid[0] & valid[1] & valid[2] & valid[3], np.minimum(sizes[0], sizes[1])
+        out: list[list] = [[None] * rows for _ in range(4)]
+        for o in range(least, int(most.max(initial=0)) + 1):
+            head = min(o, 16)
+            begin = a[:, width - o : width - o + head] != b[:, :head]
+            tried = np.flatnonzero(open_ & (most >= o) & (np.count_nonzero(begin, axis=1) < 3))
+            apart = a[tried, width - o :] != b[tried, :o]
+            few = np.count_nonzero(apart, axis=1) < 3
+            tried, apart = tried[few], apart[few]
+            if not len(tried):
+                continue
+            x, y, u, v = a[tried, width - o :], b[tried, :o], p[tried, width - o :], q[tried, :o]
+            left = (u >= high) & (v <= low)
+            good = (~apart | left | ((u <= low) & (v >= high))).all(1)
+            if not good.any():
+                continue
+            tried, apart, x, y, u, v, left = (z[good] for z in (tried, apart, x, y, u, v, left))
+            base = np.where(apart & left, x, y)
+            quality = np.where(apart, np.where(left, u, v), np.maximum(u.astype(np.int16) + v - 33, 0)).astype(np.uint8)
+            differ = np.count_nonzero(apart, axis=1).tolist()
+            for k, r in enumerate(tried.tolist()):
+                cut = len(sides[0][r]) - o
+                back = sides[1][r][::-1].translate(complement)[o:]
+                out[0][r], out[1][r] = o, differ[k]
+                out[2][r] = (sides[0][r][:cut] + base[k].tobytes() + back).decode("latin-1")
+                out[3][r] = (sides[2][r][:cut] + quality[k].tobytes() + sides[3][r][::-1][o:]).decode("latin-1")
+            open_[tried] = False
+        kinds = {"overlap": pa.int32(), "diff": pa.int32(), "merged_seq": pa.string(), "merged_qual": pa.string()}
+        missing = pa.array([x is None for x in out[0]], pa.bool_())
+        return pa.StructArray.from_arrays([pa.array(x, k) for x, k in zip(out, kinds.values(), strict=True)], names=list(kinds), mask=missing)
+
+    return F.arrow_udf(merged, "overlap int, diff int, merged_seq string, merged_qual string", ArrowUDFType.SCALAR).asNondeterministic()
 
 
 def overlap_merge(pairs: DataFrame, least: int = 30) -> DataFrame:
@@ -161,51 +223,8 @@ def overlap_merge(pairs: DataFrame, least: int = 30) -> DataFrame:
     The second read is reversed and complemented. The smallest overlap of at least ``least``
     bases counts in which fewer than three bases differ, each of them high quality (``?`` or more)
     against low (``0`` or less). Such a base follows the high quality; equal bases add qualities.
-    Overlaps are tried on packed words: the first bases of the second read, 2 bits each in one number, against
-    as many of the first read, shifted out of its words. Letters are looked at for the few that pass.
+    An overlap is tried for all reads of an Arrow batch at once, and only for those without a smaller one.
     """
-    size = min(least, sequence.MAX_WORD)
-
-    def packed(s: Column) -> Column:
-        head = sequence.encode(F.substring(s["b"], 1, size))
-        return F.struct(*[s[c].alias(c) for c in "abpq"], F.length(s["a"]).alias("n"), sequence.words(s["a"]).alias("words"), head.alias("head"))
-
-    def tries(r: Column) -> Column:
-        """Overlaps whose first bases differ in two at most."""
-        most = F.least(r["n"], F.length(r["b"]))
-        sizes = F.when(most >= least, F.sequence(F.lit(least), most)).otherwise(F.array().cast("array<int>"))
-        return F.filter(sizes, lambda o: sequence.hamming(sequence.window(r["words"], r["n"] - o, size), r["head"]) < 3)
-
-    def at(r: Column, o: Column, i: Column) -> dict[str, Column]:
-        """Bases and qualities of both reads at a place (from 1) of an overlap."""
-        place = {"a": r["n"] - o + i, "p": r["n"] - o + i, "b": i, "q": i}
-        return {c: F.substr(r[c], k, F.lit(1)) for c, k in place.items()}
-
-    left_wins = lambda z: (z["p"] >= "?") & (z["q"] <= "0")
-    weak = lambda z: left_wins(z) | ((z["p"] <= "0") & (z["q"] >= "?"))
-
-    def checked(r: Column, o: Column) -> Column:
-        """An overlap and the places where it differs, if it counts."""
-        same = F.substr(r["a"], r["n"] - o + 1, o) == F.substr(r["b"], F.lit(1), o)
-        apart = F.filter(F.sequence(F.lit(1), o), lambda i: at(r, o, i)["a"] != at(r, o, i)["b"])
-        return _held(F.when(same, F.array().cast("array<int>")).otherwise(apart), lambda d: F.when((F.size(d) < 3) & F.forall(d, lambda i: weak(at(r, o, i))), F.struct(o.alias("o"), d.alias("d"))))
-
-    def merged(r: Column, found: Column) -> Column:
-        o, d = found["o"], found["d"]
-        put = lambda text, at_, by: F.overlay(text, by, at_, F.lit(1))
-        base = F.reduce(F.filter(d, lambda i: left_wins(at(r, o, i))), F.substr(r["b"], F.lit(1), o), lambda s, i: put(s, i, at(r, o, i)["a"]))
-        sums = F.transform(F.sequence(F.lit(1), o), lambda i: F.char(F.ascii(at(r, o, i)["p"]) + F.ascii(at(r, o, i)["q"]) - 33))
-        higher = lambda z: F.when(left_wins(z), z["p"]).otherwise(z["q"])
-        qual = F.reduce(d, F.array_join(sums, ""), lambda s, i: put(s, i, higher(at(r, o, i))))
-        glue = lambda front, mid, back: F.concat(F.substr(front, F.lit(1), r["n"] - o), mid, F.substr(back, o + 1))
-        return F.struct(o.alias("overlap"), F.size(d).alias("diff"), glue(r["a"], base, r["b"]).alias("merged_seq"), glue(r["p"], qual, r["q"]).alias("merged_qual"))
-
-    def first(r: Column) -> Column:
-        good = F.filter(F.transform(tries(r), lambda o: checked(r, o)), lambda x: x.isNotNull())
-        return _held(F.get(good, F.lit(0)), lambda x: F.when(x.isNotNull(), merged(r, x)))
-
-    sides = F.struct(F.col("seq1").alias("a"), sequence.reverse_complement("seq2").alias("b"), F.col("qual1").alias("p"), F.reverse("qual2").alias("q"))
-    whole = _held(sides, lambda s: _held(packed(s), first))
-    # an outer generator computes its array once; a filter on a computed column, or one inferred for a generator, does it again
-    found = pairs.select("*", F.explode_outer(F.array(whole)).alias("_merged")).filter("_merged is not null")
+    # not deterministic to Spark, so that a filter on the outcome doesn't compute it again
+    found = pairs.withColumn("_merged", _overlaps(least)("seq1", "seq2", "qual1", "qual2")).filter("_merged is not null")
     return found.select(*pairs.columns, "_merged.*")

@@ -336,3 +336,13 @@ def test_first_index_equals_its_definition(spark):
     found = rows.select("k", R.first_index(F.col("n")).alias("i"))
     assert [r["i"] for r in found.orderBy("k").collect()] == want
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp") == 1
+
+
+def test_overlap_merge_of_many_lengths(spark):
+    """Reads of unequal lengths and null reads in one batch; no array of letters is in the plan."""
+    seq = "ACGTTGCAAGGTCCATACGTAGCTAGGATCCATTGCAACG"
+    rows = [(k, seq[-k:], "I" * k, S.reverse_complement_text(seq[-k:]), "I" * k) for k in (29, 33, 36, 39)] + [(1, None, None, seq, "I" * 39), (2, "", "", "", "")]
+    pairs = spark.createDataFrame(rows, "k int, seq1 string, qual1 string, seq2 string, qual2 string")
+    merged = mapping.overlap_merge(pairs)
+    assert {r["k"]: (r["merged_seq"], r["overlap"]) for r in merged.collect()} == {k: (seq[-k:], k) for k in (33, 36, 39)}
+    assert "lambda" not in merged._jdf.queryExecution().optimizedPlan().toString()
