@@ -18,42 +18,51 @@ from pyspark.sql import functions as F
 from spotweave.llm.common import intermediates, stored, text_or_empty
 
 
-#: Code points further apart than this are kept in tables of their own.
-_GAP = 1024
-
-
-def _tables(values: dict[int, object]) -> list[tuple[int, list]]:
-    """Dense tables (first code point, values with None between) of what single code points map to."""
-    out: list[tuple[int, list]] = []
-    for p in sorted(values):
-        if out and p - (out[-1][0] + len(out[-1][1])) < _GAP:
-            first, held = out[-1]
-            held.extend([None] * (p - first - len(held)))
-            held.append(values[p])
-        else:
-            out.append((p, [values[p]]))
-    return out
+#: Bits of a code point that choose its place in each level of a table, highest first.
+_LEVELS = (9, 6, 6)
+
+
+def _table(values: dict[int, object]) -> list:
+    """Nested arrays of what single code points map to: by the highest bits, the middle, the lowest.
+
+    Levels without a value are null and nothing follows the last value of one, so a table is little longer than its values:
+    it is part of each plan that uses it, and of every text of that plan.
+    """
+    if not values:
+        return []
+
+    def level(held: dict[int, object], bits: tuple[int, ...]) -> list:
+        if not bits:
+            return held[0]
+        low = sum(bits[1:])
+        parts: dict[int, dict[int, object]] = {}
+        for p, x in held.items():
+            parts.setdefault(p >> low, {})[p & (1 << low) - 1] = x
+        return [level(parts[k], bits[1:]) if k in parts else None for k in range(max(parts) + 1)]
+
+    return level(values, _LEVELS)
 
 
 @functools.cache
-def _decomposition() -> list[tuple[int, list]]:
+def _decomposition() -> dict[int, str]:
     """From Unicode data: full canonical decompositions; Hangul syllables follow a rule instead (``_jamo``)."""
     points = (p for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF and not 0xAC00 <= p <= 0xD7A3)
-    return _tables({p: full for p in points if (full := unicodedata.normalize("NFD", chr(p))) != chr(p)})
+    return {p: full for p in points if (full := unicodedata.normalize("NFD", chr(p))) != chr(p)}
 
 
 @functools.cache
-def _classes() -> list[tuple[int, list]]:
+def _classes() -> dict[int, int]:
     """From Unicode data: combining classes other than 0."""
-    return _tables({p: k for p in range(0x80, sys.maxunicode + 1) if (k := unicodedata.combining(chr(p)))})
+    return {p: k for p in range(0x80, sys.maxunicode + 1) if (k := unicodedata.combining(chr(p)))}
 
 
-def _looked_up(char: Column, tables: list[tuple[int, list]], kind: str) -> Column:
-    """What the first code point of ``char`` maps to, or null; a table is an array, so a look-up takes constant time."""
-    point, out = F.ascii(char), F.lit(None).cast(kind)
-    for first, held in tables:
-        table = F.from_json(F.lit(json.dumps(held)), f"array<{kind}>")
-        out = F.when((point >= first) & (point < first + len(held)), F.get(table, point - first)).otherwise(out)
+def _looked_up(char: Column, values: dict[int, object], kind: str) -> Column:
+    """What the first code point of ``char`` maps to, or null; a look-up takes constant time."""
+    for _ in _LEVELS:
+        kind = f"array<{kind}>"
+    point, out = F.ascii(char), F.from_json(F.lit(json.dumps(_table(values), ensure_ascii=False, separators=(",", ":"))), kind)
+    for k, n in enumerate(_LEVELS):
+        out = F.get(out, F.shiftright(point, sum(_LEVELS[k + 1 :])).bitwiseAND(F.lit((1 << n) - 1)))
     return out
 
 
@@ -104,7 +113,7 @@ def decomposed(text: Column) -> Column:
     step = F.when(text.rlike(r"[\x{C0}-\x{10FFFF}]"), whole).otherwise(text)
 
     # marks newer than the Unicode data of the JVM are unassigned to it
-    mark, marks = r"[\p{M}\p{Cn}]", _class([first + k for first, held in _classes() for k, x in enumerate(held) if x])
+    mark, marks = r"[\p{M}\p{Cn}]", _class(list(_classes()))
 
     def ordered(t: Column) -> Column:
         runs = F.regexp_extract_all(t, F.lit(rf"{mark}+|[^\p{{M}}\p{{Cn}}]+"), F.lit(0))
@@ -117,10 +126,10 @@ def decomposed(text: Column) -> Column:
 
 
 @functools.cache
-def _foldings() -> list[tuple[int, list]]:
+def _foldings() -> dict[int, str]:
     """From Unicode data: full case foldings, decomposed, of code points beyond ASCII; those that only lower-casing changes stay themselves."""
     points = (chr(p) for p in range(0x80, sys.maxunicode + 1) if not 0xD800 <= p <= 0xDFFF)
-    return _tables({ord(c): unicodedata.normalize("NFD", c.casefold()) for c in points if c.casefold() != c or c.lower() != c})
+    return {ord(c): unicodedata.normalize("NFD", c.casefold()) for c in points if c.casefold() != c or c.lower() != c}
 
 
 def case_folded(text: Column) -> Column:
@@ -149,7 +158,8 @@ def canonical(text: Column) -> Column:
     for c in "\n\t\r":
         plain = F.replace(plain, F.lit(c), F.lit(" "))
     odd = r"[\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-    folded = F.when(plain.rlike(odd + "| {2}"), F.regexp_replace(plain, f"(?:{odd}| )+", " ")).otherwise(plain)
+    # held, for an expression that is read twice is written out twice
+    folded = _held(plain, lambda t: F.when(t.rlike(odd + "| {2}"), F.regexp_replace(t, f"(?:{odd}| )+", " ")).otherwise(t))
     return F.trim(folded)
 
 

@@ -96,3 +96,11 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     done = subprocess.run([sys.executable, "run.py", repo, str(tmp_path)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]
     assert all(int(line.split()[1]) > 0 for line in done.stdout.splitlines() if line.startswith(("op", "fastq", "mask")))
+
+
+def test_canonical_texts_have_a_short_plan(spark):
+    """Tables of code points are part of a plan's text, which the driver keeps for each step of a query."""
+    from spotweave.llm import fingerprints
+
+    rows = spark.createDataFrame([("Straße",)], "text string").select(fingerprints.canonical(F.col("text")))
+    assert len(rows._jdf.queryExecution().optimizedPlan().toString()) < 200_000
