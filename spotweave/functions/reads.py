@@ -82,7 +82,7 @@ def tagged(name: Column, x: Column, y: Column, mid: Column, mid_quality: Column,
 
 def at_least(quality: Column, first: str) -> Column:
     """Number of characters that are ``first`` or greater."""
-    low = f"[\\x{{{ord(first):x}}}-~]"
+    low = f"[\\x{{{ord(first):x}}}-~]+"  # a run is one match
     return F.length(quality) - F.length(F.regexp_replace(quality, low, ""))
 
 

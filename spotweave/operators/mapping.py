@@ -8,6 +8,7 @@ from pyspark.sql.pandas.functions import ArrowUDFType
 
 from spotweave.config import RunSpec
 from spotweave.functions import reads as R
+from spotweave.functions import sequence
 from spotweave.operators import filters, resolve
 from spotweave.operators.mask_index import MaskIndex
 
@@ -29,21 +30,33 @@ def sliced(pairs: DataFrame, spec: RunSpec) -> DataFrame:
 def map_pairs(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec) -> DataFrame:
     """Read pairs past the fixed filter, with ``x``, ``y``, ``match_kind``, ``umi_fail`` and ``passed``.
 
-    A stored index in the place of a mask isn't shuffled, and keeps what has been resolved for later calls.
+    A stored index in the place of a mask isn't shuffled, and keeps what has been resolved for later calls. Without either
+    an index or a tolerance, reads meet the mask's dictionary itself.
     Unmapped pairs have a null position. ``passed`` pairs go to the mapped output: those with
     a position whose identifier doesn't fail.
     """
     cut = sliced(pairs, spec).filter(~F.col("fixed_hit"))
-    barcodes = resolve.distinct_barcodes(cut.filter(F.col("reason").isNull()))
-    if isinstance(mask, MaskIndex):
-        found = mask.resolved(barcodes, spec.barcode)
-    else:
-        found = resolve.resolve(barcodes, resolve.last_wins(mask, spec.barcode), spec.barcode)
+    usable = F.col("reason").isNull()
     # what can't match is dealt over many keys, so it can't crowd into one task, and reads are computed once for all
     spread = F.concat(F.lit("!"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("string"))
-    keyed = cut.withColumn("_key", F.when(F.col("reason").isNull(), F.col("barcode")).otherwise(spread))
-    found = found.withColumnRenamed("barcode", "_found")
-    both = keyed.join(found, (F.col("_key") == F.col("_found")) & F.col("reason").isNull(), "left").drop("_key", "_found")
+    if spec.barcode.mismatch or isinstance(mask, MaskIndex):
+        barcodes = resolve.distinct_barcodes(cut.filter(usable))
+        if isinstance(mask, MaskIndex):
+            found = mask.resolved(barcodes, spec.barcode)
+        else:
+            found = resolve.resolve(barcodes, resolve.last_wins(mask, spec.barcode), spec.barcode)
+        found = found.withColumnRenamed("barcode", "_found")
+        key = F.col("barcode")
+    else:
+        # an exact match is one join of the reads with the dictionary, so they aren't computed for their distinct barcodes first;
+        # it is by text, for codes are made of the mask's rows only
+        # (a code of a longer barcode has no text of this length)
+        n = spec.barcode.length
+        text = F.when(F.col("bc").between(0, 4**n - 1), sequence.decode("bc", n))
+        found = resolve.last_wins(mask, spec.barcode).select(text.alias("_found"), F.lit("exact").alias("match_kind"), "bc", "x", "y")
+        key = sequence.canonical("barcode")
+    keyed = cut.withColumn("_key", F.when(usable, key).otherwise(spread))
+    both = keyed.join(found, (F.col("_key") == F.col("_found")) & usable, "left").drop("_key", "_found")
     mapped = F.col("x").isNotNull()
     both = both.withColumn("umi_fail", F.when(mapped, filters.umi_fail(F.col("umi"), F.col("umi_qual"), spec.umi)))
     return both.withColumn("passed", mapped & F.col("umi_fail").isNull())

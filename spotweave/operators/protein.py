@@ -65,13 +65,15 @@ def without_fixed(spec: RunSpec) -> RunSpec:
 
 def protein_reads(pairs: DataFrame, mask: DataFrame, proteins: DataFrame, spec: RunSpec) -> DataFrame:
     """Mapped pairs whose identifier passes and whose second read names a protein: ``read_id``, ``x``, ``y``, ``protein_index``, ``umi``."""
-    mapped = mapping.map_pairs(pairs, mask, without_fixed(spec)).filter("passed")
-    p = spec.protein
-    coded = mapped.withColumn("variant", sequence.encode(F.substring("seq2", p.start + 1, p.length))).filter(
-        F.length("seq2") >= p.start + p.length
-    )
-    # a list of proteins and its variants are few; Spark broadcasts them if they are below its limit
-    found = coded.join(checked(proteins, p), "variant")
+    spark, p = pairs.sparkSession, spec.protein
+    # stored, so that Spark knows how few a list and its variants are, whatever they come from, and broadcasts them if they are below its limit
+    proteins = stored(spark, proteins.select("protein_index", "barcode"), "proteins")
+    variants = checked(proteins, p).withColumn("variant", sequence.decode("variant", p.length))
+    variants = stored(spark, variants, "protein-variants")
+    second = R.cut_second(F.col("seq2"), spec.umi)
+    # before the mapping, which then carries no more of the read
+    cut = pairs.withColumn("variant", sequence.canonical(R.piece(second, p.start, p.length)))
+    found = mapping.map_pairs(cut, mask, without_fixed(spec)).filter("passed").join(variants, "variant")
     return found.select(*[c for c in ("read_id",) if c in found.columns], "x", "y", "protein_index", "umi")
 
 

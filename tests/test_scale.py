@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spotweave import catalogue, catalogue_files, config
 from spotweave.functions import sequence
-from spotweave.operators import protein, resolve
+from spotweave.operators import mapping, protein, resolve
 from spotweave.plans.fixtures import SQL, view
 from spotweave.storage import shared_dir
 
@@ -81,6 +81,39 @@ def test_reads_are_derived_twice_at_most(spark):
     assert plan.count("l_linenumber#") and plan.count("Union") == 0
 
 
+def test_proteins_are_few_whatever_they_come_from(spark):
+    """Reads are derived once, and aren't dealt over the few sequences of proteins, though the list is drawn from a large table."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    try:
+        spark.conf.set(limit, "16k")
+        hits = catalogue.QUERIES["umi_counts"](spark, TABLES)
+        assert "hashpartitioning(variant" not in hits._jdf.queryExecution().executedPlan().toString()
+        few = {tuple(r) for r in hits.collect()}
+    finally:
+        spark.conf.unset(limit)
+    hits = catalogue.QUERIES["umi_counts"](spark, TABLES)
+    assert hits._jdf.queryExecution().optimizedPlan().toString().count("Relation [l_orderkey") == 1
+    assert {tuple(r) for r in hits.collect()} == few and few
+
+
+def test_exact_reads_meet_the_dictionary(spark):
+    """As by distinct barcodes: small letters as capitals (n as G), also where a mask's code is of another length."""
+    rng = random.Random(7)
+    mask = ["".join(rng.choice("ACTG") for _ in range(25)) for _ in range(60)] + ["G" * 25, "T" * 25]
+    reads = [*mask, mask[0].lower(), "n" * 25, "N" + mask[1][1:], mask[2][:24], "", None, *[b[::-1] for b in mask]]
+    pairs = spark.createDataFrame([(k, f"@{k}", r, "I" * 25, "A" * 15, "I" * 15) for k, r in enumerate(reads)], "read_id long, name string, seq1 string, qual1 string, seq2 string, qual2 string")
+    codes = spark.createDataFrame([(b, k, k + 1) for k, b in enumerate(mask)], "barcode string, x long, y long").select(sequence.encode("barcode").alias("bc"), "x", "y")
+    codes = codes.unionByName(codes.limit(5).withColumn("bc", F.col("bc") + 4**25))
+    spec = config.RunSpec(umi=config.UmiSpec(length=0))
+    found = resolve.resolve(resolve.distinct_barcodes(mapping.sliced(pairs, spec)), resolve.last_wins(codes, spec.barcode), spec.barcode)
+    want = mapping.sliced(pairs, spec).join(found, "barcode", "left").select("read_id", "match_kind", "bc", "x", "y").collect()
+    mapped = mapping.map_pairs(pairs, codes, spec)
+    got = mapped.select("read_id", "match_kind", "bc", "x", "y").collect()
+    by_id = lambda rows: sorted(rows, key=lambda r: r["read_id"])
+    assert by_id(got) == by_id(want) and sum(r["x"] is not None for r in got) == 64
+    assert "keys=[barcode" not in mapped._jdf.queryExecution().executedPlan().toString()
+
+
 def test_read_pairs_equal_their_sql(spark):
     """The rows of the fixture's SQL, derived with few letter maps and little generated code."""
     table = spark.read.parquet(f"{TABLES}/lineitem.parquet")
