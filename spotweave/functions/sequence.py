@@ -30,10 +30,10 @@ def decode(code: Column | str, length: int) -> Column:
     return F.reverse(F.translate(digits, "0123", BASES))
 
 
-def canonical(seq: Column | str) -> Column:
-    """Capitals with G in the place of N, so that equal codes are equal texts; far cheaper than a code."""
+def canonical(seq: Column | str, length: int) -> Column:
+    """The ``length`` bases of a text's code, so that equal codes are equal texts; no code is made where all are bases, which is far cheaper."""
     s = F.upper(_c(seq))
-    return F.when(s.contains("N"), F.translate(s, "N", "G")).otherwise(s)
+    return F.when(s.rlike("[^ACGT]"), decode(encode(seq), length)).otherwise(s)
 
 
 def complement(seq: Column | str) -> Column:

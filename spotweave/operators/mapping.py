@@ -49,12 +49,12 @@ def map_pairs(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec) -> D
         key = F.col("barcode")
     else:
         # an exact match is one join of the reads with the dictionary, so they aren't computed for their distinct barcodes first;
-        # it is by text, for codes are made of the mask's rows only
+        # it is by text, for few reads need a code then
         # (a code of a longer barcode has no text of this length)
         n = spec.barcode.length
         text = F.when(F.col("bc").between(0, 4**n - 1), sequence.decode("bc", n))
         found = resolve.last_wins(mask, spec.barcode).select(text.alias("_found"), F.lit("exact").alias("match_kind"), "bc", "x", "y")
-        key = sequence.canonical("barcode")
+        key = sequence.canonical("barcode", n)
     keyed = cut.withColumn("_key", F.when(usable, key).otherwise(spread))
     both = keyed.join(found, (F.col("_key") == F.col("_found")) & usable, "left").drop("_key", "_found")
     mapped = F.col("x").isNotNull()

@@ -72,7 +72,7 @@ def protein_reads(pairs: DataFrame, mask: DataFrame, proteins: DataFrame, spec:
     variants = stored(spark, variants, "protein-variants")
     second = R.cut_second(F.col("seq2"), spec.umi)
     # before the mapping, which then carries no more of the read
-    cut = pairs.withColumn("variant", sequence.canonical(R.piece(second, p.start, p.length)))
+    cut = pairs.withColumn("variant", sequence.canonical(R.piece(second, p.start, p.length), p.length))
     found = mapping.map_pairs(cut, mask, without_fixed(spec)).filter("passed").join(variants, "variant")
     return found.select(*[c for c in ("read_id",) if c in found.columns], "x", "y", "protein_index", "umi")
 

@@ -97,9 +97,9 @@ def test_proteins_are_few_whatever_they_come_from(spark):
 
 
 def test_exact_reads_meet_the_dictionary(spark):
-    """As by distinct barcodes: small letters as capitals (n as G), also where a mask's code is of another length."""
+    """As by distinct barcodes: small letters as capitals (n as G), letters that are no bases as in codes, also where a mask's code is of another length."""
     rng = random.Random(7)
-    mask = ["".join(rng.choice("ACTG") for _ in range(25)) for _ in range(60)] + ["G" * 25, "T" * 25]
+    mask = ["".join(rng.choice("ACTG") for _ in range(25)) for _ in range(60)] + ["G" * 25, "T" * 25, "ACGTR" * 5]
     reads = [*mask, mask[0].lower(), "n" * 25, "N" + mask[1][1:], mask[2][:24], "", None, *[b[::-1] for b in mask]]
     pairs = spark.createDataFrame([(k, f"@{k}", r, "I" * 25, "A" * 15, "I" * 15) for k, r in enumerate(reads)], "read_id long, name string, seq1 string, qual1 string, seq2 string, qual2 string")
     codes = spark.createDataFrame([(b, k, k + 1) for k, b in enumerate(mask)], "barcode string, x long, y long").select(sequence.encode("barcode").alias("bc"), "x", "y")
@@ -110,7 +110,7 @@ def test_exact_reads_meet_the_dictionary(spark):
     mapped = mapping.map_pairs(pairs, codes, spec)
     got = mapped.select("read_id", "match_kind", "bc", "x", "y").collect()
     by_id = lambda rows: sorted(rows, key=lambda r: r["read_id"])
-    assert by_id(got) == by_id(want) and sum(r["x"] is not None for r in got) == 64
+    assert by_id(got) == by_id(want) and sum(r["x"] is not None for r in got) >= 65
     assert "keys=[barcode" not in mapped._jdf.queryExecution().executedPlan().toString()
 
 
