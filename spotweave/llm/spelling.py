@@ -66,10 +66,11 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     ``words`` has distinct words ``word`` of at least four code points and their counts ``n``. Keys hold
     three quarters of a word, so even in a large vocabulary few words share one; a crowded key is an
-    ordinary join key, which adaptive execution splits.
+    ordinary join key, which adaptive execution splits. Neither side is broadcast: by the size of the stored words
+    Spark would, though their keys are four rows of each or more, and the driver would hold them.
     """
     a, b = _keyed(words, "a", "a_n", (0,)), _keyed(words, "b", "b_n", (0, 1))
-    met = a.join(b, ["kind", "key"])
+    met = a.hint("merge").join(b, ["kind", "key"])
     met = met.filter((F.length("a") > F.length("b")) | (F.col("a") < F.col("b"))).filter(F.levenshtein("a", "b", 1) == 1)
     shared = [(x[0] == y[0]) & (x[1] == y[1]) for x, y in zip(_parts(F.col("a"), F.length("a")), _parts(F.col("b"), F.length("a")), strict=True)]
     first = F.lit(len(shared))
@@ -95,7 +96,7 @@ def variants(spark: SparkSession, words: DataFrame, ratio: int = 10) -> DataFram
         near = pairs.select(both.alias("p")).select("p.*").groupBy("word")
         near = near.agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "near")).alias("best"))
         good = -F.col("best.m") >= ratio * F.col("n")
-        found = words.join(near, "word", "left").select(
+        found = words.join(near.hint("merge"), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(good, F.col("best.near")).alias("form"), F.when(good, -F.col("best.m")).alias("form_n")
         )
         found = stored(spark, found, "spelling-forms")
@@ -103,11 +104,11 @@ def variants(spark: SparkSession, words: DataFrame, ratio: int = 10) -> DataFram
 
 
 def _with_roots(spark: SparkSession, found: DataFrame, ratio: int) -> DataFrame:
-    """Pointer jumping; counts grow by ``ratio`` with each form, so the largest count bounds the steps."""
+    """Pointer jumping; counts grow by ``ratio`` with each form, so the largest count bounds the steps. Links, as many as words at most, aren't broadcast."""
     top = found.agg(F.max("form_n").alias("m"), F.min("n").alias("n")).first()
     steps = math.floor(math.log(max(top["m"] / max(top["n"], 1), 1), ratio) + 1e-9) if top["m"] else 0
     links = found.filter("form is not null").select("word", F.col("form").alias("root"))
     for _ in range(math.ceil(math.log2(steps)) if steps > 1 else 0):
         further = links.select(F.col("word").alias("root"), F.col("root").alias("end"))
-        links = stored(spark, links.join(further, "root", "left").select("word", F.coalesce("end", "root").alias("root")), "spelling-roots")
-    return found.join(links, "word", "left").withColumn("root", F.coalesce("root", "word"))
+        links = stored(spark, links.join(further.hint("merge"), "root", "left").select("word", F.coalesce("end", "root").alias("root")), "spelling-roots")
+    return found.join(links.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))

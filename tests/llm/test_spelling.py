@@ -65,6 +65,22 @@ def test_pairs_come_once(spark):
     assert sorted(found) == sorted((min(a, b), max(a, b)) for i, a in enumerate(words) for b in words[i + 1 :] if one_apart(a, b))
 
 
+def test_words_are_not_broadcast(spark, monkeypatch):
+    """A stored table of words looks small, but its keys aren't; no join of words hands one to the driver."""
+    words = ["abcdefgh", "abcdefgx", "xbcdefgh", "abcxdefgh"]
+    plans, keep = [], spelling.stored
+    table = keep(spark, spark.createDataFrame([(w, 30**k) for k, w in enumerate(words)], "word string, n long"), "words")
+
+    def planned(spark, df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(spark, df, label)
+
+    monkeypatch.setattr(spelling, "stored", planned)
+    assert "Broadcast" not in spelling.near_pairs(table)._jdf.queryExecution().executedPlan().toString()
+    assert rows_of(spelling.variants(spark, table)) == brute({w: 30**k for k, w in enumerate(words)})
+    assert len(plans) >= 4 and not [p for p in plans if "Broadcast" in p]
+
+
 def corpus():
     rng = random.Random(6)
     base = ["".join(rng.choices("abcdefghiéü", k=rng.randint(5, 11))) for _ in range(120)]
