@@ -61,8 +61,8 @@ def index(spark: SparkSession, d: str) -> mask_index.MaskIndex:
     return _INDEXED[key]
 
 
-def _mapped(spark: SparkSession, d: str, k: int) -> DataFrame:
-    return mapping.map_pairs(_pairs(spark, d), index(spark, d), spec(k))
+def _mapped(spark: SparkSession, d: str, k: int, **how: bool) -> DataFrame:
+    return mapping.map_pairs(_pairs(spark, d), index(spark, d), spec(k), **how)
 
 
 def _with(names: list[str], *more: str) -> str:
@@ -157,7 +157,7 @@ def mapped_tags_se(spark: SparkSession, d: str) -> DataFrame:
 @query(_mapped_sql(1) + f"SELECT read_id, {_TAG} AS tagged_name, '' AS out_seq1, '' AS out_qual1, seq2 AS out_seq2, qual2 AS out_qual2 FROM mapped WHERE x IS NOT NULL")
 def mapped_tags_pe(spark: SparkSession, d: str) -> DataFrame:
     """Tagged and trimmed pairs."""
-    return mapping.tagged_pairs(_mapped(spark, d, 1), spec(1)).select("read_id", "tagged_name", "out_seq1", "out_qual1", "out_seq2", "out_qual2")
+    return mapping.tagged_pairs(_mapped(spark, d, 1, trimmed=True), spec(1)).select("read_id", "tagged_name", "out_seq1", "out_qual1", "out_seq2", "out_qual2")
 
 
 @query(

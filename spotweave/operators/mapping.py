@@ -27,15 +27,24 @@ def sliced(pairs: DataFrame, spec: RunSpec) -> DataFrame:
     return out.withColumns({"reason": filters.unmappable(F.col("barcode"), spec.barcode), "seq2": R.cut_second(F.col("seq2"), spec.umi), "qual2": R.cut_second(F.col("qual2"), spec.umi)})
 
 
-def map_pairs(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec) -> DataFrame:
+#: Reads as they are written for mapped pairs.
+_WRITTEN = ("out_seq1", "out_qual1", "out_seq2", "out_qual2")
+
+
+def map_pairs(pairs: DataFrame, mask: DataFrame | MaskIndex, spec: RunSpec, trimmed: bool = False) -> DataFrame:
     """Read pairs past the fixed filter, with ``x``, ``y``, ``match_kind``, ``umi_fail`` and ``passed``.
 
     A stored index in the place of a mask isn't shuffled, and keeps what has been resolved for later calls. Without either
     an index or a tolerance, reads meet the mask's dictionary itself.
     Unmapped pairs have a null position. ``passed`` pairs go to the mapped output: those with
     a position whose identifier doesn't fail.
+
+    Reads move to what is resolved, with the columns that are read later. With ``trimmed`` they are cut before, into the
+    columns of ``tagged_pairs``, so that of a read that is cut away nothing moves.
     """
     cut = sliced(pairs, spec).filter(~F.col("fixed_hit"))
+    if trimmed:
+        cut = _trimmed(cut, spec)
     usable = F.col("reason").isNull()
     # what can't match is dealt over many keys, so it can't crowd into one task, and reads are computed once for all
     spread = F.concat(F.lit("!"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("string"))
@@ -72,9 +81,13 @@ def tagged_single(mapped: DataFrame, spec: RunSpec) -> DataFrame:
 def tagged_pairs(mapped: DataFrame, spec: RunSpec) -> DataFrame:
     """Both reads of pairs with a position, tagged and trimmed: ``out_seq1``, ``out_qual1``, ``out_seq2``, ``out_qual2``."""
     hit = tagged_single(mapped, spec)
+    return hit if set(_WRITTEN) <= set(hit.columns) else _trimmed(hit, spec)
+
+
+def _trimmed(pairs: DataFrame, spec: RunSpec) -> DataFrame:
     s1, s2 = R.pair_trims(spec.barcode, spec.umi, F.col("seq1"), F.col("seq2"))
     q1, q2 = R.pair_trims(spec.barcode, spec.umi, F.col("qual1"), F.col("qual2"))
-    return hit.withColumns({"out_seq1": s1, "out_qual1": q1, "out_seq2": s2, "out_qual2": q2})
+    return pairs.withColumns(dict(zip(_WRITTEN, (s1, q1, s2, q2), strict=True)))
 
 
 def position_counts(mapped: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spotweave.config import BarcodeSpec
 from spotweave.operators import resolve
-from spotweave.storage import intermediates, stored
+from spotweave.storage import intermediates, shuffles_dropped, stored
 
 _DICTIONARY = "bc BIGINT, x BIGINT, y BIGINT"
 
@@ -60,6 +60,11 @@ class MaskIndex:
             raise ValueError("the index was built for barcodes of another place")
         if not spec.mismatch:
             return resolve.resolve(barcodes, self.dictionary(), spec)
+        with shuffles_dropped(self.spark):
+            return self._kept(barcodes, spec)
+
+    def _kept(self, barcodes: DataFrame, spec: BarcodeSpec) -> DataFrame:
+        """``resolved`` with a tolerance: what is resolved is kept beside the dictionary."""
         place = f"{self.path}/resolved-{spec.mismatch}"
         schema = "barcode string, match_kind string, bc long, x long, y long"
         # read again below: whoever called may read the result later
@@ -87,7 +92,8 @@ def build(spark: SparkSession, mask: DataFrame, spec: BarcodeSpec, path: str, bu
     made = MaskIndex(spark, path, spec.length, spec.start, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = resolve.last_wins(mask, spec).repartition(made.buckets, "bc")
     spark.sql(f"DROP TABLE IF EXISTS {made.table}")
-    rows.write.bucketBy(made.buckets, "bc").sortBy("bc").option("path", f"{made.path}/dictionary").saveAsTable(made.table)
+    with shuffles_dropped(spark):
+        rows.write.bucketBy(made.buckets, "bc").sortBy("bc").option("path", f"{made.path}/dictionary").saveAsTable(made.table)
     meta = json.dumps({"length": made.length, "start": made.start, "buckets": made.buckets})
     spark.createDataFrame([(meta,)], "value string").coalesce(1).write.text(f"{made.path}/meta")
     return made

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from spotweave import catalogue, catalogue_files, config
 from spotweave.functions import sequence
-from spotweave.operators import mapping, protein, resolve
+from spotweave.operators import mapping, mask_index, protein, resolve
 from spotweave.plans.fixtures import SQL, view
-from spotweave.storage import shared_dir
+from spotweave.storage import scratch, shared_dir
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -124,3 +124,41 @@ def test_read_pairs_equal_their_sql(spark):
         assert found.dtypes == rows.dtypes
         assert found.exceptAll(rows).count() == 0 and rows.exceptAll(found).count() == 0
         assert found._jdf.queryExecution().optimizedPlan().toString().count("translate(") <= 4
+
+
+def _moved(df):
+    """Names and types of what reads bring to the join with resolved barcodes."""
+    nodes = [df._jdf.queryExecution().optimizedPlan()]
+    for node in nodes:
+        if node.nodeName() == "Join":
+            return {f.name(): f.dataType().simpleString() for f in node.left().schema().fields()}
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+    return {}
+
+
+def test_reads_cut_away_do_not_move(spark):
+    """Of the first read, of which pairs that are written keep nothing, only that moves."""
+    moved = _moved(catalogue.QUERIES["mapped_tags_pe"](spark, TABLES))
+    assert {"out_seq1", "out_seq2", "umi"} <= set(moved) and not {"seq1", "qual1", "seq2", "bar_qual"} & set(moved)
+
+
+def test_trimmed_before_or_after(spark):
+    """The same rows whether reads are cut before they move or after, also with the identifier on the second read or without one."""
+    pairs, mask = view(spark, TABLES, "read_pairs").limit(500), view(spark, TABLES, "chip_mask")
+    for umi in (config.UmiSpec(), config.UmiSpec(start=40, length=10, read=2), config.UmiSpec(length=0)):
+        spec = config.RunSpec(barcode=config.BarcodeSpec(mismatch=1), umi=umi)
+        names = ["read_id", "tagged_name", "out_seq1", "out_qual1", "out_seq2", "out_qual2"]
+        one, two = (mapping.tagged_pairs(mapping.map_pairs(pairs, mask, spec, trimmed=t), spec).select(names).collect() for t in (False, True))
+        assert sorted(one) == sorted(two) and len(one) > 100
+
+
+def test_resolving_leaves_no_shuffles(spark):
+    """What resolving barcodes shuffled is gone when it is done, without waiting for the driver's garbage."""
+    place = [Path(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {f for p in place for f in p.glob("*/shuffle_*.data")}
+    pairs, spec = view(spark, TABLES, "read_pairs"), config.RunSpec(barcode=config.BarcodeSpec(mismatch=1))
+    before = files()
+    found = mask_index.build(spark, view(spark, TABLES, "chip_mask"), spec.barcode, scratch(spark, "index"))
+    found = found.resolved(resolve.distinct_barcodes(mapping.sliced(pairs, spec)), spec.barcode)
+    assert not files() - before and found.count() > 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
