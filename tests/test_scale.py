@@ -6,9 +6,10 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from spotweave import catalogue, catalogue_files, config
-from spotweave.functions import sequence
+from spotweave.functions import packing, sequence
 from spotweave.operators import mapping, mask_index, protein, resolve
 from spotweave.plans.fixtures import SQL, view
+from spotweave.sources import fastq
 from spotweave.storage import scratch, shared_dir
 
 TABLES = "/root/testdata/sf0.001"
@@ -162,3 +163,35 @@ def test_resolving_leaves_no_shuffles(spark):
     found = found.resolved(resolve.distinct_barcodes(mapping.sliced(pairs, spec)), spec.barcode)
     assert not files() - before and found.count() > 1000
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_packed_texts(spark):
+    """Any text comes back; equal texts are equal bytes where the letters are given; bases and qualities get smaller."""
+    rng = random.Random(8)
+    letters = ["ACGT", "ACGTN", "FEDC:?5+#GHI", "acgt", "\u00e9\nA", "".join(map(chr, range(33, 97))), "A~", "`!", "A"]
+    texts = [None, "", "A" * 70_000, *["".join(rng.choices(rng.choice(letters), k=rng.choice([1, 22, 23, 25, 79, 300]))) for _ in range(800)]]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 2)], "k int, t string").repartition(3)
+    some = rows.select("k", "t", packing.packed(F.col("t")).alias("p"), packing.packed(F.col("t"), "ACGT").alias("q"))
+    back = some.select("k", "t", "q", packing.unpacked(F.col("p")).alias("p"), packing.unpacked(F.col("q")).alias("u")).collect()
+    assert len(back) == 2 * len(texts) and all(r["t"] == r["p"] == r["u"] == texts[r["k"] % len(texts)] for r in back)
+    assert len({bytes(r["q"]) for r in back if r["t"]}) == len({r["t"] for r in back if r["t"]})
+    reads = view(spark, TABLES, "read_pairs").agg(*[F.sum(F.octet_length(packing.packed(F.col(c)))) / F.sum(F.length(c)) for c in ("seq1", "qual1", "seq2", "qual2")])
+    assert max(reads.first()) < 0.8
+
+
+def test_unmapped_pairs_move_packed(spark):
+    """Reads of whole pairs move as bytes, with the same rows."""
+    pairs, mask, spec = view(spark, TABLES, "read_pairs"), view(spark, TABLES, "chip_mask"), config.RunSpec(barcode=config.BarcodeSpec(mismatch=1))
+    odd = pairs.limit(300).withColumn("seq1", F.expr("CASE read_id % 5 WHEN 0 THEN NULL WHEN 1 THEN lower(seq1) WHEN 2 THEN substr(seq1, 1, 20) ELSE concat(seq1, '\u00e9') END".replace("read_id % 5", "length(read_id) % 5")))
+    names = [*pairs.columns, "x", "y", "match_kind", "umi_fail", "passed", "umi", "barcode", "reason"]
+    key = lambda r: str(tuple(r))
+    for some in (pairs, odd):
+        one, two = (mapping.map_pairs(some, mask, spec, packed=p).select(names).collect() for p in (False, True))
+        assert sorted(one, key=key) == sorted(two, key=key) and any(r["x"] is not None for r in one)
+    moved, write = [], fastq.write_unmapped
+    try:
+        fastq.write_unmapped = lambda pairs, *more: (moved.append(_moved(pairs)), write(pairs, *more))
+        found = catalogue.QUERIES["unmapped_pair_files"](spark, TABLES).count()
+    finally:
+        fastq.write_unmapped = write
+    assert found and {k: moved[0][k] for k in ("name", "seq1", "qual1", "seq2", "qual2")} == dict.fromkeys(("name", "seq1", "qual1", "seq2", "qual2"), "binary")
