@@ -195,3 +195,13 @@ def test_unmapped_pairs_move_packed(spark):
     finally:
         fastq.write_unmapped = write
     assert found and {k: moved[0][k] for k in ("name", "seq1", "qual1", "seq2", "qual2")} == dict.fromkeys(("name", "seq1", "qual1", "seq2", "qual2"), "binary")
+
+
+def test_lanes_are_less_than_their_text(spark, monkeypatch):
+    """Files of both sides take less than half of the bytes of their records."""
+    made = []
+    monkeypatch.setattr(catalogue_files, "scratch", lambda spark, label: made.append(scratch(spark, label)) or made[-1])
+    rows = catalogue.QUERIES["fastq_lanes"](spark, TABLES)
+    text = rows.agg(F.sum(sum((F.length(c) for c in rows.columns if c != "lane"), F.lit(12)))).first()[0]
+    files = [f for p in made for f in Path(p.removeprefix("file:")).glob("part-*")]
+    assert len(made) == 4 and sum(f.stat().st_size for f in files) < text / 2
